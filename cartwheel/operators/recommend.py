@@ -212,9 +212,7 @@ def mmr(recs: DataFrame, vectors: DataFrame, lam: float = MMR_LAMBDA, k: int = T
     placed = recs.join(vectors, "product_id", "left")
     row = F.struct("pos", "product_id", "base", "vector")
     grouped = placed.groupBy("user_id").agg(F.sort_array(F.collect_list(row)).alias("c"))
-    users = grouped.select(
-        "user_id", *[F.transform("c", lambda x, f=f: x[f]).alias(f) for f in ("product_id", "base", "vector")]
-    )
+    users = grouped.select("user_id", "c.product_id", "c.base", "c.vector")
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
