@@ -127,7 +127,7 @@ def bulk_load_csv(spark, sf_dir):
     path = scratch(spark, "bulk")
     star = load_star(spark, sf_dir)
     star.products.write.option("header", True).option("quoteAll", True).csv(path)
-    table = views._qualified(spark, "products_loaded")
+    table = views.qualified(spark, "products_loaded")
     return files.bulk_load_csv(spark, path, table, "product_id long, product_name string, aisle_id int, department_id int")
 
 
@@ -244,10 +244,10 @@ def _write_run(star, root, run_id, k, finished, with_coverage):
             for side, name in (("model", "als"), ("baseline", "baseline"), ("lift", "lift"))
         ],
     )
-    document.coalesce(1).write.json(f"{root}/{run_id}/parts")
+    document.coalesce(1).write.json(f"{root}/{run_id}/metrics.json")
     if with_coverage:
         lists = evaluate.popularity_baseline(star.train, truth, k)
-        evaluate.coverage(lists, truth, star.train).coalesce(1).write.json(f"{root}/{run_id}/coverage")
+        evaluate.coverage(lists, truth, star.train).coalesce(1).write.json(f"{root}/{run_id}/coverage.json")
 
 
 RUN_LIST = (
@@ -257,16 +257,6 @@ RUN_LIST = (
 )
 
 
-def _named(spark, root):
-    """Give the documents their usual names; Spark chooses its own file names."""
-    path_class = spark._jvm.org.apache.hadoop.fs.Path
-    system = path_class(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    for folder, name in (("parts", "metrics.json"), ("coverage", "coverage.json")):
-        for status in system.globStatus(path_class(f"{root}/*/{folder}/part-*.json")) or []:
-            run = status.getPath().getParent().getParent()
-            system.rename(status.getPath(), path_class(run, name))
-
-
 def trend_sql() -> str:
     from cartwheel.plans.queries_models import TRUTH_SQL, metrics_sql
 
@@ -302,7 +292,6 @@ def run_folder(spark, sf_dir):
     root = scratch(spark, "runs")
     for run_id, k, finished, covered in RUN_LIST:
         _write_run(star, root, run_id, k, finished, covered)
-    _named(spark, root)
     return root
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,28 +85,25 @@ def bulk_load_csv(spark: SparkSession, path: str, table: str, schema: str) -> Da
     return spark.table(table)
 
 
-METRIC_FIELDS = "precision double, recall double, map double, ndcg double"
-METRICS_SCHEMA = (
-    "top_k int, finished_at_utc string, users_evaluated long, "
-    f"als struct<{METRIC_FIELDS.replace(' ', ':').replace(',:', ',')}>, "
-    f"baseline struct<{METRIC_FIELDS.replace(' ', ':').replace(',:', ',')}>, "
-    f"lift struct<{METRIC_FIELDS.replace(' ', ':').replace(',:', ',')}>"
-)
+SIDE = "struct<precision:double,recall:double,map:double,ndcg:double>"
+METRICS_SCHEMA = f"top_k int, finished_at_utc string, users_evaluated long, als {SIDE}, baseline {SIDE}, lift {SIDE}"
 COVERAGE_SCHEMA = "coverage_item double, coverage_user_eval double"
 
 
+def _run_documents(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
+    """Documents ``<run>/<name>`` below ``root``, each a file or a folder of files, with run folder and file time."""
+    path = F.col("_metadata.file_path")
+    prefix = F.regexp_extract(path, f"^(.*)/{name.replace('.', '[.]')}(/[^/]*)?$", 1)
+    df = spark.read.schema(schema).option("multiLine", True).json(f"{root}/*/{name}")
+    return df.select("*", prefix.alias("run_prefix"), F.col("_metadata.file_modification_time").alias("file_time"))
+
+
 def read_run_metrics(spark: SparkSession, root: str) -> DataFrame:
     """One row per run folder with a ``metrics.json``, with its ``coverage.json`` where there is one."""
-
-    def documents(name: str, schema: str) -> DataFrame:
-        reader = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
-        df = reader.option("pathGlobFilter", name).json(root)
-        folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-        return df.select("*", folder.alias("run_prefix"), F.col("_metadata.file_modification_time").alias("file_time"))
-
-    coverage = documents("coverage.json", COVERAGE_SCHEMA).drop("file_time")
-    return (
-        documents("metrics.json", METRICS_SCHEMA)
-        .join(coverage, "run_prefix", "left")
-        .withColumn("run_id", F.element_at(F.split("run_prefix", "/"), -1))
-    )
+    metrics = _run_documents(spark, root, "metrics.json", METRICS_SCHEMA)
+    try:
+        coverage = _run_documents(spark, root, "coverage.json", COVERAGE_SCHEMA).drop("file_time")
+    except AnalysisException:  # no run has one
+        coverage = spark.createDataFrame([], f"{COVERAGE_SCHEMA}, run_prefix string")
+    joined = metrics.join(coverage, "run_prefix", "left")
+    return joined.withColumn("run_id", F.element_at(F.split("run_prefix", "/"), -1))

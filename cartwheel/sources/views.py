@@ -20,7 +20,8 @@ TTL_SECONDS = 6 * 3600
 AVAILABLE, NOT_FOUND = "Available", "Not Found"
 
 
-def _qualified(spark: SparkSession, name: str) -> str:
+def qualified(spark: SparkSession, name: str) -> str:
+    """Name within the database of result tables, which is created below the shared folder."""
     if not spark.catalog.databaseExists(DATABASE):
         app = spark.sparkContext.applicationId
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE} LOCATION '{shared_dir(spark)}/cartwheel/{app}/views'")
@@ -30,7 +31,7 @@ def _qualified(spark: SparkSession, name: str) -> str:
 def materialize(name: str, df: DataFrame, refresh: bool = False) -> DataFrame:
     """Create the table if it is missing, or anew when asked."""
     spark = df.sparkSession
-    table = _qualified(spark, name)
+    table = qualified(spark, name)
     if refresh:
         drop_view(spark, name)
     if not spark.catalog.tableExists(table):
@@ -39,16 +40,16 @@ def materialize(name: str, df: DataFrame, refresh: bool = False) -> DataFrame:
 
 
 def query_view(spark: SparkSession, name: str, where: str | None = None, max_rows: int = MAX_ROWS) -> DataFrame:
-    df = spark.table(_qualified(spark, name))
+    df = spark.table(qualified(spark, name))
     return (df.filter(where) if where else df).limit(max_rows)
 
 
 def drop_view(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {_qualified(spark, name)}")
+    spark.sql(f"DROP TABLE IF EXISTS {qualified(spark, name)}")
 
 
 def view_status(spark: SparkSession, names: tuple[str, ...] = VIEW_NAMES) -> DataFrame:
-    rows = [(n, AVAILABLE if spark.catalog.tableExists(_qualified(spark, n)) else NOT_FOUND) for n in names]
+    rows = [(n, AVAILABLE if spark.catalog.tableExists(qualified(spark, n)) else NOT_FOUND) for n in names]
     return spark.createDataFrame(rows, "view_name string, status string")
 
 
