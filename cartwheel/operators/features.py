@@ -67,7 +67,11 @@ def dedupe_ratings(df: DataFrame, value: str = "rating") -> DataFrame:
 
 
 def rating_stats(df: DataFrame, value: str = "rating") -> DataFrame:
-    return dedupe_ratings(df, value).agg(
+    return _stats(dedupe_ratings(df, value))
+
+
+def _stats(deduped: DataFrame) -> DataFrame:
+    return deduped.agg(
         F.count(F.lit(1)).alias("cnt"),
         F.min("rating").alias("min_rating"),
         F.max("rating").alias("max_rating"),
@@ -75,9 +79,9 @@ def rating_stats(df: DataFrame, value: str = "rating") -> DataFrame:
     )
 
 
-def check_ratings(df: DataFrame, value: str = "rating") -> dict:
-    """Rating statistics; raises when there is nothing to train on or a rating is not positive."""
-    stats = rating_stats(df, value).first().asDict()
+def check_ratings(deduped: DataFrame) -> dict:
+    """Statistics of deduplicated ratings; raises when there is nothing to train on or a rating is not positive."""
+    stats = _stats(deduped).first().asDict()
     if stats["cnt"] == 0:
         raise ValueError("no ratings")
     if stats["min_rating"] is None or stats["min_rating"] <= 0:

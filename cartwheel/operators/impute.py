@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.operators import ranking
 from cartwheel.plans.skew import global_running_count
+from cartwheel.session import shared_dir
 
 # A gap of 30 days means "30 or more".
 CENSORED = 30
@@ -71,6 +72,8 @@ def impute_pmm(
     All chains are ranked by prediction in one distributed sort. A row with a missing gap takes the gap of one of the
     ``donors`` complete rows around its place, drawn by hash; the chain results are averaged and rounded half-even.
     """
+    shared_dir(users.sparkSession)
+    users = users.select("user_id", "days_imp", "frequency").checkpoint()
     rows, models = _draw_models(users, chains, iters, seed)
     if not rows:
         return users.select("user_id", F.col("days_imp").cast("int").alias("days_imp_imputed"))

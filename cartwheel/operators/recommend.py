@@ -46,7 +46,9 @@ def train_als(
     spark = ratings.sparkSession
     shared_dir(spark)
     parallelism = blocks or max(10, spark.sparkContext.defaultParallelism)
-    stats = features.check_ratings(ratings, value)
+    # Training passes over the ratings many times.
+    deduped = features.dedupe_ratings(ratings, value).checkpoint()
+    stats = features.check_ratings(deduped)
     als = ALS(
         userCol="user_id",
         itemCol="product_id",
@@ -63,7 +65,7 @@ def train_als(
         numItemBlocks=parallelism,
         checkpointInterval=5,
     )
-    model = als.fit(features.dedupe_ratings(ratings, value))
+    model = als.fit(deduped)
     return model, {**stats, "rank": rank, "reg": reg, "alpha": alpha, "iters": iters, "seed": seed}
 
 

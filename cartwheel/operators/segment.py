@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.operators import ranking
+from cartwheel.session import shared_dir
 
 # Segmentation parameters and the weights of the value score.
 SEGMENTS, R_CAP, TOP_N, BETA, SEED = 10, 60, 30, 500.0, 42
@@ -36,12 +37,19 @@ def rfm(orders: DataFrame, train: DataFrame, r_cap: int = R_CAP) -> DataFrame:
     )
 
 
+def _kept(users: DataFrame) -> DataFrame:
+    """Fitting passes over the users several times; the checkpoint spares it the joins behind them."""
+    shared_dir(users.sparkSession)
+    return users.select("user_id", "R", "F", "M").checkpoint()
+
+
 def _assembled(users: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=["R", "F", "M"], outputCol="raw").transform(users)
 
 
 def segment_users(users: DataFrame, k: int = SEGMENTS, seed: int = SEED) -> DataFrame:
     """K-means on standardised R, F and M; no rows when there are fewer than two users."""
+    users = _kept(users)
     n = users.limit(max(k, 2)).count()
     if n < 2:
         empty = "user_id long, R double, F long, M double, segment int"
@@ -83,7 +91,8 @@ def segment_popularity(
     total = counted.agg(F.sum("cnt")).scalar()
     inside = counted.filter("segment IS NOT NULL")
     sizes = inside.groupBy("segment").agg(F.sum("cnt").alias("seg_total"))
-    joined = inside.join(sizes, "segment").join(overall, "product_id")
+    # One row per segment.
+    joined = inside.join(overall, "product_id").join(F.broadcast(sizes), "segment")
     rate = F.col("gcnt") / total
     scored = joined.select(
         "segment",
@@ -141,7 +150,7 @@ def segment_lift(popularity: DataFrame, top: int = 30) -> DataFrame:
 
 def rfm_pca(users: DataFrame, k: int = 2) -> DataFrame:
     """Projection of R, F and M on their first ``k`` principal components, over all users."""
-    vectors = _assembled(users)
+    vectors = _assembled(_kept(users))
     centered = StandardScaler(withMean=True, withStd=False, inputCol="raw", outputCol="centered").fit(vectors)
     data = centered.transform(vectors)
     model = PCA(k=k, inputCol="centered", outputCol="pc").fit(data)
@@ -169,9 +178,13 @@ def user_profile(users: DataFrame, user_id: int) -> DataFrame:
 
 
 def segment_recommendations(users: DataFrame, popularity: DataFrame, n: int = 10) -> DataFrame:
-    """Top ``n`` products of each user's segment. The product side has at most n rows per segment."""
+    """Top ``n`` products of each user's segment.
+
+    The product side has at most ``n`` rows per segment, so it is broadcast and the users stay where they are: a
+    shuffle on the segment would put all users of a large segment into one task.
+    """
     top = popularity.filter(F.col("rank") <= n).select("segment", "product_id", "score", "rank")
-    return users.select("user_id", "segment").join(top, "segment").select(
+    return users.select("user_id", "segment").join(F.broadcast(top), "segment").select(
         "user_id", "segment", "product_id", "score", "rank"
     )
 

@@ -42,9 +42,8 @@ i_orders AS (SELECT b.* REPLACE (COALESCE(fill, b.days_since_prior_order) AS day
 
 def fixed_estimates(users):
     """Estimates that can be written in SQL; users divisible by three have none, so the medians are used as well."""
-    return users.filter(F.col("user_id") % 3 != 0).select(
-        "user_id", (F.col("user_id") % 30).cast("int").alias("days_imp_imputed")
-    )
+    estimate = F.when(F.col("user_id") % 3 != 0, (F.col("user_id") % 30).cast("int"))
+    return users.select("user_id", estimate.alias("days_imp_imputed"))
 
 
 def imputed(star):
@@ -351,12 +350,55 @@ def grouped_vectors(spark, sf_dir):
     return star.products.select("product_id", (F.col("product_id") % n).alias("vec_id")).join(vectors, "vec_id").drop("vec_id")
 
 
-@query("mmr")
+def mmr_sql(pool: str, k: int = 10, lam: float = 0.3) -> str:
+    """CTEs for the greedy choice, one per step, over ``pool`` (user_id, pos, product_id, base); the result is y_list
+    (user_id, place, product_id): the chosen products, then the rest in pool order."""
+    ctes = [
+        f"""y_vec AS (SELECT p.product_id, CAST(v.embedding AS DOUBLE[]) AS x FROM b_products p
+      JOIN embeddings v ON v.vec_id = p.product_id % (SELECT COUNT(*) FROM embeddings)),
+    y_pool AS (SELECT user_id, pos, product_id, base, x FROM {pool} JOIN y_vec USING (product_id)),
+    y_sim AS (SELECT a.user_id, a.pos, b.pos AS other, GREATEST(0, list_dot_product(a.x, b.x)
+      / (SQRT(list_dot_product(a.x, a.x)) * SQRT(list_dot_product(b.x, b.x)))) AS sim
+      FROM y_pool a JOIN y_pool b ON a.user_id = b.user_id AND a.pos <> b.pos),
+    y_0 AS (SELECT user_id, pos, 0 AS place FROM y_pool
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY base DESC, pos) = 1)"""
+    ]
+    for step in range(1, k):
+        ctes.append(
+            f"""y_{step} AS (SELECT * FROM y_{step - 1} UNION ALL (SELECT user_id, pos, {step} AS place FROM (
+        SELECT p.user_id, p.pos, {lam}::DOUBLE * ANY_VALUE(p.base) - (1 - {lam}::DOUBLE) * MAX(s.sim) AS value
+        FROM y_pool p JOIN y_sim s ON s.user_id = p.user_id AND s.pos = p.pos
+        JOIN y_{step - 1} c ON c.user_id = p.user_id AND c.pos = s.other
+        WHERE (p.user_id, p.pos) NOT IN (SELECT user_id, pos FROM y_{step - 1}) GROUP BY 1, 2) v
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY value DESC, pos) = 1))"""
+        )
+    ctes.append(
+        f"""y_list AS (SELECT user_id, COALESCE(c.place, 100 + p.pos) AS place, product_id
+      FROM y_pool p LEFT JOIN y_{k - 1} c USING (user_id, pos))"""
+    )
+    return ",\n".join(c.replace("AS (SELECT * FROM y_", "AS MATERIALIZED (SELECT * FROM y_") for c in ctes)
+
+
+LISTED = "string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY place) AS rec_items"
+
+
+@query("mmr", f", {CANDIDATES_SQL}, {BLEND_SQL}, {mmr_sql('z_base')} SELECT user_id, {LISTED} FROM y_list GROUP BY 1")
 def mmr(spark, sf_dir):
     return joined_items(recommend.mmr(blended(load_star(spark, sf_dir)), grouped_vectors(spark, sf_dir)))
 
 
-@query("rerank")
+@query(
+    "rerank",
+    f""", k_all AS (SELECT * FROM ({CANDIDATES_SQL.strip().removeprefix('k_recs AS (').removesuffix(')')}) c),
+    k_recs AS (SELECT * FROM k_all WHERE (user_id, product_id) NOT IN
+      (SELECT DISTINCT user_id, product_id FROM b_prior JOIN b_orders USING (order_id))),
+    {BLEND_SQL}, {mmr_sql('z_base')}, {TRUTH_SQL},
+    w_pool AS (SELECT * FROM y_list
+      UNION ALL SELECT user_id, 1000 + pos, e_top.product_id FROM (SELECT DISTINCT user_id FROM y_list) u, e_top WHERE pos < 10),
+    w_once AS (SELECT user_id, product_id, MIN(place) AS place FROM w_pool GROUP BY 1, 2),
+    w_ten AS (SELECT * FROM w_once QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY place) <= 10)
+    SELECT user_id, {LISTED} FROM w_ten GROUP BY 1""",
+)
 def rerank(spark, sf_dir):
     star = load_star(spark, sf_dir)
     top = evaluate.top_items(star.train, 10)

@@ -180,7 +180,7 @@ def materialize(spark, sf_dir):
 def query_view(spark, sf_dir):
     churn = analytics.churn_indicators(load_star(spark, sf_dir).orders, max_rows=None)
     views.materialize("churn_analysis_view", churn, refresh=True)
-    df = views.query_view(spark, "churn_analysis_view", "total_orders >= 15", max_rows=1_000_000)
+    df = views.query_view(spark, "churn_analysis_view", "total_orders >= 15", max_rows=None)
     return rounded(df, "avg_days_between", "max_days_between", "std_days_between")
 
 
@@ -226,15 +226,10 @@ def export_cohorts(spark, sf_dir):
     return rounded(flat, "r_z", "f_z", "m_z")
 
 
-def _write_run(star, root, run_id, k, finished, with_coverage):
+def _write_run(spark, star, root, run_id, k, finished, covered, summaries):
     """Metrics of the popularity lists of length k against those of length 10, as one run folder."""
-    truth = truth_of(star)
-
-    def metrics(length):
-        lists = evaluate.popularity_baseline(star.train, truth, length)
-        return evaluate.ranking_summary(evaluate.ranking_metrics(lists, truth, length))
-
-    both = evaluate.metrics_lift(metrics(k), metrics(10))
+    model, base = (spark.createDataFrame([summaries[length]]) for length in (k, 10))
+    both = evaluate.metrics_lift(model, base)
     document = both.select(
         F.lit(k).alias("top_k"),
         *([F.lit(finished).alias("finished_at_utc")] if finished else []),
@@ -245,7 +240,8 @@ def _write_run(star, root, run_id, k, finished, with_coverage):
         ],
     )
     document.coalesce(1).write.json(f"{root}/{run_id}/metrics.json")
-    if with_coverage:
+    if covered:
+        truth = truth_of(star)
         lists = evaluate.popularity_baseline(star.train, truth, k)
         evaluate.coverage(lists, truth, star.train).coalesce(1).write.json(f"{root}/{run_id}/coverage.json")
 
@@ -287,12 +283,36 @@ def trend_sql() -> str:
     return f", {pop}, {', '.join(ctes)} {' UNION ALL '.join(runs)}"
 
 
+_RUN_FOLDERS: dict = {}
+
+
 def run_folder(spark, sf_dir):
-    star = load_star(spark, sf_dir)
-    root = scratch(spark, "runs")
-    for run_id, k, finished, covered in RUN_LIST:
-        _write_run(star, root, run_id, k, finished, covered)
-    return root
+    """The run documents, written once per application and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUN_FOLDERS:
+        star = load_star(spark, sf_dir)
+        truth = truth_of(star)
+        summaries = {}
+        for k in sorted({run[1] for run in RUN_LIST}):
+            lists = evaluate.popularity_baseline(star.train, truth, k)
+            summaries[k] = evaluate.ranking_summary(evaluate.ranking_metrics(lists, truth, k)).first()
+        root = scratch(spark, "runs")
+        for run in RUN_LIST:
+            _write_run(spark, star, root, *run, summaries)
+        _RUN_FOLDERS[key] = root
+    return _RUN_FOLDERS[key]
+
+
+@query(
+    "read_run_metrics",
+    """, t AS (SELECT COUNT(DISTINCT user_id) AS users FROM b_train JOIN b_orders USING (order_id))
+    SELECT 'als-20250101-020304' AS run_id, 5 AS top_k, users AS users_evaluated, 1.0::DOUBLE AS coverage_user_eval FROM t
+    UNION ALL SELECT 'als-postrank-20250102-030405', 10, users, 1.0 FROM t
+    UNION ALL SELECT 'als-20250103-040506', 20, users, NULL FROM t""",
+)
+def read_run_metrics(spark, sf_dir):
+    runs = files.read_run_metrics(spark, run_folder(spark, sf_dir))
+    return runs.select("run_id", "top_k", "users_evaluated", "coverage_user_eval")
 
 
 @query("run_trend", trend_sql())

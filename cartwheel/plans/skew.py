@@ -29,16 +29,24 @@ def number_in_group(
     chunk: Column,
     lag: str | None = None,
     limit: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``rn`` (1..n within ``keys`` by ``order``), ``group_rows`` (n) and, if asked, ``prev`` (lag of a column).
 
-    ``chunk`` must never decrease along ``order``; it is used for groups above ``limit`` rows only. The hot-key frame
-    is broadcast because its size is bounded by rows / limit.
+    ``chunk`` must never decrease along ``order``; it is used for groups above ``limit`` rows only. Whether there are
+    such groups is looked up first (``hot`` may name them): without any, this is a plain window. The hot-key frame is
+    broadcast because its size is bounded by rows / limit.
     """
     keys = list(keys)
-    hot = F.broadcast(hot_keys(df, keys, limit).withColumn("_hot", F.lit(True)))
-    tagged = df.join(hot, keys, "left").withColumn("_chunk", F.when(F.col("_hot"), chunk))
-
+    hot = hot_keys(df, keys, limit) if hot is None else hot
+    if hot.isEmpty():
+        group = Window.partitionBy(*keys)
+        ordered = group.orderBy(*order)
+        added = {"rn": F.row_number().over(ordered), "group_rows": F.count(F.lit(1)).over(group)}
+        return df.withColumns({**added, "prev": F.lag(lag).over(ordered)} if lag else added)
+
+    marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    tagged = df.join(marked, keys, "left").withColumn("_chunk", F.when(F.col("_hot"), chunk))
     group = Window.partitionBy(*keys, "_chunk")
     ordered = group.orderBy(*order)
     numbered = tagged.withColumn("_rn", F.row_number().over(ordered)).withColumn(

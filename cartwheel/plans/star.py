@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwheel.plans.skew import HOT_ROWS, number_in_group
+from cartwheel.plans.skew import HOT_ROWS, hot_keys, number_in_group
 from cartwheel.session import scratch
 
 
@@ -62,8 +62,10 @@ def derive_lines(lineitem: DataFrame, orders: DataFrame, hot_rows: int = HOT_ROW
     picked = lineitem.groupBy(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")
     ).agg(F.min("l_linenumber").alias("ln"))
-    chunk = F.struct(F.col("ln"), F.floor(F.col("product_id") / 100_000).alias("block"))
-    carts = number_in_group(picked, ["order_id"], ["ln", "product_id"], chunk, limit=hot_rows)
+    # Line number, then blocks of product ids: one number that grows along the order of the lines.
+    chunk = F.col("ln").cast("long") * F.lit(1 << 40) + F.floor(F.col("product_id") / 100_000)
+    hot = hot_keys(lineitem.withColumnRenamed("l_orderkey", "order_id"), ["order_id"], hot_rows)
+    carts = number_in_group(picked, ["order_id"], ["ln", "product_id"], chunk, limit=hot_rows, hot=hot)
     joined = carts.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
     first = joined.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"))
     return joined.join(first, ["user_id", "product_id"]).select(

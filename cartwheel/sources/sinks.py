@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from cartwheel.operators.quality import normalize_na
 from cartwheel.schemas import PARTITION_KEYS
 
-# Time zone of landing stamps, stamp formats.
+# Time zone of landing stamps, rows per landed file, stamp formats.
 LANDING_ZONE = "Australia/Sydney"
+PAGE_ROWS = 1_000_000
 STAMP_PARTS = {"year": "%Y", "month": "%m", "day": "%d", "hhmm": "%H%M"}
 RUN_FORMAT = "%Y%m%d-%H%M%S"
 
@@ -39,7 +40,8 @@ def land_table(df: DataFrame, path: str, run_ts: datetime) -> None:
     stamp = landing_stamp(run_ts)
     stamped = normalize_na(df).withColumns({key: F.lit(value) for key, value in stamp.items()})
     # "append" leaves the partitions of other runs alone.
-    stamped.write.mode("append").partitionBy(*PARTITION_KEYS).option("header", True).option("emptyValue", "").csv(path)
+    writer = stamped.write.mode("append").partitionBy(*PARTITION_KEYS).option("maxRecordsPerFile", PAGE_ROWS)
+    writer.option("header", True).option("emptyValue", "").csv(path)
 
 
 def register_landing(spark: SparkSession, table: str, path: str, schema: str) -> None:

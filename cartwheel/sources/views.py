@@ -39,9 +39,10 @@ def materialize(name: str, df: DataFrame, refresh: bool = False) -> DataFrame:
     return spark.table(table)
 
 
-def query_view(spark: SparkSession, name: str, where: str | None = None, max_rows: int = MAX_ROWS) -> DataFrame:
+def query_view(spark: SparkSession, name: str, where: str | None = None, max_rows: int | None = MAX_ROWS) -> DataFrame:
     df = spark.table(qualified(spark, name))
-    return (df.filter(where) if where else df).limit(max_rows)
+    kept = df.filter(where) if where else df
+    return kept if max_rows is None else kept.limit(max_rows)
 
 
 def drop_view(spark: SparkSession, name: str) -> None:

@@ -50,7 +50,8 @@ def test_prior_lines_prune_the_partition(star):
 def test_top_n_per_segment_cuts_before_the_shuffle(star):
     users = segments(star, segment.rfm(star.orders, star.train))
     text = plan(segment.segment_popularity(users, star.orders, star.prior))
-    assert "WindowGroupLimit" in text
+    assert text.count("WindowGroupLimit") == 2
+    assert "Partial" in text.split("WindowGroupLimit")[2].split("\n")[0]
 
 
 def test_top_lists_are_not_sorted_whole(star):
