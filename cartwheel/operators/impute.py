@@ -129,9 +129,14 @@ def backfill_orders(orders: DataFrame, estimates: DataFrame) -> DataFrame:
     zeroed = orders.withColumn("days_since_prior_order", F.coalesce("days_since_prior_order", F.lit(0)))
     masked = _masked_orders(zeroed)
     marked = zeroed.join(masked.select("order_id", F.lit(True).alias("_masked")), "order_id", "left")
-    kept = marked.filter("_masked IS NULL")
-    user_median = kept.groupBy("user_id").agg(F.percentile("days_since_prior_order", 0.5).alias("user_median"))
-    overall = kept.agg(F.percentile("days_since_prior_order", 0.5)).scalar()
+    # At most 31 rows per user, however many orders the user has.
+    counts = (
+        marked.filter("_masked IS NULL")
+        .groupBy("user_id", F.col("days_since_prior_order").alias("days"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    user_median = counts.groupBy("user_id").agg(F.percentile("days", 0.5, F.col("n")).alias("user_median"))
+    overall = counts.groupBy("days").agg(F.sum("n").alias("n")).agg(F.percentile("days", 0.5, F.col("n"))).scalar()
     value = F.coalesce(F.col("days_imp_imputed").cast("double"), F.col("user_median"), overall)
     fills = (
         masked.join(estimates.select("user_id", "days_imp_imputed"), "user_id", "left")
@@ -220,16 +225,18 @@ def interval_delta(before: DataFrame, after: DataFrame, day30: float = 30.0) ->
 
 def interval_histogram(days: DataFrame, bins: int = 60, x_max: float = 60.0) -> DataFrame:
     """Density of the gaps, clipped at ``x_max``, in equal bins between the smallest and largest clipped value."""
-    value = F.least(F.col("days"), F.lit(float(x_max)))
-    bounds = days.agg(
-        F.min(value).alias("lo"), F.max(value).alias("hi"), F.count("days").alias("n")
-    ).select(F.struct("*").alias("r")).scalar()
+    value = F.col("value")
+    # Counted by value first, so that bounds and bins share one pass over the gaps.
+    values = days.groupBy(F.least(F.col("days"), F.lit(float(x_max))).alias("value")).agg(F.count("days").alias("n"))
+    bounds = values.agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.sum("n").alias("n")).select(
+        F.struct("*").alias("r")
+    ).scalar()
     flat = bounds["lo"] == bounds["hi"]
     lo = F.when(flat, bounds["lo"] - 0.5).otherwise(bounds["lo"])
     hi = F.when(flat, bounds["hi"] + 0.5).otherwise(bounds["hi"])
     width = (hi - lo) / bins
     index = F.least(F.floor((value - lo) * bins / (hi - lo)), F.lit(bins - 1)).cast("int")
-    counted = days.select(index.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    counted = values.select(index.alias("bin"), "n").groupBy("bin").agg(F.sum("n").alias("n"))
     return counted.select(
         "bin", (lo + F.col("bin") * width).alias("left_edge"), "n", (F.col("n") / (bounds["n"] * width)).alias("density")
     )

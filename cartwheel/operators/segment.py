@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.operators import ranking
@@ -87,13 +87,13 @@ def segment_popularity(
         .groupBy("segment", "product_id")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
-    overall = counted.groupBy("product_id").agg(F.sum("cnt").alias("gcnt"))
-    total = counted.agg(F.sum("cnt")).scalar()
-    inside = counted.filter("segment IS NOT NULL")
-    sizes = inside.groupBy("segment").agg(F.sum("cnt").alias("seg_total"))
-    # One row per segment.
-    joined = inside.join(overall, "product_id").join(F.broadcast(sizes), "segment")
-    rate = F.col("gcnt") / total
+    # One row per segment, so the window over all of them and the broadcast are small.
+    sizes = counted.groupBy("segment").agg(F.sum("cnt").alias("seg_total"))
+    sizes = sizes.withColumn("total", F.sum("seg_total").over(Window.partitionBy()))
+    # A product has one row per segment here.
+    overall = counted.withColumn("gcnt", F.sum("cnt").over(Window.partitionBy("product_id")))
+    joined = overall.join(F.broadcast(sizes), "segment")
+    rate = F.col("gcnt") / F.col("total")
     scored = joined.select(
         "segment",
         "product_id",
@@ -129,7 +129,9 @@ def _lift() -> Column:
 
 def lift_matrix(popularity: DataFrame, top: int = 30) -> tuple[DataFrame, list[str]]:
     """Segment x product lifts of the ``top`` products that vary most between segments; missing lifts are 1."""
-    lifts = popularity.withColumn("lift", _lift())
+    shared_dir(popularity.sparkSession)
+    # A short table (products kept per segment) that is read twice.
+    lifts = popularity.select("segment", "product_id", _lift().alias("lift")).checkpoint()
     varied = lifts.groupBy("product_id").agg(
         F.coalesce(F.var_samp("lift"), F.lit(0.0)).alias("var"), F.avg("lift").alias("mean")
     )

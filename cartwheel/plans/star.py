@@ -83,10 +83,8 @@ def _numbered_names(part: DataFrame, column: str, key: str, name: str) -> DataFr
     return names.select(F.row_number().over(Window.orderBy(name)).cast("int").alias(key), name)
 
 
-def derive_star(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -> Star:
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    orders = derive_orders(spark.read.parquet(f"{sf_dir}/orders.parquet"), hot_rows)
-    lines = derive_lines(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), orders, hot_rows)
+def derive_dimensions(part: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Products, aisles and departments."""
     aisles = _numbered_names(part, "p_brand", "aisle_id", "aisle")
     departments = _numbered_names(part, "p_type", "department_id", "department")
     products = (
@@ -99,27 +97,30 @@ def derive_star(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -> S
             "department_id",
         )
     )
-    return Star(orders, lines, products, aisles, departments)
+    return products, aisles, departments
 
 
-_LOADED: dict[tuple[str, str], str] = {}
+_LOADED: dict[tuple[str, str], Star] = {}
 
 
 def load_star(spark: SparkSession, sf_dir: str) -> Star:
     """The star as Parquet tables in the shared folder, written on first use by this application."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _LOADED:
-        root = scratch(spark, "star")
-        part = derive_star(spark, key[1])
-        part.orders.write.parquet(f"{root}/orders")
-        # Lines read the written orders, so the per-user numbering runs once.
-        lines = derive_lines(spark.read.parquet(f"{key[1]}/lineitem.parquet"), spark.read.parquet(f"{root}/orders"))
-        lines.write.partitionBy("eval_set").parquet(f"{root}/lines")
-        for name in ("products", "aisles", "departments"):
-            getattr(part, name).write.parquet(f"{root}/{name}")
-        _LOADED[key] = root
-    root = _LOADED[key]
-    return Star(*(spark.read.parquet(f"{root}/{n}") for n in ("orders", "lines", "products", "aisles", "departments")))
+        _LOADED[key] = write_star(spark, key[1], scratch(spark, "star"))
+    return _LOADED[key]
+
+
+def write_star(spark: SparkSession, sf_dir: str, root: str, hot_rows: int = HOT_ROWS) -> Star:
+    def stored(name: str, df: DataFrame, *partitions: str) -> DataFrame:
+        df.write.partitionBy(*partitions).parquet(f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{name}")
+
+    orders = stored("orders", derive_orders(spark.read.parquet(f"{sf_dir}/orders.parquet"), hot_rows))
+    lines = derive_lines(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), orders, hot_rows)
+    lines = stored("lines", lines, "eval_set")
+    dimensions = zip(("products", "aisles", "departments"), derive_dimensions(spark.read.parquet(f"{sf_dir}/part.parquet")))
+    return Star(orders, lines, *(stored(name, df) for name, df in dimensions))
 
 
 # The same mapping for the SQL check.

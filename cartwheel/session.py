@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Call-site capture for error messages doubles the time to build a query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

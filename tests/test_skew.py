@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwheel.plans import skew
-from cartwheel.plans.star import derive_star
+from cartwheel.plans.star import write_star
 
 
 def skewed(spark):
@@ -49,8 +49,8 @@ def test_global_running_count(spark):
         assert n == total, (day, row_id)
 
 
-def test_star_is_the_same_with_hot_groups(spark, sf_dir, star):
-    hot = derive_star(spark, sf_dir, hot_rows=4)
+def test_star_is_the_same_with_hot_groups(spark, sf_dir, star, tmp_path):
+    hot = write_star(spark, sf_dir, str(tmp_path / "star"), hot_rows=4)
     assert rows(hot.orders, "order_id") == rows(star.orders, "order_id")
     columns = ["order_id", "product_id", "add_to_cart_order", "reordered", "eval_set"]
     assert rows(hot.lines.select(columns), *columns[:2]) == rows(star.lines.select(columns), *columns[:2])
