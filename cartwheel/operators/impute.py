@@ -225,20 +225,20 @@ def interval_delta(before: DataFrame, after: DataFrame, day30: float = 30.0) ->
 
 def interval_histogram(days: DataFrame, bins: int = 60, x_max: float = 60.0) -> DataFrame:
     """Density of the gaps, clipped at ``x_max``, in equal bins between the smallest and largest clipped value."""
-    value = F.col("value")
-    # Counted by value first, so that bounds and bins share one pass over the gaps.
-    values = days.groupBy(F.least(F.col("days"), F.lit(float(x_max))).alias("value")).agg(F.count("days").alias("n"))
-    bounds = values.agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.sum("n").alias("n")).select(
-        F.struct("*").alias("r")
-    ).scalar()
-    flat = bounds["lo"] == bounds["hi"]
-    lo = F.when(flat, bounds["lo"] - 0.5).otherwise(bounds["lo"])
-    hi = F.when(flat, bounds["hi"] + 0.5).otherwise(bounds["hi"])
+    shared_dir(days.sparkSession)
+    # Counted by value and kept, so that the frame behind the gaps is computed once for bounds and bins.
+    clipped = F.least(F.col("days"), F.lit(float(x_max))).alias("value")
+    values = days.filter("days IS NOT NULL").groupBy(clipped).agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    lo, hi, total = values.agg(F.min("value"), F.max("value"), F.sum("n")).first()
+    if total is None:
+        lo, hi, total = 0.0, 1.0, 1
+    elif lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
     width = (hi - lo) / bins
-    index = F.least(F.floor((value - lo) * bins / (hi - lo)), F.lit(bins - 1)).cast("int")
+    index = F.least(F.floor((F.col("value") - lo) * bins / (hi - lo)), F.lit(bins - 1)).cast("int")
     counted = values.select(index.alias("bin"), "n").groupBy("bin").agg(F.sum("n").alias("n"))
     return counted.select(
-        "bin", (lo + F.col("bin") * width).alias("left_edge"), "n", (F.col("n") / (bounds["n"] * width)).alias("density")
+        "bin", (F.lit(lo) + F.col("bin") * width).alias("left_edge"), "n", (F.col("n") / (total * width)).alias("density")
     )
 
 
