@@ -182,14 +182,12 @@ def to_lists(ranked: DataFrame, order: str = "rank") -> DataFrame:
     return rows.select("user_id", F.transform("_r", lambda x: x["product_id"]).alias("rec_items"))
 
 
-def _greedy(base: np.ndarray, vectors: list, k: int, lam: float) -> list[int]:
-    """Places in selection order, then the rest in their given order."""
-    n = len(base)
-    width = max((len(v) for v in vectors if v is not None), default=1)
-    matrix = np.zeros((n, width))
-    for i, v in enumerate(vectors):
-        if v is not None:
-            matrix[i] = v
+def _greedy(base: np.ndarray, flat: np.ndarray, known: np.ndarray, k: int, lam: float) -> list[int]:
+    """Places in selection order, then the rest in their given order. ``flat`` holds the vectors of the known items."""
+    n, present = len(base), int(known.sum())
+    matrix = np.zeros((n, len(flat) // present if present else 1))
+    if present:
+        matrix[known] = flat.reshape(present, -1)
     length = np.linalg.norm(matrix, axis=1, keepdims=True)
     unit = np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
     similar = np.maximum(unit @ unit.T, 0.0)
@@ -214,13 +212,23 @@ def mmr(recs: DataFrame, vectors: DataFrame, lam: float = MMR_LAMBDA, k: int = T
     placed = recs.join(vectors, "product_id", "left")
     row = F.struct("pos", "product_id", "base", "vector")
     grouped = placed.groupBy("user_id").agg(F.sort_array(F.collect_list(row)).alias("c"))
-    users = grouped.select("user_id", "c.product_id", "c.base", "c.vector")
+    users = grouped.select(
+        "user_id",
+        "c.product_id",
+        "c.base",
+        F.flatten(F.array_compact("c.vector")).alias("flat"),
+        F.transform("c.vector", lambda v: v.isNotNull()).alias("known"),
+    )
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             lists = [
-                np.asarray(items)[_greedy(np.asarray(base, dtype=float), list(vecs), k, lam)]
-                for items, base, vecs in zip(batch["product_id"], batch["base"], batch["vector"], strict=True)
+                np.asarray(items)[
+                    _greedy(np.asarray(base, dtype=float), np.asarray(flat, dtype=float), np.asarray(known, dtype=bool), k, lam)
+                ]
+                for items, base, flat, known in zip(
+                    batch["product_id"], batch["base"], batch["flat"], batch["known"], strict=True
+                )
             ]
             yield pd.DataFrame({"user_id": batch["user_id"], "rec_items": lists})
 

@@ -36,12 +36,14 @@ def landing_stamp(run_ts: datetime, zone: str = LANDING_ZONE) -> dict[str, str]:
 
 
 def land_table(df: DataFrame, path: str, run_ts: datetime) -> None:
-    """Write one landing partition as CSV with a header, missing values and NA as empty text."""
+    """Write one landing partition as CSV with a header, missing values and NA as empty text.
+
+    The run's own partition folder is replaced, so landing the same run again leaves no duplicates.
+    """
     stamp = landing_stamp(run_ts)
-    stamped = normalize_na(df).withColumns({key: F.lit(value) for key, value in stamp.items()})
-    # "append" leaves the partitions of other runs alone.
-    writer = stamped.write.mode("append").partitionBy(*PARTITION_KEYS).option("maxRecordsPerFile", PAGE_ROWS)
-    writer.option("header", True).option("emptyValue", "").csv(path)
+    folder = "/".join(f"{key}={stamp[key]}" for key in PARTITION_KEYS)
+    writer = normalize_na(df).write.mode("overwrite").option("maxRecordsPerFile", PAGE_ROWS)
+    writer.option("header", True).option("emptyValue", "").csv(f"{path}/{folder}")
 
 
 def register_landing(spark: SparkSession, table: str, path: str, schema: str) -> None:
