@@ -203,13 +203,17 @@ def _greedy(base: np.ndarray, flat: np.ndarray, known: np.ndarray, k: int, lam:
     return chosen + [i for i in range(n) if free[i]]
 
 
-def mmr(recs: DataFrame, vectors: DataFrame, lam: float = MMR_LAMBDA, k: int = TOP_K) -> DataFrame:
+def mmr(
+    recs: DataFrame, vectors: DataFrame, lam: float = MMR_LAMBDA, k: int = TOP_K, partitions: int | None = None
+) -> DataFrame:
     """Greedy diverse re-ranking of the blended candidates; ``vectors`` is (product_id, vector).
 
     Vectors are joined to the candidates, not sent to every task. A user's candidates form one row, and whole batches
-    of users go through the greedy choice at once.
+    of users go through the greedy choice at once. Users are spread over ``partitions`` (default: the shuffle
+    partitions) unless they are grouped by user already: sized by bytes alone, they would end up in too few tasks.
     """
-    placed = recs.join(vectors, "product_id", "left")
+    n = partitions or int(recs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = recs.join(vectors, "product_id", "left").repartition(n, "user_id")
     row = F.struct("pos", "product_id", "base", "vector")
     grouped = placed.groupBy("user_id").agg(F.sort_array(F.collect_list(row)).alias("c"))
     users = grouped.select(
