@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -34,13 +38,11 @@ def build_session(app: str = "cartwheel", master: str | None = None, **extra: st
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A temporary folder stands in only for a local master without the setting; a cluster without it is an error.
+    Where that is unset, a folder in the warehouse stands in, which executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="cartwheel-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
@@ -51,3 +53,23 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, never used before."""
     app = spark.sparkContext.applicationId
     return f"{shared_dir(spark)}/cartwheel/{app}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that tasks can import it anywhere."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    home = Path(__file__).resolve().parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(home.rglob("*.py")):
+            archive.write(file, file.relative_to(home.parent))
+    # addPyFile serves a file of the driver to the executors; no executor reads this path itself.
+    path = os.path.join(tempfile.mkdtemp(prefix="cartwheel-ship-"), "cartwheel.zip")
+    Path(path).write_bytes(packed.getvalue())
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
