@@ -66,40 +66,40 @@ class Vocabulary:
             self.outranked[side[self.piece_rank[merged] < self.piece_rank[side]]] = True
         self._hash_pairs(left, right, merged.astype(np.int32))
 
-    def _hash_pairs(self, left, right, merged):
-        """Open table of two probes for (left, right) -> merged piece; grown until every pair has a place."""
+    def _hash_pairs(self, left, right, merged, bits: int = 19):
+        """Open table for (left, right) -> merged piece; a pair that finds its slot taken tries the next hash."""
         keys = left << 20 | right
-        bits = 18
-        while True:
-            self.table_bits = bits
-            slots = np.full(1 << bits, -1, np.int64)
-            values = np.full(1 << bits, -1, np.int32)
-            rest = np.arange(len(keys))
-            for probe in range(2):
-                at = self._slot(keys[rest], probe)
-                free = slots[at] == -1
-                slots[at[free]] = keys[rest[free]]
-                placed = slots[at] == keys[rest]
-                values[at[placed]] = merged[rest[placed]]
-                rest = rest[~placed]
-            if not len(rest):
-                break
-            bits += 1
-        self.slots, self.values = slots, values
+        self.table_bits = max(bits, (4 * len(keys)).bit_length())
+        self.slots = np.full(1 << self.table_bits, -1, np.int64)
+        self.values = np.full(1 << self.table_bits, -1, np.int32)
+        rest, self.probes = np.arange(len(keys)), 0
+        while len(rest):
+            at = self._slot(keys[rest], self.probes)
+            free = self.slots[at] == -1
+            self.slots[at[free]] = keys[rest[free]]
+            placed = self.slots[at] == keys[rest]
+            self.values[at[placed]] = merged[rest[placed]]
+            rest = rest[~placed]
+            self.probes += 1
 
     def _slot(self, keys, probe):
-        factor = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)[probe]
+        factor = 0x9E3779B97F4A7C15 * (2 * probe * probe + 1) & (1 << 64) - 1
         return ((keys.astype(np.uint64) * np.uint64(factor)) >> np.uint64(64 - self.table_bits)).astype(np.int64)
 
     def merge_of(self, left, right):
         """The merged piece of each pair of ids, or -1. Ids below zero are characters outside the vocabulary."""
         keys = left.astype(np.int64) << 20 | right.astype(np.int64)
-        at = self._slot(keys, 0)
-        found = np.where(self.slots[at] == keys, self.values[at], np.int32(-1))
-        miss = np.flatnonzero(found < 0)
-        at = self._slot(keys[miss], 1)
-        found[miss] = np.where(self.slots[at] == keys[miss], self.values[at], np.int32(-1))
-        found[(left < 0) | (right < 0)] = -1
+        keys[(left < 0) | (right < 0)] = -1
+        found = np.full(len(keys), -1, np.int32)
+        open_ = np.flatnonzero(keys >= 0)
+        for probe in range(self.probes):
+            at = self._slot(keys[open_], probe)
+            there = self.slots[at]
+            match = there == keys[open_]
+            found[open_[match]] = self.values[at[match]]
+            open_ = open_[~match & (there != -1)]
+            if not len(open_):
+                break
         return found
 
 
