@@ -1,7 +1,7 @@
 """Numbering that survives a key holding a large share of all rows.
 
-A window over a key sorts the whole group in one task. The helpers below cut groups above a row limit into ordered
-chunks, number each chunk on its own and add the size of the chunks before it, so no task sees more than a chunk.
+A window over a key sorts the whole group in one task. The helpers below sort by range partitions, which cut any group
+into pieces of bounded size, number each piece on its own and add the rows of the pieces before it.
 """
 
 from __future__ import annotations
@@ -11,104 +11,62 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.session import shared_dir
+from cartwheel.session import scratch, shared_dir
 
-# A group of this many narrow rows sorts comfortably within one task.
-HOT_ROWS = 1_000_000
 
-
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``limit`` rows. The result has at most (rows / limit) rows."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).select(*keys)
-
-
-def number_in_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    chunk: Column,
-    lag: str | None = None,
-    limit: int = HOT_ROWS,
-    hot: DataFrame | None = None,
-) -> DataFrame:
+def number_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], lag: str | None = None) -> DataFrame:
     """Add ``rn`` (1..n within ``keys`` by ``order``), ``group_rows`` (n) and, if asked, ``prev`` (lag of a column).
 
-    ``chunk`` must never decrease along ``order``; it is used for groups above ``limit`` rows only. Whether there are
-    such groups is looked up first (``hot`` may name them): without any, this is a plain window. The hot-key frame is
-    broadcast because its size is bounded by rows / limit.
+    Rows are partitioned by ranges of keys and order, with a hash last that deals out rows equal in both, and written
+    once so that the ranges stay. Only keys that lie in several partitions need an offset; a range partition has at
+    most two of them, so the offsets have at most two rows per partition.
     """
-    keys = list(keys)
-    hot = hot_keys(df, keys, limit) if hot is None else hot
-    if hot.isEmpty():
-        group = Window.partitionBy(*keys)
-        ordered = group.orderBy(*order)
-        added = {"rn": F.row_number().over(ordered), "group_rows": F.count(F.lit(1)).over(group)}
-        return df.withColumns({**added, "prev": F.lag(lag).over(ordered)} if lag else added)
-
-    marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    tagged = df.join(marked, keys, "left").withColumn("_chunk", F.when(F.col("_hot"), chunk))
-    group = Window.partitionBy(*keys, "_chunk")
-    ordered = group.orderBy(*order)
-    numbered = tagged.withColumn("_rn", F.row_number().over(ordered)).withColumn(
-        "_chunk_rows", F.count(F.lit(1)).over(group)
-    )
-    if lag:
-        numbered = numbered.withColumn("_lag", F.lag(lag).over(ordered))
-
-    last = F.max_by(F.col(lag), F.struct(*order)) if lag else F.lit(None)
-    parts = (
-        tagged.filter("_hot").groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_rows"), last.alias("_last"))
+    keys, order, spark = list(keys), list(order), df.sparkSession
+    tie = F.xxhash64(F.monotonically_increasing_id())
+    ranged = (
+        df.withColumn("_tie", tie).repartitionByRange(*keys, *order, "_tie").withColumn("_part", F.spark_partition_id())
     )
-    by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
-    parts = parts.select(
-        *keys,
-        "_chunk",
-        F.sum("_rows").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-        F.sum("_rows").over(Window.partitionBy(*keys)).alias("_total"),
-        F.lag("_last").over(by_chunk).alias("_prev_last"),
+    path = scratch(spark, "numbered")
+    ranged.write.parquet(path)
+    placed = spark.read.schema(ranged.schema).parquet(path)
+    piece = Window.partitionBy("_part", *keys)
+    ordered = piece.orderBy(*order, "_tie")
+    added = {"_rn": F.row_number().over(ordered), "_rows": F.count(F.lit(1)).over(piece)}
+    numbered = placed.withColumns({**added, "_lag": F.lag(lag).over(ordered)} if lag else added)
+
+    last = F.max_by(F.col(lag), F.struct(*order, "_tie")) if lag else F.lit(None).cast("int")
+    pieces = placed.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_rows"), last.alias("_last"))
+    wide = pieces.groupBy(*keys).agg(F.count(F.lit(1)).alias("_pieces")).where("_pieces > 1")
+    by_piece = Window.partitionBy(*keys).orderBy("_part")
+    same = [F.col(f"p.{k}").eqNullSafe(F.col(f"w.{k}")) for k in keys]
+    offsets = (
+        pieces.alias("p")
+        .join(wide.alias("w"), same, "left_semi")
+        .select(
+            F.col("_part").alias("_o_part"),
+            *[F.col(k).alias(f"_o_{k}") for k in keys],
+            F.sum("_rows").over(by_piece.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+            F.sum("_rows").over(Window.partitionBy(*keys)).alias("_total"),
+            F.lag("_last").over(by_piece).alias("_prev_last"),
+        )
     )
-    out = numbered.join(parts, [*keys, "_chunk"], "left")
+    found = [numbered["_part"] == offsets["_o_part"], *[numbered[k].eqNullSafe(offsets[f"_o_{k}"]) for k in keys]]
+    out = numbered.join(offsets, found, "left")
     columns = [
-        *[F.col(c) for c in df.columns],
-        (F.col("_rn") + F.coalesce("_before", F.lit(0))).cast("int").alias("rn"),
-        F.coalesce("_total", "_chunk_rows").alias("group_rows"),
+        *[numbered[c] for c in df.columns],
+        (F.col("_rn") + F.coalesce("_before", F.lit(0))).alias("rn"),
+        F.coalesce("_total", "_rows").alias("group_rows"),
     ]
     if lag:
         columns.append(F.coalesce("_lag", "_prev_last").alias("prev"))
     return out.select(*columns)
 
 
-def global_position(df: DataFrame, order: Sequence[str | Column], name: str = "pos", partitions: int | None = None) -> DataFrame:
-    """Number all rows 0..n-1 by ``order`` without a one-task sort.
-
-    The rows are range-partitioned and sorted, and checkpointed so that partition bounds stay fixed if a task is run
-    again. The upper bits of ``monotonically_increasing_id`` give the partition, the lower 33 the place within it; one
-    count per partition (a frame as long as the number of partitions) turns places into positions. ``order`` should
-    identify rows, so that equal values can fall into different partitions.
-    """
-    shared_dir(df.sparkSession)
-    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    placed = (
-        ranged.sortWithinPartitions(*order)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("_part", F.shiftright("_id", 33))
-        .withColumn("_place", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
-    )
-    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-    # One row per partition: a single-task window here is bounded by the partition count.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    return placed.join(F.broadcast(offsets), "_part").select(
-        *df.columns, (F.col("_before") + F.col("_place")).alias(name)
-    )
-
-
 def global_running_count(df: DataFrame, order: Sequence[str | Column], flag: Column, name: str) -> DataFrame:
     """For each row the number of flagged rows up to and including it in the global ``order``.
 
-    Same scheme as ``global_position``: the running sum stays within a range partition, the sums of the partitions
-    before are added.
+    The running sum stays within a range partition, fixed by a checkpoint; the sums of the partitions before, one row
+    per partition, are added.
     """
     shared_dir(df.sparkSession)
     placed = (

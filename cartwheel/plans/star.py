@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwheel.plans.skew import HOT_ROWS, hot_keys, number_in_group
+from cartwheel.plans.skew import number_in_group
 from cartwheel.session import scratch
 
 
@@ -32,16 +32,14 @@ class Star:
         return self.lines.filter("eval_set = 'train'").drop("eval_set")
 
 
-def derive_orders(orders: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def derive_orders(orders: DataFrame) -> DataFrame:
     """One row per order, numbered per user by date; the last order of a user is train or test, the rest prior."""
     raw = orders.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
         F.to_date("o_orderdate").alias("order_date"),
     )
-    seq = number_in_group(
-        raw, ["user_id"], ["order_date", "order_id"], F.col("order_date"), lag="order_date", limit=hot_rows
-    )
+    seq = number_in_group(raw, ["user_id"], ["order_date", "order_id"], lag="order_date")
     gap = F.floor(F.datediff("order_date", "prev") / 10)
     return seq.select(
         "order_id",
@@ -50,28 +48,31 @@ def derive_orders(orders: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         .when(F.col("user_id") % 2 == 0, "train")
         .otherwise("test")
         .alias("eval_set"),
-        F.col("rn").alias("order_number"),
+        F.col("rn").cast("int").alias("order_number"),
         (F.dayofweek("order_date") - 1).cast("int").alias("order_dow"),
         (F.col("order_id") % 24).cast("int").alias("order_hour_of_day"),
         F.when(F.col("prev").isNotNull(), F.least(gap, F.lit(30))).cast("int").alias("days_since_prior_order"),
     )
 
 
-def derive_lines(lineitem: DataFrame, orders: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def derive_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per order and product with its cart position and whether the user bought the product before."""
     picked = lineitem.groupBy(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")
     ).agg(F.min("l_linenumber").alias("ln"))
-    # Line number, then blocks of product ids: one number that grows along the order of the lines.
-    chunk = F.col("ln").cast("long") * F.lit(1 << 40) + F.floor(F.col("product_id") / 100_000)
-    hot = hot_keys(lineitem.withColumnRenamed("l_orderkey", "order_id"), ["order_id"], hot_rows)
-    carts = number_in_group(picked, ["order_id"], ["ln", "product_id"], chunk, limit=hot_rows, hot=hot)
-    joined = carts.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
+    carts = number_in_group(picked, ["order_id"], ["ln", "product_id"])
+    joined = carts.select("order_id", "product_id", F.col("rn").cast("int").alias("add_to_cart_order")).join(
+        orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id"
+    )
+    # Written, as both the first purchases and the lines that are compared with them read it.
+    path = scratch(joined.sparkSession, "joined-lines")
+    joined.write.parquet(path)
+    joined = joined.sparkSession.read.schema(joined.schema).parquet(path)
     first = joined.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"))
     return joined.join(first, ["user_id", "product_id"]).select(
         "order_id",
         "product_id",
-        F.col("rn").alias("add_to_cart_order"),
+        "add_to_cart_order",
         (F.col("order_number") > F.col("first_number")).cast("int").alias("reordered"),
         "eval_set",
     )
@@ -111,13 +112,13 @@ def load_star(spark: SparkSession, sf_dir: str) -> Star:
     return _LOADED[key]
 
 
-def write_star(spark: SparkSession, sf_dir: str, root: str, hot_rows: int = HOT_ROWS) -> Star:
+def write_star(spark: SparkSession, sf_dir: str, root: str) -> Star:
     def stored(name: str, df: DataFrame, *partitions: str) -> DataFrame:
         df.write.partitionBy(*partitions).parquet(f"{root}/{name}")
         return spark.read.parquet(f"{root}/{name}")
 
-    orders = stored("orders", derive_orders(spark.read.parquet(f"{sf_dir}/orders.parquet"), hot_rows))
-    lines = derive_lines(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), orders, hot_rows)
+    orders = stored("orders", derive_orders(spark.read.parquet(f"{sf_dir}/orders.parquet")))
+    lines = derive_lines(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), orders)
     lines = stored("lines", lines, "eval_set")
     dimensions = zip(("products", "aisles", "departments"), derive_dimensions(spark.read.parquet(f"{sf_dir}/part.parquet")))
     return Star(orders, lines, *(stored(name, df) for name, df in dimensions))

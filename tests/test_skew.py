@@ -1,4 +1,4 @@
-"""Numbering must not depend on whether a group counts as hot."""
+"""Numbering must not depend on how groups fall into partitions."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwheel.plans import skew
-from cartwheel.plans.star import write_star
+from cartwheel.plans.star import derive_lines, derive_orders
 
 
 def skewed(spark):
@@ -17,27 +17,43 @@ def skewed(spark):
     )
 
 
-def test_number_in_group_with_and_without_hot_groups(spark):
+def test_number_in_group_over_many_partitions(spark):
     df = skewed(spark)
     w = Window.partitionBy("user").orderBy("day", "id")
     want = df.select(
         "id", "user", F.row_number().over(w).alias("rn"), F.count(F.lit(1)).over(Window.partitionBy("user")).alias("group_rows"),
         F.lag("day").over(w).alias("prev"),
     )
-    for limit in (10, 500, 10_000):
-        got = skew.number_in_group(df, ["user"], ["day", "id"], F.col("day"), lag="day", limit=limit)
+    for partitions in ("1", "7", "40"):
+        kept = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        got = skew.number_in_group(df, ["user"], ["day", "id"], lag="day")
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
         assert rows(got.select(*want.columns), "id") == rows(want, "id")
 
 
-def test_hot_keys_are_bounded(spark):
-    assert rows(skew.hot_keys(skewed(spark), ["user"], 500)) == [(0,)]
+def test_equal_rows_and_null_keys_are_numbered_too(spark):
+    df = spark.range(900).select(F.when(F.col("id") % 3 > 0, 1).alias("user"), F.lit("a").alias("day"))
+    got = rows(skew.number_in_group(df, ["user"], ["day"]).groupBy("user").agg(F.min("rn"), F.max("rn"), F.countDistinct("rn"), F.max("group_rows")), "user")
+    assert got == [(None, 1, 300, 300, 300), (1, 1, 600, 600, 600)]
 
 
-def test_global_position(spark):
-    got = skew.global_position(skewed(spark), ["day", "id"], partitions=7)
-    ordered = rows(got.select("day", "id", "pos"), "pos")
-    assert [r[2] for r in ordered] == list(range(3000))
-    assert [r[:2] for r in ordered] == sorted(r[:2] for r in ordered)
+def test_heavy_order_with_large_line_numbers(spark):
+    lines = spark.range(2000).select(
+        F.when(F.col("id") < 1500, 1).otherwise(F.col("id")).alias("l_orderkey"), (F.col("id") * 3).alias("l_partkey"),
+        (F.col("id") + (1 << 23)).alias("l_linenumber"),
+    )
+    orders = lines.select(F.col("l_orderkey").alias("order_id"), F.lit(5).alias("user_id"), F.lit(1).alias("order_number"), F.lit("prior").alias("eval_set")).distinct()
+    got = rows(derive_lines(lines, orders).where("order_id = 1").select("add_to_cart_order", "product_id"), "add_to_cart_order")
+    assert got == [(i + 1, i * 3) for i in range(1500)]
+
+
+def test_user_with_all_orders_on_one_date(spark):
+    orders = spark.range(3000).select(
+        F.col("id").alias("o_orderkey"), F.lit(7).alias("o_custkey"), F.lit("2020-01-01").alias("o_orderdate")
+    )
+    got = rows(derive_orders(orders).select("order_id", "order_number", "eval_set"), "order_id")
+    assert [r[1] for r in got] == list(range(1, 3001)) and got[-1][2] == "test" and {r[2] for r in got[:-1]} == {"prior"}
 
 
 def test_global_running_count(spark):
@@ -47,10 +63,3 @@ def test_global_running_count(spark):
     for day, row_id, user, n in got:
         total += user == 0
         assert n == total, (day, row_id)
-
-
-def test_star_is_the_same_with_hot_groups(spark, sf_dir, star, tmp_path):
-    hot = write_star(spark, sf_dir, str(tmp_path / "star"), hot_rows=4)
-    assert rows(hot.orders, "order_id") == rows(star.orders, "order_id")
-    columns = ["order_id", "product_id", "add_to_cart_order", "reordered", "eval_set"]
-    assert rows(hot.lines.select(columns), *columns[:2]) == rows(star.lines.select(columns), *columns[:2])
