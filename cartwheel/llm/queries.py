@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontam, exact, pieces, quality, simhash
+from cartwheel.llm import chat, decontam, exact, licenses, pieces, quality, secrets, shards, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,6 +33,88 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _spans_sql() -> str:
+    """One CTE per kind: gaps and matches of each text, running lengths, then the spans that are long enough."""
+    parts = []
+    for n, rule in enumerate(secrets.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(
+            f"""
+            SELECT doc_id, {n} AS k, '{rule.kind}' AS kind, upto[2 * i] - length(m[i]) AS s, upto[2 * i] AS e
+            FROM (
+                SELECT *, unnest(range(1, len(m) + 1)) AS i,
+                       list_transform(range(1, 2 * len(m) + 1), lambda j: list_sum(list_transform(z[1 : j], lambda x: length(x)))) AS upto
+                FROM (
+                    SELECT *, flatten(list_transform(range(1, len(m) + 1), lambda j: [g[j], m[j]])) AS z
+                    FROM (
+                        SELECT doc_id, string_split_regex(t, '{pattern}') AS g, regexp_extract_all(t, '{pattern}') AS m,
+                               regexp_extract_all(t, '{pattern}', {rule.group}) AS asked
+                        FROM d WHERE regexp_matches(t, '{pattern}')
+                    )
+                )
+            ) WHERE length(asked[i]) >= {rule.least}
+            """
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query(
+    "op1_secret_scan",
+    f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    f AS (SELECT *, concat_ws(':', kind, s, e) AS span FROM ({_spans_sql()}))
+    SELECT d.doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+           sha256(coalesce(string_agg(span, ',' ORDER BY s, k) FILTER (k < 3), '')) AS base_sha256,
+           coalesce(string_agg(span, ',' ORDER BY s, k), '') AS spans
+    FROM d LEFT JOIN f USING (doc_id) GROUP BY d.doc_id
+    """,
+)
+def op1_secret_scan(spark, sf_dir):
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    counts = [
+        F.size(F.filter(spans, lambda s, n=n: s["kind"] == n)).cast("long").alias(f"n_{rule.kind}")
+        for n, rule in enumerate(secrets.RULES[: secrets.BASE])
+    ]
+    base = F.filter(spans, lambda s: s["kind"] < secrets.BASE)
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(spans).alias("spans")
+    )
+
+
+@query(
+    "op2_chat_perspectives",
+    f"""
+    WITH t AS (
+        SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) AS place
+        FROM conversations
+    ), p AS (
+        SELECT t.conv_id, speaker, place, role = speaker AS trained, text || '<|end|>' || chr(10) AS body,
+               CASE WHEN role = 'system' THEN '<|system|>' WHEN role = speaker THEN '<|assistant|>'
+                    ELSE '<|user name=' || role || '|>' END || chr(10) AS header
+        FROM t JOIN (SELECT DISTINCT conv_id AS c, role AS speaker FROM t WHERE role <> 'system') ON conv_id IS NOT DISTINCT FROM c
+    ), a AS (
+        SELECT *, (place - 1) // {chat.TURNS} AS part,
+               sum(length(header) + length(body)) OVER (PARTITION BY conv_id, speaker, (place - 1) // {chat.TURNS} ORDER BY place) AS e
+        FROM p
+    )
+    SELECT conv_id, speaker, CAST(part AS INT) AS part, count(*) AS n_turns,
+           CAST(sum(length(header) + length(body)) AS BIGINT) AS n_chars,
+           sha256(string_agg(header || body, '' ORDER BY place)) AS text_sha256,
+           coalesce(string_agg((e - length(body))::VARCHAR || ':' || e::VARCHAR, ',' ORDER BY place) FILTER (trained), '') AS trained_spans
+    FROM a GROUP BY ALL
+    """,
+)
+def op2_chat_perspectives(spark, sf_dir):
+    done = chat.render(table(spark, sf_dir, "conversations"))
+    spans = F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return done.select(
+        "conv_id", "speaker", "part", "n_turns", F.length("text").cast("long").alias("n_chars"),
+        F.sha2("text", 256).alias("text_sha256"), F.array_join(spans, ",").alias("trained_spans"),
+    )
+
+
 @query(
     "op3_exact_dedup",
     """
@@ -48,6 +130,37 @@ def op3_exact_dedup(spark, sf_dir):
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def _licenses_sql() -> str:
+    known = " ".join(f"WHEN '{text}' THEN '{n}'" for n, text in licenses.SENTENCES.items())
+    rules = ", ".join(
+        f"{{'name': '{name}', 'n': len(regexp_extract_all(line, '\\b{licenses.rule_pattern(steps, licenses.GAP)}'))}}"
+        for name, steps in sorted(licenses.RULES.items())
+    )
+    return f"""
+    WITH s AS (
+        SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(
+                   regexp_replace(coalesce(text, ''), '{licenses.AFTER_STOP}', '\\1' || chr(1), 'g'),
+                   '{licenses.LINE_END}', chr(1) || '\\1', 'g'), chr(1)),
+                   lambda x: trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> '') AS every
+        FROM documents
+    ), l AS (
+        SELECT doc_id, ids, array_to_string(ids, ';') || ';' AS line
+        FROM (SELECT doc_id, list_transform(every, lambda x: CASE x {known} ELSE '-' END) AS ids FROM s)
+    )
+    SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences, array_to_string(list_filter(ids, lambda x: x <> '-'), ',') AS known,
+           array_to_string(list_transform(list_filter([{rules}], lambda r: r.n > 0), lambda r: r.name || ':' || r.n), ',') AS licences
+    FROM l
+    """
+
+
+@query("op4_license_scan", _licenses_sql())
+def op4_license_scan(spark, sf_dir):
+    found = licenses.licenses(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_sentences", F.array_join("known", ",").alias("known"), F.array_join("licences", ",").alias("licences")
+    )
+
+
 @query(
     "op5_benchmark_decontamination",
     r"""
@@ -103,6 +216,20 @@ def op6_simhash_near_dedup(spark, sf_dir):
     )
 
 
+@query("op7_shard_shuffle")
+def op7_shard_shuffle(spark, sf_dir):
+    dealt = shards.shuffle_into_shards(table(spark, sf_dir, "documents"))
+    return dealt.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op8_suffix_dedup")
+def op8_suffix_dedup(spark, sf_dir):
+    return substrings.drop_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op9_quality_classifier")
 def op9_quality_classifier(spark, sf_dir):
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
