@@ -57,18 +57,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def bitmap(keys: DataFrame, bits: int | None = None) -> np.ndarray:
-    """Words of a bitmap over the low bits of the long column ``key``, at most ``MOST_BITS`` bits (16 MB).
+    """Words of a bitmap with two places for each value of the long column ``key``, at most ``MOST_BITS`` bits (16 MB).
 
     Its size follows the number of keys up to that bound. Beyond it more keys that were never put in seem to be there;
     users of the bitmap must decide exactly afterwards, so only their volume changes, not their result.
     """
     if bits is None:
-        bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * keys.count()).bit_length()))
-    slot = f"(key & {bits - 1}L)"
+        bits = min(MOST_BITS, max(LEAST_BITS, 1 << (32 * keys.count()).bit_length()))
+    last = bits - 1
     words = (
-        keys.select(
-            F.expr(f"shiftright({slot}, 6)").alias("word"), F.expr(f"shiftleft(1L, cast({slot} & 63 as int))").alias("bit")
-        )
+        keys.select(F.explode(F.array(F.expr(f"key & {last}L"), F.expr(f"shiftrightunsigned(key, 37) & {last}L"))).alias("slot"))
+        .select(F.expr("shiftright(slot, 6)").alias("word"), F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
         .toArrow()
@@ -80,5 +79,12 @@ def bitmap(keys: DataFrame, bits: int | None = None) -> np.ndarray:
 
 def in_bitmap(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Whether each 64-bit key may be in the bitmap."""
-    slot = keys.view(np.uint64) & np.uint64((len(words) << 6) - 1)
-    return (words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+    keys, last = keys.view(np.uint64), np.uint64((len(words) << 6) - 1)
+
+    def held(slot):
+        return (words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+    out = held(keys & last)
+    some = np.flatnonzero(out)
+    out[some] = held((keys[some] >> np.uint64(37)) & last)
+    return out

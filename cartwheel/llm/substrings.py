@@ -6,7 +6,8 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import bitmap, in_bitmap, python_ready, slices, whole_text, written
@@ -16,6 +17,9 @@ LENGTH, Q = 100, 25
 GRAMS = LENGTH - Q + 1
 #: A window holds all of its anchor's next SIDE bytes to the left, or all of those to the right.
 SIDE = (LENGTH - Q + 1) // 2
+#: Sides of one bucket that one task compares.
+GROUP = 2048
+PLACE = ("doc_id", "row", "place", "low", "high")
 PLACE_BITS = 31
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -97,10 +101,6 @@ class Slice:
     def ids(self, at):
         return self.doc_id.take(pa.array(at, pa.int64()))
 
-    def anchor_id(self):
-        """Identifier of (row, place in the document); its complement stands for the right side."""
-        return refine(self.row[self.doc].astype(np.uint64), (self.place - self.starts[self.doc]).astype(np.uint64))
-
 
 def _order(part: Slice, doc, at):
     """Places of the order (doc_id, row, place) among the slice's rows; no doc_id comes first."""
@@ -124,73 +124,109 @@ def _count_buckets(batches):
         yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
 
 
-SPANS = "doc_id long, row long, place int, low int, high int, s1 long, s2 long, lk long, rk long, aid long"
+SPANS = "doc_id long, row long, place int, low int, high int, s1 long, s2 long, lk long, rk long"
+LOCAL = -1
 
 
 def _find_spans(repeated):
-    """Anchors whose bucket occurs again, with identifiers of the bytes of all their windows together.
+    """Anchors whose bucket occurs again, with 128 bits that stand for the bytes of all their windows together.
 
     lk and rk are the buckets refined by those further left and right, as far as a window reaches on one side at
-    least. Spans that the slice itself repeats come without identifiers: all their windows are repeats.
+    least. Where the slice itself has the span before, all its windows are repeats: such spans are merged to intervals
+    of bytes (place LOCAL, low and high are the ends).
     """
 
     def run(batches):
         for batch in slices(batches):
             part = Slice(batch)
             part.keep(in_bitmap(repeated.value, part.buckets[part.place]) if len(part.place) else slice(0))
-            place, low, high, doc, b = part.place, part.low, part.high, part.doc, part.buckets
-            shape = ((place - low) << 8 | (high - low)).astype(np.uint64)
-            s1, s2 = (refine(refine(part.windows(low, m), part.windows(high, m), m), shape, m) for m in (M1, M2))
-            first = _repeats(part, s1, s2, doc, place)
-            left, right = low <= place - SIDE, high >= place - SIDE + 1
+            shape = ((part.place - part.low) << 8 | (part.high - part.low)).astype(np.uint64)
+            s1, s2 = (refine(refine(part.windows(part.low, m), part.windows(part.high, m), m), shape, m) for m in (M1, M2))
+            first = _repeats(part, s1, s2, part.doc, part.place)
+            base = part.starts[part.doc]
+            low, stop, doc = (part.low - base)[~first], (part.high - base)[~first] + LENGTH, part.doc[~first]
+            new = np.r_[True, (doc[1:] != doc[:-1]) | (low[1:] > stop[:-1])][: len(doc)]
+            at = np.flatnonzero(new)
+            low, stop, doc = low[at], stop[np.r_[at[1:] - 1, len(stop) - 1]] if len(at) else stop, doc[at]
+            part.keep(first)
+            place, b = part.place, part.buckets
+            left, right = part.low <= place - SIDE, part.high >= place - SIDE + 1
             lk, rk = np.zeros(len(place), np.uint64), np.zeros(len(place), np.uint64)
             p = place[left]
             lk[left] = refine(refine(b[p - SIDE], b[p - SIDE + Q]), b[p])
             p = place[right]
             rk[right] = refine(refine(b[p], b[p + Q]), b[p + SIDE])
-            base = part.starts[doc]
+            base, none = part.starts[part.doc], np.ones(len(doc), bool)
+            docs = np.r_[part.doc, doc]
+
+            def ints(own, interval):
+                return pa.array(np.r_[own, interval].astype(np.int32))
 
-            def column(values, missing=None):
-                return pa.array(values.view(np.int64), mask=missing)
+            def longs(own, interval, missing=None):
+                return pa.array(np.r_[own, interval.astype(np.uint64)].view(np.int64), mask=missing)
 
             yield pa.RecordBatch.from_arrays(
-                [part.ids(doc), pa.array(part.row[doc])]
-                + [pa.array((x - base).astype(np.int32)) for x in (place, low, high)]
-                + [column(s1, ~first), column(s2, ~first), column(lk, ~left), column(rk, ~right), column(part.anchor_id())],
+                [part.ids(docs), pa.array(part.row[docs]), ints(place - base, np.full(len(doc), LOCAL))]
+                + [ints(part.low - base, low), ints(part.high - base, stop)]
+                + [longs(s1[first], part.row[doc]), longs(s2[first], low)]
+                + [longs(lk, low, np.r_[~left, none]), longs(rk, low, np.r_[~right, none])],
                 names=[c.split()[0] for c in SPANS.split(", ")],
             )
 
     return run
 
 
-WINDOWS = "doc_id long, row long, start int, stop int, w1 long, w2 long"
+SIDES = "side int, k long, salts int, salt int, doc_id long, row long, place int, start int, body binary"
 
 
-def _find_windows(wanted):
-    """Windows of the wanted sides of anchors. Those that the slice itself repeats come without identifiers."""
-
-    def run(batches):
-        for batch in slices(batches):
-            part = Slice(batch)
-            aid = part.anchor_id() if len(part.place) else np.zeros(0, np.uint64)
-            left, right = in_bitmap(wanted.value, aid), in_bitmap(wanted.value, ~aid)
-            # Left side: windows that hold SIDE bytes left of the anchor; right side: the others.
-            from_ = np.where(left, part.low, np.maximum(part.low, part.place - SIDE + 1))
-            upto = np.where(right, part.high, np.minimum(part.high, part.place - SIDE))
-            size = np.where(left | right, np.maximum(upto - from_ + 1, 0), 0)
-            total = int(size.sum())
-            at = np.repeat(from_ - (np.cumsum(size) - size), size) + np.arange(total)
-            doc = np.repeat(part.doc, size)
-            w1, w2 = part.windows(at, M1), part.windows(at, M2)
-            again = ~_repeats(part, w1, w2, doc, at)
-            start = at - part.starts[doc]
-            yield pa.RecordBatch.from_arrays(
-                [part.ids(doc), pa.array(part.row[doc]), pa.array(start.astype(np.int32)), pa.array((start + LENGTH).astype(np.int32))]
-                + [pa.array(w.view(np.int64), mask=again) for w in (w1, w2)],
-                names=[c.split()[0] for c in WINDOWS.split(", ")],
-            )
-
-    return run
+def _show_sides(batches):
+    """The bytes of the windows on each side in question: left side, those that hold SIDE bytes left of the anchor."""
+    for batch in slices(batches):
+        rows = []
+        texts, ids, numbers = batch.column("text"), batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
+        for text, doc_id, row, sides in zip(texts, ids, numbers, batch.column("sides").to_pylist()):
+            raw = text.as_buffer().to_pybytes()
+            for s in sides:
+                place = s["place"]
+                start = s["low"] if s["side"] == 0 else max(s["low"], place - SIDE + 1)
+                last = min(s["high"], place - SIDE) if s["side"] == 0 else s["high"]
+                rows.append((s["side"], s["k"], s["salts"], s["salt"], doc_id, row, place, start, raw[start : last + LENGTH]))
+        columns = list(zip(*rows)) if rows else [[]] * 9
+        kinds = [{"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}[c.split()[1]] for c in SIDES.split(", ")]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[c.split()[0] for c in SIDES.split(", ")])
+
+
+FOUND = "doc_id long, row long, start int, stop int, side int, k long, off int, w1 long, w2 long"
+
+
+def _resolve(batches):
+    """Rows come sorted by (side, k, salt) and place in the order of texts: all but the first of equal windows at the
+    same offset are repeats, as intervals. Where the bucket has several salts, first ones go on with identifiers."""
+    group, seen = None, set()
+    for batch in batches:
+        found = []
+        for side, k, salts, salt, doc_id, row, place, start, body in zip(*(c.to_pylist() for c in batch.columns)):
+            if (side, k, salt) != group:
+                group, seen = (side, k, salt), set()
+            open_ = None
+            for i in range(len(body) - LENGTH + 1):
+                window = (place - start - i, body[i : i + LENGTH])
+                if window in seen:
+                    if open_ is None:
+                        open_ = start + i
+                    continue
+                if open_ is not None:
+                    found.append((doc_id, row, open_, start + i - 1 + LENGTH, None, None, None, None, None))
+                    open_ = None
+                seen.add(window)
+                if salts > 1:
+                    mark = np.frombuffer(xxhash.xxh3_128_digest(window[1]), np.int64).tolist()
+                    found.append((doc_id, row, start + i, start + i + LENGTH, side, k, window[0], *mark))
+            if open_ is not None:
+                found.append((doc_id, row, open_, start + len(body), None, None, None, None, None))
+        columns = list(zip(*found)) if found else [[]] * 9
+        kinds = [{"int": pa.int32(), "long": pa.int64()}[c.split()[1]] for c in FOUND.split(", ")]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[c.split()[0] for c in FOUND.split(", ")])
 
 
 def _cut(batches):
@@ -220,48 +256,50 @@ def _cut(batches):
         )
 
 
-def repeated_intervals(docs: DataFrame) -> DataFrame:
+def repeated_intervals(source: DataFrame, most: int = GROUP) -> DataFrame:
     """row, start and stop (bytes) of intervals that together cover each later repeat; see ``drop_repeats``."""
-    spark = docs.sparkSession
-    source = docs
-    counts = source.select("row", "doc_id", "text").mapInArrow(_count_buckets, "key long, n long")
+    spark = source.sparkSession
+    counts = source.mapInArrow(_count_buckets, "key long, n long")
     again = written(counts.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"), "substr-buckets")
     repeated = spark.sparkContext.broadcast(bitmap(again))
-    spans = written(source.mapInArrow(_find_spans(repeated), SPANS), "substr-spans")
-
-    place = F.struct("doc_id", "row", "place", "aid")
-    firsts = written(
-        spans.where("s1 is not null")
-        .groupBy("s1", "s2")
-        .agg(F.min(place).alias("f"), F.min("lk").alias("lk"), F.min("rk").alias("rk"), F.count("*").alias("n")),
-        "substr-firsts",
+    # One row per slice at most for the same bytes, so this window holds no open-ended group.
+    same = Window.partitionBy("s1", "s2").orderBy("doc_id", "row", "place")
+    marked = written(
+        source.mapInArrow(_find_spans(repeated), SPANS)
+        .withColumn("first", (F.row_number().over(same) == 1) & (F.col("place") != LOCAL))
+        .drop("s1", "s2"),
+        "substr-spans",
+    )
+    sides = marked.where("first").select(
+        F.inline(F.array(*[F.struct(F.lit(side).alias("side"), F.col(k).alias("k"), *PLACE) for side, k in ((0, "lk"), (1, "rk"))]))
+    ).where("k is not null")
+    shared = written(sides.groupBy("side", "k").agg(F.count("*").alias("n")).where("n > 1"), "substr-shared")
+    salts = F.ceil(F.col("n") / most).cast("int")
+    open_ = (
+        sides.join(shared, ["side", "k"])
+        .withColumn("salts", salts)
+        .withColumn("salt", F.pmod(F.xxhash64("row", "place"), F.col("salts")).cast("int"))
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("side", "k", "place", "low", "high", "salts", "salt")).alias("sides"))
     )
-    both = [
-        F.struct(F.lit(side).alias("side"), F.col(bucket).alias("k"), key.alias("key"))
-        for side, bucket, key in ((0, "lk", F.col("f.aid")), (1, "rk", F.bitwise_not("f.aid")))
-    ]
-    sides = firsts.select(F.inline(F.array(*both))).where("k is not null")
-    shared = written(sides.groupBy("side", "k").agg(F.count("*").alias("n")).where("n > 1").select("side", "k"), "substr-shared")
-    open_ = written(sides.join(shared, ["side", "k"], "left_semi").select("key"), "substr-open")
-    wanted = spark.sparkContext.broadcast(bitmap(open_))
-    windows = written(source.mapInArrow(_find_windows(wanted), WINDOWS), "substr-windows")
-
-    earliest = written(
-        windows.where("w1 is not null")
-        .groupBy("w1", "w2")
+    # The same exchange of texts serves here and where the texts are cut.
+    shown = source.join(open_.hint("shuffle_hash"), "row").select("doc_id", "row", "text", "sides").mapInArrow(_show_sides, SIDES)
+    key = ["side", "k", "salt"]
+    resolved = shown.repartition(*key).sortWithinPartitions(*key, "doc_id", "row", "place").mapInArrow(_resolve, FOUND)
+    window = ["side", "k", "off", "w1", "w2"]
+    hot = resolved.where("w1 is not null")
+    earliest = (
+        hot.groupBy(*window)
         .agg(F.min(F.struct("doc_id", "row", "start")).alias("f"), F.count("*").alias("n"))
-        .where("n > 1"),
-        "substr-earliest",
+        .where("n > 1")
     )
-    whole = (F.col("low").alias("start"), (F.col("high") + LENGTH).alias("stop"))
-    later_spans = spans.join(firsts.where("n > 1").select("s1", "s2", "f"), ["s1", "s2"]).where("row != f.row or place != f.place")
-    later_windows = windows.join(earliest, ["w1", "w2"]).where("row != f.row or start != f.start")
+    later = hot.join(earliest, window).where("row != f.row or start != f.start")
     return (
-        spans.where("s1 is null")
-        .select("row", *whole)
-        .union(later_spans.select("row", *whole))
-        .union(windows.where("w1 is null").select("row", "start", "stop"))
-        .union(later_windows.select("row", "start", "stop"))
+        marked.where(F.col("place") == LOCAL)
+        .select("row", F.col("low").alias("start"), F.col("high").alias("stop"))
+        .union(marked.where(~F.col("first") & (F.col("place") != LOCAL)).select("row", "low", F.col("high") + LENGTH))
+        .union(resolved.where("w1 is null").select("row", "start", "stop"))
+        .union(later.select("row", "start", "stop"))
     )
 
 
@@ -277,19 +315,18 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     place of a text is one. Buckets start as those 25-byte strings and are refined by the buckets at later offsets:
 
     1. Buckets of anchors are counted; an anchor alone in its bucket has no repeated window. Only buckets move.
-    2. For the others, the buckets of all bytes that their windows reach are combined. Of anchors with all of them
-       equal, the first stays in question and the others' windows are repeats at once.
-    3. Buckets of the first ones are refined to 63 bytes on either side; only sides that share them with other
-       bytes go on.
-    4. Their windows are refined from 25 bytes to 50 to 100, each step reusing the identifiers of the last; every
-       window but the first with its identifier is a repeat.
-    Identifiers of spans and windows have 128 bits. Each slice of a task combines its own repeats first, so that a
-    passage in very many documents sends one row per slice. Texts move once, to meet their intervals.
+    2. For the others, the buckets of all bytes that their windows reach are combined to 128 bits. Of anchors with all
+       of these equal, the first stays in question and the others' windows are repeats at once. Each slice of a task
+       combines its own first, so that a passage in very many documents sends one row per slice.
+    3. Buckets of the first ones are refined to 63 bytes on either side; only sides that share them with other bytes
+       go on. Their bytes, 138 at most, meet by bucket, and the windows in them are refined to all their 100 bytes, the
+       first of equal ones being the original. A bucket of more than ``GROUP`` sides is salted, and the salts' first
+       windows are merged once more by 128 bits.
     """
     python_ready(docs.sparkSession)
     source = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")
     )
     cuts = repeated_intervals(source).groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("cuts"))
-    joined = source.join(cuts, "row", "left").select("doc_id", "text", "cuts")
+    joined = source.join(cuts.hint("shuffle_hash"), "row", "left").select("doc_id", "text", "cuts")
     return joined.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

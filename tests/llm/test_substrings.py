@@ -56,6 +56,15 @@ def test_made_passages(stored):
         check(substrings.drop_repeats(docs), [(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_hot_bucket_is_salted(stored, monkeypatch):
+    monkeypatch.setattr(substrings.repeated_intervals, "__defaults__", (4,))
+    rng = random.Random(3)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(160))
+    text = lambda: "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(0, 120)))
+    pairs = [(i, text() + passage[rng.randint(0, 20) :] + text()) for i in range(120)]
+    check(substrings.drop_repeats(stored(pairs, 7)), pairs)
+
+
 def test_empty(stored):
     assert substrings.drop_repeats(stored([])).count() == 0
     check(substrings.drop_repeats(stored([(1, None), (2, "x")])), [(1, None), (2, "x")])
