@@ -2,7 +2,8 @@
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3),
 BENCH_QUERIES (comma-separated names, or "all"). Each query runs once to warm up, then the median of the timed runs
-counts. Results go to the noop sink. "star_build" is the one-time derivation of the star tables.
+counts. Results go to the noop sink. "star_build", the one-time derivation of the star tables, is run twice and the second
+run counts.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ import statistics
 import time
 
 from cartwheel.plans.catalog import QUERIES
-from cartwheel.plans.star import load_star
-from cartwheel.session import build_session
+from cartwheel.plans.star import load_star, write_star
+from cartwheel.session import build_session, scratch
 
 HEADLINE = (
     "clean_orders",
@@ -70,7 +71,9 @@ def main() -> None:
         **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "spark.ui.enabled": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = {"star_build": round(timed(lambda: load_star(spark, sf_dir)), 3)}
+    build = [timed(lambda: write_star(spark, sf_dir, scratch(spark, "bench-star"))) for _ in range(2)]
+    seconds = {"star_build": round(build[-1], 3)}
+    load_star(spark, sf_dir)
     for name in names:
         def run(query=QUERIES[name]):
             query(spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -78,7 +81,7 @@ def main() -> None:
         run()
         seconds[name] = round(statistics.median(timed(run) for _ in range(runs)), 3)
     spark.stop()
-    total = round(sum(v for k, v in seconds.items() if k != "star_build"), 3)
+    total = round(sum(seconds.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(

@@ -26,9 +26,9 @@ def product_affinity(
     departments: DataFrame,
     top_n: int = 20,
     only_departments: Sequence[str] | None = None,
-    max_rows: int = 5000,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """Pairs among the top products bought in the same order, most frequent first."""
+    """Pairs among the top products bought in the same order; the ``max_rows`` most frequent ones if that is given."""
     eligible = quality.filter_departments(products, departments, only_departments).select("product_id")
     candidates = lines.join(eligible, "product_id", "left_semi")
     pairs = joins.basket_pairs(joins.restrict_top(candidates, top_n))
@@ -39,15 +39,16 @@ def product_affinity(
     def side(n: int) -> DataFrame:
         return named.select(*[F.col(c).alias(f"product{n}_{c.removeprefix('product_')}") for c in named.columns])
 
-    return (
+    named_pairs = (
         pairs.join(side(1), "product1_id")
         .join(side(2), "product2_id")
         .select(
             *[f"product{n}_{c}" for n in (1, 2) for c in ("id", "name", "department_id", "department")], "pair_count"
         )
-        .orderBy(F.desc("pair_count"), "product1_id", "product2_id")
-        .limit(max_rows)
     )
+    if max_rows is None:
+        return named_pairs
+    return named_pairs.orderBy(F.desc("pair_count"), "product1_id", "product2_id").limit(max_rows)
 
 
 def order_totals(lines: DataFrame, orders: DataFrame) -> DataFrame:
@@ -132,7 +133,7 @@ def _value_class() -> Column:
     )
 
 
-def lifetime_value(lines: DataFrame, orders: DataFrame, max_rows: int | None = 5000) -> DataFrame:
+def lifetime_value(lines: DataFrame, orders: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Totals per customer; ``avg_order_size`` is the mean cart position."""
     out = customer_totals(lines, orders).select(
         "user_id",
@@ -187,7 +188,7 @@ def _gap_stats(df: DataFrame, total: Column) -> DataFrame:
     )
 
 
-def churn_indicators(orders: DataFrame, max_rows: int | None = 5000) -> DataFrame:
+def churn_indicators(orders: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Gap statistics per customer without first orders."""
     out = _gap_stats(orders.filter("order_number <> 1"), F.countDistinct("order_id"))
     return out if max_rows is None else out.orderBy("user_id").limit(max_rows)
@@ -212,8 +213,8 @@ def churn_kpis(churn: DataFrame) -> DataFrame:
 
 
 def high_risk(churn: DataFrame, n: int = 10, by: str = "avg_days_between", above: float = RISK_AVG_DAYS) -> DataFrame:
-    """The first ``n`` customers by id whose indicator exceeds the limit."""
-    return churn.filter(F.col(by) > above).orderBy("user_id").limit(n)
+    """The ``n`` customers whose indicator exceeds the limit most."""
+    return churn.filter(F.col(by) > above).orderBy(F.desc(F.round(by, 9)), "user_id").limit(n)
 
 
 def data_summary(

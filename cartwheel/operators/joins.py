@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from cartwheel.operators import quality
 
+# Products of one order that a task pairs with each other.
+BASKET_BLOCK = 1000
+
 
 def all_lines(prior: DataFrame, train: DataFrame) -> DataFrame:
     return prior.unionByName(train)
@@ -92,17 +95,27 @@ def restrict_top(lines: DataFrame, n: int) -> DataFrame:
     return lines.join(F.broadcast(top), "product_id", "left_semi").select(*lines.columns)
 
 
-def basket_pairs(lines: DataFrame) -> DataFrame:
+def basket_pairs(lines: DataFrame, block: int = BASKET_BLOCK) -> DataFrame:
     """How often two products share an order, each pair once with the smaller id first.
 
-    Repeated products of an order are folded first, so an order joins at most (its distinct products) rows with
-    itself. Restrict ``lines`` with ``restrict_top`` to bound that by a product count.
+    Repeated products of an order are folded first. The products of an order are dealt into blocks of about ``block``
+    by hash, and each pair of blocks is a join key of its own, so that the pairs of a very large order spread over
+    many tasks; an order of one block, the usual case, has one key.
     """
     folded = lines.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("times"))
-    a, b = folded.alias("a"), folded.alias("b")
-    same_order = (F.col("a.order_id") == F.col("b.order_id")) & (F.col("a.product_id") < F.col("b.product_id"))
+    sizes = folded.groupBy("order_id").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    dealt = (
+        folded.join(sizes, "order_id")
+        .withColumn("own", F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    )
+    first = dealt.select("order_id", "own", "other", F.col("product_id").alias("product1_id"), F.col("times").alias("times1"))
+    second = dealt.select(
+        "order_id", F.col("other").alias("own"), F.col("own").alias("other"), F.col("product_id").alias("product2_id"), F.col("times").alias("times2")
+    )
     return (
-        a.join(b, same_order)
-        .groupBy(F.col("a.product_id").alias("product1_id"), F.col("b.product_id").alias("product2_id"))
-        .agg(F.sum(F.col("a.times") * F.col("b.times")).alias("pair_count"))
+        first.join(second, ["order_id", "own", "other"])
+        .where("product1_id < product2_id")
+        .groupBy("product1_id", "product2_id")
+        .agg(F.sum(F.col("times1") * F.col("times2")).alias("pair_count"))
     )

@@ -50,15 +50,16 @@ def first_k(df: DataFrame, k: int, key: str = "segment") -> DataFrame:
 
 
 def ecdf(df: DataFrame, column: str, x_max: int = 60) -> DataFrame:
-    """Empirical distribution of the values up to ``x_max``: per value its count and the share at or below it.
+    """Empirical distribution of all values, shown up to ``x_max``: per value its count and the share at or below it.
 
-    Values are counted first. The running sum is taken within whole-number blocks (at most ``x_max`` + 1 for
-    positive values) and shifted by the sizes of the blocks before.
+    Values are counted first. The running sum is taken within whole-number blocks (at most ``x_max`` + 2 for positive
+    values) and shifted by the sizes of the blocks before.
     """
     counts = (
-        df.filter(F.col(column) <= x_max).groupBy(F.col(column).cast("double").alias("value"))
+        df.filter(F.col(column).isNotNull())
+        .groupBy(F.col(column).cast("double").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_block", F.floor("value"))
+        .withColumn("_block", F.least(F.floor("value"), F.lit(x_max + 1)))
     )
     blocks = counts.groupBy("_block").agg(F.sum("n").alias("_rows"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -69,7 +70,8 @@ def ecdf(df: DataFrame, column: str, x_max: int = 60) -> DataFrame:
     )
     running = Window.partitionBy("_block").orderBy("value")
     return (
-        counts.withColumn("_sum", F.sum("n").over(running))
+        counts.where(F.col("value") <= x_max)
+        .withColumn("_sum", F.sum("n").over(running))
         .join(offsets, "_block")
         .select("value", "n", ((F.col("_before") + F.col("_sum")) / F.col("_total")).alias("cdf"))
     )

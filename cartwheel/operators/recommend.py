@@ -311,16 +311,17 @@ def preference(scored: DataFrame, n: int = PREFERENCE_SHOWN) -> DataFrame:
 
 
 def user_product_preference(model: ALSModel, users: DataFrame, catalog: DataFrame, query: str) -> DataFrame:
-    """Preference of users for the products named in ``query``: ids (the first five) or words."""
+    """Preference of users for the products named in ``query``: ids or words. Every user is scored
+    for every such product, which is what is asked for; the best few of each user are returned."""
     from cartwheel.functions.text import split_ids
 
     words = split_ids(query)
     if words and all(w.isdigit() for w in words):
-        wanted = catalog.filter(F.col("product_id").isin([int(w) for w in words[:PREFERENCE_SHOWN]]))
+        wanted = catalog.filter(F.col("product_id").isin([int(w) for w in words]))
         products = wanted.select("product_id", "product_name")
     else:
         products = search.word_matches(catalog, words)
-    # At most 120 products: the list is attached to each user, not joined.
+    # The named products of the catalog are attached to each user, not joined.
     listed = products.agg(F.collect_list(F.struct("product_id", "product_name"))).scalar()
     pairs = users.select("user_id").distinct().select("user_id", F.explode(listed).alias("p"))
     scored = score_pairs(model, pairs.select("user_id", "p.product_id"))

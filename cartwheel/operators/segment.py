@@ -14,7 +14,7 @@ from cartwheel.session import shared_dir
 # Segmentation parameters and the weights of the value score.
 SEGMENTS, R_CAP, TOP_N, BETA, SEED = 10, 60, 30, 500.0, 42
 VALUE_WEIGHTS = (0.4, 0.3, 0.3)
-HIGH_VALUE_USERS, RANDOM_USERS, COHORT_ROWS, EXPORT_USERS, PRODUCTS_PER_SEGMENT = 150, 150, 400, 200, 5
+HIGH_VALUE_USERS, RANDOM_USERS, PRODUCTS_PER_SEGMENT = 150, 150, 5
 
 
 def rfm(orders: DataFrame, train: DataFrame, r_cap: int = R_CAP) -> DataFrame:
@@ -87,12 +87,12 @@ def segment_popularity(
         .groupBy("segment", "product_id")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
-    # One row per segment, so the window over all of them and the broadcast are small.
+    # One row per segment.
     sizes = counted.groupBy("segment").agg(F.sum("cnt").alias("seg_total"))
     sizes = sizes.withColumn("total", F.sum("seg_total").over(Window.partitionBy()))
     # A product has one row per segment here.
     overall = counted.withColumn("gcnt", F.sum("cnt").over(Window.partitionBy("product_id")))
-    joined = overall.join(F.broadcast(sizes), "segment")
+    joined = overall.join(sizes, "segment")
     rate = F.col("gcnt") / F.col("total")
     scored = joined.select(
         "segment",
@@ -182,16 +182,17 @@ def user_profile(users: DataFrame, user_id: int) -> DataFrame:
 def segment_recommendations(users: DataFrame, popularity: DataFrame, n: int = 10) -> DataFrame:
     """Top ``n`` products of each user's segment.
 
-    The product side has at most ``n`` rows per segment, so it is broadcast and the users stay where they are: a
-    shuffle on the segment would put all users of a large segment into one task.
+    The product side has at most ``n`` rows per segment: the planner broadcasts it below its size limit, and splits
+    the users of a large segment over several tasks beyond.
     """
     top = popularity.filter(F.col("rank") <= n).select("segment", "product_id", "score", "rank")
-    return users.select("user_id", "segment").join(F.broadcast(top), "segment").select(
+    return users.select("user_id", "segment").join(top, "segment").select(
         "user_id", "segment", "product_id", "score", "rank"
     )
 
 
 def cluster_recommendations(popularity: DataFrame, segment: int, n: int = 10) -> DataFrame:
+    """The ``n`` best products of one segment."""
     return popularity.filter(F.col("segment") == segment).orderBy("rank").limit(n)
 
 
@@ -208,8 +209,8 @@ def same_segment_users(users: DataFrame, user_ids: list[int], n: int = 5) -> Dat
     return listed.join(cluster_summary(users), "segment")
 
 
-def cohort_union(high_value: DataFrame, random: DataFrame, popularity: DataFrame, rows: int = COHORT_ROWS) -> DataFrame:
-    """Segment products of both cohorts, the first ``rows`` in cohort, user and rank order."""
+def cohort_union(high_value: DataFrame, random: DataFrame, popularity: DataFrame, rows: int | None = None) -> DataFrame:
+    """Segment products of both cohorts; the first ``rows`` in cohort, user and rank order if that is given."""
     topn = ranking.first_k(popularity, PRODUCTS_PER_SEGMENT)
 
     def side(users: DataFrame, label: str) -> DataFrame:
@@ -219,18 +220,18 @@ def cohort_union(high_value: DataFrame, random: DataFrame, popularity: DataFrame
         return joined.withColumn("cohort", F.lit(label))
 
     both = side(high_value, "high_value").unionByName(side(random, "random"))
-    return both.orderBy("cohort", F.desc("hv"), "user_id", "rank").limit(rows)
+    return both if rows is None else both.orderBy("cohort", F.desc("hv"), "user_id", "rank").limit(rows)
 
 
-def cohort_export(cohorts: DataFrame, users: DataFrame, popularity: DataFrame, n: int = EXPORT_USERS) -> DataFrame:
-    """One nested record per user: segment, z-scores and the segment's products."""
-    chosen = cohorts.select("user_id").distinct().orderBy("user_id").limit(n)
+def cohort_export(cohorts: DataFrame, users: DataFrame, popularity: DataFrame) -> DataFrame:
+    """One nested record per user of the cohorts: segment, z-scores and the segment's products."""
+    chosen = cohorts.select("user_id").distinct()
     product = F.struct("rank", "product_id", "score")
     topn = ranking.first_k(popularity, PRODUCTS_PER_SEGMENT).groupBy("segment").agg(
         F.sort_array(F.collect_list(product)).alias("top_products")
     )
     return (
-        users.join(F.broadcast(chosen), "user_id", "left_semi")
+        users.join(chosen, "user_id", "left_semi")
         .join(topn, "segment", "left")
         .select(
             "user_id",

@@ -12,7 +12,7 @@ def lines_of(star):
     return joins.all_lines(star.prior, star.train)
 
 
-def affinity_sql(top_n: int, departments: tuple[str, ...] = (), max_rows: int = 5000) -> str:
+def affinity_sql(top_n: int, departments: tuple[str, ...] = ()) -> str:
     names = ", ".join(f"'{d}'" for d in departments)
     only = (
         f"WHERE p.department_id IN (SELECT department_id FROM b_departments WHERE department IN ({names}))" if names else ""
@@ -26,8 +26,7 @@ def affinity_sql(top_n: int, departments: tuple[str, ...] = (), max_rows: int =
       d1.department AS product1_department, product2_id, p2.product_name AS product2_name,
       p2.department_id AS product2_department_id, d2.department AS product2_department, pair_count
     FROM pairs JOIN b_products p1 ON p1.product_id = product1_id JOIN b_products p2 ON p2.product_id = product2_id
-    JOIN b_departments d1 ON d1.department_id = p1.department_id JOIN b_departments d2 ON d2.department_id = p2.department_id
-    ORDER BY pair_count DESC, product1_id, product2_id LIMIT {max_rows}"""
+    JOIN b_departments d1 ON d1.department_id = p1.department_id JOIN b_departments d2 ON d2.department_id = p2.department_id"""
 
 
 @query("product_affinity", affinity_sql(20))
@@ -36,11 +35,11 @@ def product_affinity(spark, sf_dir):
     return analytics.product_affinity(lines_of(star), star.products, star.departments)
 
 
-@query("product_affinity_departments", affinity_sql(50, ("SMALL", "PROMO"), 100))
+@query("product_affinity_departments", affinity_sql(50, ("SMALL", "PROMO")))
 def product_affinity_departments(spark, sf_dir):
     star = load_star(spark, sf_dir)
     return analytics.product_affinity(
-        lines_of(star), star.products, star.departments, top_n=50, only_departments=["SMALL", "PROMO"], max_rows=100
+        lines_of(star), star.products, star.departments, top_n=50, only_departments=["SMALL", "PROMO"]
     )
 
 
@@ -103,7 +102,7 @@ ltv AS (SELECT *, CASE WHEN total_orders >= 10 THEN 'High Value' WHEN total_orde
 @query(
     "lifetime_value",
     f""", {LTV_SQL} SELECT user_id, total_orders, total_items, total_reorders, ROUND(avg_order_size, 6) AS avg_order_size,
-    max_order_number, customer_segment FROM ltv ORDER BY total_items DESC, user_id LIMIT 5000""",
+    max_order_number, customer_segment FROM ltv""",
 )
 def lifetime_value(spark, sf_dir):
     star = load_star(spark, sf_dir)
@@ -151,7 +150,7 @@ def churn_rounded(df):
     return rounded(df, "avg_days_between", "max_days_between", "std_days_between")
 
 
-@query("churn_indicators", f", {CHURN_SQL} SELECT {CHURN_COLUMNS} FROM churn ORDER BY user_id LIMIT 5000")
+@query("churn_indicators", f", {CHURN_SQL} SELECT {CHURN_COLUMNS} FROM churn")
 def churn_indicators(spark, sf_dir):
     return churn_rounded(analytics.churn_indicators(load_star(spark, sf_dir).orders))
 
@@ -177,16 +176,16 @@ def churn_timeline(spark, sf_dir):
     ROUND(AVG(total_orders), 6) AS avg_orders FROM churn""",
 )
 def churn_kpis(spark, sf_dir):
-    churn = analytics.churn_indicators(load_star(spark, sf_dir).orders, max_rows=None)
+    churn = analytics.churn_indicators(load_star(spark, sf_dir).orders)
     return rounded(analytics.churn_kpis(churn), "avg_days", "avg_orders")
 
 
 @query(
     "high_risk",
-    f", {CHURN_SQL} SELECT {CHURN_COLUMNS} FROM churn WHERE avg_days_between > 14 ORDER BY user_id LIMIT 10",
+    f", {CHURN_SQL} SELECT {CHURN_COLUMNS} FROM churn WHERE churn.avg_days_between > 14 ORDER BY ROUND(churn.avg_days_between, 9) DESC, user_id LIMIT 10",
 )
 def high_risk(spark, sf_dir):
-    churn = analytics.churn_indicators(load_star(spark, sf_dir).orders, max_rows=None)
+    churn = analytics.churn_indicators(load_star(spark, sf_dir).orders)
     return churn_rounded(analytics.high_risk(churn))
 
 

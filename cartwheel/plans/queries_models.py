@@ -703,7 +703,7 @@ COHORT_SQL = f"""
 h_rnd AS (SELECT user_id, segment, hv FROM g_hv ORDER BY md5('42:' || CAST(user_id AS VARCHAR)), user_id LIMIT 150),
 h_all AS (SELECT *, 'high_value' AS cohort FROM h_hv UNION ALL SELECT *, 'random' FROM h_rnd),
 h_recs AS (SELECT user_id, segment, hv, product_id, rank, score, cohort FROM h_all LEFT JOIN s_pop USING (segment)
-  WHERE rank <= 5 ORDER BY cohort, hv DESC, user_id, rank LIMIT 400)
+  WHERE rank <= 5)
 """
 
 
@@ -748,11 +748,10 @@ def user_product_preference(spark, sf_dir):
 @query(
     "search_products",
     f""", {CATALOG_SQL} SELECT product_id, product_name, aisle, department, 1.0::DOUBLE AS score FROM cat
-    WHERE contains(lower(product_name), 'ring') OR contains(lower(aisle), 'ring') OR contains(lower(department), 'ring')
-    ORDER BY product_id LIMIT 120""",
+    WHERE contains(lower(product_name), 'ring') OR contains(lower(aisle), 'ring') OR contains(lower(department), 'ring')""",
 )
 def search_products(spark, sf_dir):
-    return search.search_products(catalog(load_star(spark, sf_dir)), "RING", 120)
+    return search.search_products(catalog(load_star(spark, sf_dir)), "RING")
 
 
 def term_sql(term: str) -> str:

@@ -263,11 +263,11 @@ def filter_departments(spark, sf_dir):
 
 @query(
     "user_subset",
-    "SELECT * FROM b_all WHERE order_id IN (SELECT order_id FROM b_orders WHERE user_id < 20000)",
+    "SELECT * FROM b_all WHERE order_id IN (SELECT order_id FROM b_orders WHERE user_id < 60)",
 )
 def user_subset(spark, sf_dir):
     star = load_star(spark, sf_dir)
-    return quality.user_subset(star.orders, joins.all_lines(star.prior, star.train), 20000)[1]
+    return quality.user_subset(star.orders, joins.all_lines(star.prior, star.train), 60)[1]
 
 
 @query(
@@ -358,18 +358,14 @@ def product_catalog(spark, sf_dir):
     return catalog(load_star(spark, sf_dir))
 
 
-TOP100_SQL = "t100 AS (SELECT product_id FROM b_all GROUP BY 1 ORDER BY COUNT(*) DESC, product_id LIMIT 100)"
-
-
 @query(
     "basket_pairs",
-    f""", {TOP100_SQL}, x AS (SELECT * FROM b_all WHERE product_id IN (SELECT product_id FROM t100))
-    SELECT a.product_id AS product1_id, b.product_id AS product2_id, COUNT(*) AS pair_count
-    FROM x a JOIN x b ON a.order_id = b.order_id AND a.product_id < b.product_id GROUP BY 1, 2""",
+    """SELECT a.product_id AS product1_id, b.product_id AS product2_id, COUNT(*) AS pair_count
+    FROM b_all a JOIN b_all b ON a.order_id = b.order_id AND a.product_id < b.product_id GROUP BY 1, 2""",
 )
 def basket_pairs(spark, sf_dir):
     star = load_star(spark, sf_dir)
-    return joins.basket_pairs(joins.restrict_top(joins.all_lines(star.prior, star.train), 100))
+    return joins.basket_pairs(joins.all_lines(star.prior, star.train))
 
 
 @query("lines_with_user", "SELECT user_id, b_all.* FROM b_all JOIN b_orders USING (order_id)")
@@ -515,13 +511,13 @@ def top_products(spark, sf_dir):
 
 @query(
     "ecdf",
-    """SELECT value, n, ROUND(CAST(SUM(n) OVER (ORDER BY value) AS DOUBLE) / SUM(n) OVER (), 6) AS cdf FROM
+    """SELECT * FROM (SELECT value, n, ROUND(CAST(SUM(n) OVER (ORDER BY value) AS DOUBLE) / SUM(n) OVER (), 6) AS cdf FROM
     (SELECT CAST(days_since_prior_order AS DOUBLE) AS value, COUNT(*) AS n FROM b_orders
-      WHERE days_since_prior_order > 0 AND days_since_prior_order <= 60 GROUP BY 1) t""",
+      WHERE days_since_prior_order > 0 GROUP BY 1) t) WHERE value <= 20""",
 )
 def ecdf(spark, sf_dir):
     days = quality.valid_intervals(load_star(spark, sf_dir).orders, "days_since_prior_order")
-    return rounded(ranking.ecdf(days, "days"), "cdf")
+    return rounded(ranking.ecdf(days, "days", 20), "cdf")
 
 
 @query(

@@ -178,9 +178,9 @@ def materialize(spark, sf_dir):
 
 @query("query_view", f", {CHURN_SQL} SELECT {CHURN_COLUMNS} FROM churn WHERE total_orders >= 15")
 def query_view(spark, sf_dir):
-    churn = analytics.churn_indicators(load_star(spark, sf_dir).orders, max_rows=None)
+    churn = analytics.churn_indicators(load_star(spark, sf_dir).orders)
     views.materialize("churn_analysis_view", churn, refresh=True)
-    df = views.query_view(spark, "churn_analysis_view", "total_orders >= 15", max_rows=None)
+    df = views.query_view(spark, "churn_analysis_view", "total_orders >= 15")
     return rounded(df, "avg_days_between", "max_days_between", "std_days_between")
 
 
@@ -200,7 +200,7 @@ def view_status(spark, sf_dir):
 
 @query("cached_query", f", {CHURN_SQL} SELECT {CHURN_COLUMNS} FROM churn")
 def cached_query(spark, sf_dir):
-    churn = analytics.churn_indicators(load_star(spark, sf_dir).orders, max_rows=None)
+    churn = analytics.churn_indicators(load_star(spark, sf_dir).orders)
     views.cached_query("churn", churn, params={"max_rows": None})
     again = views.cached_query("churn", churn, params={"max_rows": None})
     return rounded(again, "avg_days_between", "max_days_between", "std_days_between")
@@ -210,7 +210,7 @@ def cached_query(spark, sf_dir):
     "export_cohorts",
     f""", {COHORT_SQL} SELECT user_id, segment, ROUND(r_z, 6) AS r_z, ROUND(f_z, 6) AS f_z, ROUND(m_z, 6) AS m_z,
     (SELECT string_agg(CAST(p.product_id AS VARCHAR), ',' ORDER BY p.rank) FROM s_pop p WHERE p.segment = g_hv.segment AND p.rank <= 5)
-      AS top_products FROM g_hv WHERE user_id IN (SELECT DISTINCT user_id FROM h_recs ORDER BY 1 LIMIT 200)""",
+      AS top_products FROM g_hv WHERE user_id IN (SELECT user_id FROM h_recs)""",
 )
 def export_cohorts(spark, sf_dir):
     star = load_star(spark, sf_dir)

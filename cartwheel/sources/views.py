@@ -15,7 +15,6 @@ from cartwheel.session import shared_dir
 DATABASE = "cartwheel_views"
 # Names of the dashboard tables, rows read from one, lifetime of a cached result.
 VIEW_NAMES = ("product_affinity_view", "customer_journey_view", "lifetime_value_view", "churn_analysis_view")
-MAX_ROWS = 5000
 TTL_SECONDS = 6 * 3600
 AVAILABLE, NOT_FOUND = "Available", "Not Found"
 
@@ -39,10 +38,11 @@ def materialize(name: str, df: DataFrame, refresh: bool = False) -> DataFrame:
     return spark.table(table)
 
 
-def query_view(spark: SparkSession, name: str, where: str | None = None, max_rows: int | None = MAX_ROWS) -> DataFrame:
+def query_view(spark: SparkSession, name: str, where: str | None = None, max_rows: int | None = None) -> DataFrame:
+    """All rows that match; the first ``max_rows`` by all columns in order if that is given."""
     df = spark.table(qualified(spark, name))
     kept = df.filter(where) if where else df
-    return kept if max_rows is None else kept.limit(max_rows)
+    return kept if max_rows is None else kept.orderBy(*kept.columns).limit(max_rows)
 
 
 def drop_view(spark: SparkSession, name: str) -> None:

@@ -6,15 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cartwheel.operators.quality import ORDER_RECORD, shape_order
+from cartwheel.operators.quality import ORDER_RECORD, STREAM_EVAL_SET, shape_order
 from cartwheel.schemas import PARTITION_KEYS
 
-# Envelope and record layout, outcome names.
+# Envelope layout, outcome names.
 ENVELOPE = "recordId string, data string"
-RECORD = (
-    "order_id long, user_id long, order_number int, order_dow int, order_hour_of_day int, days_since_prior int, "
-    "_broken string"
-)
 OK, FAILED = "Ok", "ProcessingFailed"
 DECODE_ERROR, PARSE_ERROR = "decode-failed", "processing-failed"
 TIME_FORMATS = {"year": "yyyy", "month": "MM", "day": "dd", "hhmm": "HHmm"}
@@ -25,58 +21,63 @@ def read_order_stream(spark: SparkSession, path: str, schema: str = ENVELOPE, fi
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(path)
 
 
-def read_broker_stream(spark: SparkSession, source: str, options: dict[str, str]) -> DataFrame:
-    """The same envelope from a message broker source whose connector is on the class path (e.g. kafka)."""
-    raw = spark.readStream.format(source).options(**options).load()
-    key = F.coalesce(F.col("key").cast("string"), F.lit(""))
-    return raw.select(key.alias("recordId"), F.base64(F.col("value")).alias("data"))
+def parse(df: DataFrame) -> DataFrame:
+    """Add ``payload`` (decoded text) and ``record`` (its JSON object as a variant); either is NULL when its step fails.
 
+    Bytes that aren't UTF-8 are a failed decoding, not a failed query.
+    """
+    payload = F.try_validate_utf8(F.expr("try_to_binary(data, 'base64')").cast("string"))
+    found = F.try_parse_json("payload")
+    is_object = F.schema_of_variant(found).startswith("OBJECT")
+    return df.withColumn("payload", payload).withColumn("record", F.when(is_object, found))
 
-def parse(df: DataFrame) -> DataFrame:
-    """Add ``payload`` (decoded text) and ``record`` (parsed struct); either is NULL when its step fails."""
-    payload = F.expr("decode(try_to_binary(data, 'base64'), 'utf-8')")
-    parsed = df.withColumn("payload", payload).withColumn(
-        "_parsed", F.from_json("payload", RECORD, {"columnNameOfCorruptRecord": "_broken"})
-    )
-    whole = F.col("_parsed._broken").isNull() & F.trim("payload").startswith("{")
-    return parsed.withColumn("record", F.when(whole, F.col("_parsed"))).drop("_parsed")
 
+def _value(name: str) -> Column:
+    return F.try_variant_get("record", f"$.{name}", "variant")
+
+
+def _as_came(name: str) -> Column:
+    """The JSON text of a field as it came; NULL for a missing field or a null."""
+    return F.nullif(F.to_json(_value(name)), F.lit("null"))
 
-def _json_line() -> Column:
-    """The shaped record as one JSON text line, missing values as null."""
-    parts = [F.lit("{")]
-    for i, name in enumerate(ORDER_RECORD):
-        quoted = F.concat(F.lit('"'), F.col(name).cast("string"), F.lit('"'))
-        value = quoted if name == "eval_set" else F.col(name).cast("string")
-        parts += [F.lit(f'{", " if i else ""}"{name}": '), F.coalesce(value, F.lit("null"))]
-    return F.concat(*parts, F.lit("}\n"))
+
+def _typed(name: str) -> Column:
+    """The field as a whole number; NULL where it is none."""
+    return F.coalesce(F.try_variant_get("record", f"$.{name}", "double"), F.lit(None)).try_cast("long")
 
 
 def transform_order_stream(df: DataFrame) -> DataFrame:
     """Envelope records to (recordId, result, data, error_type and the shaped fields), for streams and tables alike.
 
-    Good records carry the shaped line, encoded again; failed ones their payload as it came.
+    Good records carry the shaped line, encoded again; failed ones their payload as it came. Fields pass into the line
+    as they came, whatever their type; only the gap must be a number, or be missing. The shaped columns hold the
+    fields that are whole numbers, or texts of whole numbers.
     """
+    kind = F.schema_of_variant(_value("days_since_prior"))
+    gap = _as_came("days_since_prior")
+    no_number = gap.isNotNull() & (kind.isin("STRING") | kind.startswith("ARRAY") | kind.startswith("OBJECT"))
+    days = F.try_variant_get("record", "$.days_since_prior", "double")
+    line_days = F.when(gap.isNull(), "0").when(days > 30, "30").otherwise(gap)
+    parts = []
+    for i, name in enumerate(ORDER_RECORD):
+        value = F.lit(f'"{STREAM_EVAL_SET}"') if name == "eval_set" else line_days if name == "days_since_prior" else _as_came(name)
+        parts += [F.lit(f'{", " if i else "{"}"{name}": '), F.coalesce(value, F.lit("null"))]
+    # Base64 output of long lines is wrapped; a record is one piece.
+    encoded = F.regexp_replace(F.base64(F.encode(F.concat(*parts, F.lit("}\n")), "utf-8")), r"\s", "")
     parsed = parse(df)
-    fields = [c for c in ORDER_RECORD if c != "eval_set"]
-    flat = parsed.select(
-        "recordId",
-        F.col("data").alias("_original"),
-        F.col("record").isNotNull().alias("_ok"),
-        F.when(F.col("payload").isNull(), DECODE_ERROR).when(F.col("record").isNull(), PARSE_ERROR).alias("error_type"),
-        *[F.col(f"record.{c}").alias(c) for c in fields],
+    error = (
+        F.when(F.col("payload").isNull(), DECODE_ERROR)
+        .when(F.col("record").isNull() | no_number, PARSE_ERROR)
     )
-    shaped = shape_order(flat)
-    line = F.base64(F.encode(_json_line(), "utf-8"))
-    # Base64 output of long lines is wrapped; a record is one piece.
-    encoded = F.regexp_replace(line, r"\s", "")
-    return shaped.select(
+    fields = [c for c in ORDER_RECORD if c != "eval_set"]
+    flat = parsed.withColumn("error_type", error).select(
         "recordId",
-        F.when(F.col("_ok"), OK).otherwise(FAILED).alias("result"),
-        F.when(F.col("_ok"), encoded).otherwise(F.col("_original")).alias("data"),
+        F.when(F.col("error_type").isNull(), OK).otherwise(FAILED).alias("result"),
+        F.when(F.col("error_type").isNull(), encoded).otherwise(F.col("data")).alias("data"),
         "error_type",
-        *ORDER_RECORD,
+        *[_typed(c).cast("long" if c.endswith("_id") else "int").alias(c) for c in fields],
     )
+    return shape_order(flat)
 
 
 def split_failures(transformed: DataFrame) -> tuple[DataFrame, DataFrame]:
