@@ -72,10 +72,11 @@ def _spans_sql() -> str:
 def op1_secret_scan(spark, sf_dir):
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     spans = F.col("spans")
-    counts = [
-        F.size(F.filter(spans, lambda s, n=n: s["kind"] == n)).cast("long").alias(f"n_{rule.kind}")
-        for n, rule in enumerate(secrets.RULES[: secrets.BASE])
-    ]
+
+    def of_kind(number):
+        return F.size(F.filter(spans, lambda s: s["kind"] == number)).cast("long")
+
+    counts = [of_kind(n).alias(f"n_{rule.kind}") for n, rule in enumerate(secrets.RULES[: secrets.BASE])]
     base = F.filter(spans, lambda s: s["kind"] < secrets.BASE)
     return found.select(
         "doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(spans).alias("spans")

@@ -57,6 +57,22 @@ def test_secrets_against_loops(spark, stored):
     assert secrets.find_secrets(stored([])).count() == 0
 
 
+def test_secret_query_on_each_kind(spark, tmp_path):
+    import hashlib
+
+    pairs = [(i, t) for i, t in enumerate(SECRETS)] + [(100, f"AKIAABCDEFGHIJKL {HEX} token=abcdefgh {HEX} xoxb-1234567890")]
+    spark.createDataFrame(pairs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.QUERIES["op1_secret_scan"](spark, str(tmp_path)).collect()}
+    for i, text in pairs:
+        spans = secret_spans(text)
+        names = [f"{secrets.RULES[k].kind}:{s}:{e}" for s, k, e in spans]
+        base = [n for n, (_, k, _) in zip(names, spans) if k < 3]
+        counts = tuple(sum(k == kind for _, k, _ in spans) for kind in range(3))
+        row = got[i]
+        assert (row.n_assign, row.n_access, row.n_hex) == counts, text
+        assert (row.spans, row.base_sha256) == (",".join(names), hashlib.sha256(",".join(base).encode()).hexdigest())
+
+
 def test_secret_digest(stored):
     found = secrets.find_secrets(stored([(1, f"token=abcdefgh {HEX}")]))
     assert found.select(secrets.listed(F.col("spans"))).first()[0] == "assign:0:14,hex:15:47"
