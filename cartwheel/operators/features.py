@@ -60,8 +60,8 @@ def purchase_counts(lines: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def dedupe_ratings(df: DataFrame, value: str = "rating") -> DataFrame:
-    """Highest rating per user and product, with the types model training expects."""
-    return df.groupBy(F.col("user_id").cast("int").alias("user_id"), F.col("product_id").cast("int").alias("product_id")).agg(
+    """Highest rating per user and product."""
+    return df.groupBy(F.col("user_id").cast("long").alias("user_id"), F.col("product_id").cast("long").alias("product_id")).agg(
         F.max(F.col(value).cast("double")).alias("rating")
     )
 

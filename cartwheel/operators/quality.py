@@ -115,27 +115,45 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df
 
 
-def prune_if_rare(
-    df: DataFrame, rules: Sequence[Rule], max_share: float = MAX_RARE_SHARE
-) -> tuple[DataFrame, list[dict]]:
+def prune_if_rare(df: DataFrame, rules: Sequence[Rule], max_share: float = MAX_RARE_SHARE) -> tuple[DataFrame, DataFrame]:
     """Apply each rule only if it fails for less than ``max_share`` of the rows left by the rules before it.
 
-    The rows are counted once per combination of rule outcomes, a frame of at most 4 ** rules rows; the decisions
-    follow from it on the driver. Returns the kept rows and one report entry per rule.
+    Returns the kept rows and a report (rule, total, bad, dropped), both lazy: rows are counted once per combination of
+    rule outcomes, at most 4 ** rules groups, and the decisions taken on that one array reach the filter as a scalar
+    subquery.
     """
-    flags = [f(i) for i in range(len(rules)) for f in (lambda i: f"b{i}", lambda i: f"k{i}")]
-    outcome = [c for i, r in enumerate(rules) for c in (r.bad.alias(f"b{i}"), r.kept.alias(f"k{i}"))]
-    groups = df.select(*outcome).groupBy(*flags).agg(F.count(F.lit(1)).alias("n")).collect()
-    report, applied = [], []
+    flags = [c for i, r in enumerate(rules) for c in (r.bad.alias(f"b{i}"), r.kept.alias(f"k{i}"))]
+    groups = df.select(*flags).groupBy(*[f"{f}{i}" for i in range(len(rules)) for f in "bk"]).agg(F.count(F.lit(1)).alias("n"))
+    state = groups.agg(F.collect_list(F.struct(*groups.columns)).alias("left"))
+
+    def field(name: str):
+        return lambda g: g[name]
+
+    def rows(groups: Column) -> Column:
+        return F.aggregate(groups, F.lit(0).cast("long"), lambda total, g: total + g["n"])
+
+    for i in range(len(rules)):
+        state = state.withColumns({f"total{i}": rows(F.col("left")), f"bad{i}": rows(F.filter("left", field(f"b{i}")))})
+        state = state.withColumn(f"dropped{i}", (F.col(f"total{i}") > 0) & (F.col(f"bad{i}") / F.col(f"total{i}") < max_share))
+        state = state.withColumn("left", F.when(F.col(f"dropped{i}"), F.filter("left", field(f"k{i}"))).otherwise(F.col("left")))
+    report = state.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(rule.name).alias("rule"), F.col(f"total{i}").alias("total"), F.col(f"bad{i}").alias("bad"),
+                        F.col(f"dropped{i}").alias("dropped"),
+                    )
+                    for i, rule in enumerate(rules)
+                ]
+            )
+        )
+    )
+    decided = state.select(F.array(*[F.col(f"dropped{i}") for i in range(len(rules))])).scalar()
+    kept = F.lit(True)
     for i, rule in enumerate(rules):
-        total = sum(g["n"] for g in groups)
-        bad = sum(g["n"] for g in groups if g[f"b{i}"])
-        dropped = total > 0 and bad / total < max_share
-        if dropped:
-            groups = [g for g in groups if g[f"k{i}"]]
-            applied.append(rule)
-        report.append({"rule": rule.name, "total": total, "bad": bad, "dropped": dropped})
-    return apply_rules(df, applied), report
+        kept = kept & (~decided[i] | rule.kept)
+    return df.where(kept), report
 
 
 # -- cleaning pipelines ------------------------------------------------------------------------------------------
@@ -171,7 +189,7 @@ def clean_products(products: DataFrame, aisles: DataFrame, departments: DataFram
 
 def clean_products_report(
     products: DataFrame, aisles: DataFrame, departments: DataFrame
-) -> tuple[DataFrame, list[dict]]:
+) -> tuple[DataFrame, DataFrame]:
     df = drop_duplicates(products, ["product_id"])
     df, aisle_rule, aisle_flag = foreign_key_rule(df, aisles, "aisle_id")
     df, department_rule, department_flag = foreign_key_rule(df, departments, "department_id")

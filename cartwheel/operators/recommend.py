@@ -6,17 +6,20 @@ count; finished lists are (user_id, rec_items array).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions import scores
 from cartwheel.operators import features, ranking, search
-from cartwheel.session import shared_dir
+from cartwheel.plans.skew import number_in_group
+from cartwheel.session import scratch, shared_dir, ship_package
 
 # Training and re-ranking parameters.
 RANK, REG, ALPHA, ITERATIONS = 64, 0.01, 40.0, 10
@@ -28,6 +31,25 @@ PREFERENCE_SHOWN = 5
 # -- training and scoring ----------------------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Recommender:
+    """A trained model with the dense numbers that it knows users (user_id, u) and products (product_id, i) by."""
+
+    model: ALSModel
+    users: DataFrame
+    products: DataFrame
+
+
+def _numbered(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Distinct ids of any size with numbers from 0 that fit the trainer's 32 bits; written once."""
+    spark = df.sparkSession
+    ids = df.select(F.col(key).cast("long").alias(key)).distinct()
+    numbered = number_in_group(ids.withColumn("_all", F.lit(0)), ["_all"], [key])
+    path = scratch(spark, f"numbered-{key}")
+    numbered.select(key, (F.col("rn") - 1).cast("int").alias(name)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def train_als(
     ratings: DataFrame,
     rank: int = RANK,
@@ -37,11 +59,11 @@ def train_als(
     seed: int = 42,
     blocks: int | None = None,
     value: str = "rating",
-) -> tuple[ALSModel, dict]:
+) -> tuple[Recommender, dict]:
     """Implicit, non-negative ALS on the highest rating per user and product; returns the model and its metadata.
 
-    ``blocks`` sets the number of user and item blocks (default: the parallelism of the session). Factors are
-    checkpointed to the shared folder every few iterations.
+    Ids may have 64 bits; the trainer sees dense numbers. ``blocks`` sets the number of user and item blocks (default:
+    the parallelism of the session). Factors are checkpointed to the shared folder every few iterations.
     """
     spark = ratings.sparkSession
     shared_dir(spark)
@@ -49,9 +71,10 @@ def train_als(
     # Training passes over the ratings many times.
     deduped = features.dedupe_ratings(ratings, value).checkpoint()
     stats = features.check_ratings(deduped)
+    users, products = _numbered(deduped, "user_id", "u"), _numbered(deduped, "product_id", "i")
     als = ALS(
-        userCol="user_id",
-        itemCol="product_id",
+        userCol="u",
+        itemCol="i",
         ratingCol="rating",
         rank=rank,
         regParam=reg,
@@ -65,45 +88,67 @@ def train_als(
         numItemBlocks=parallelism,
         checkpointInterval=5,
     )
-    model = als.fit(deduped)
-    return model, {**stats, "rank": rank, "reg": reg, "alpha": alpha, "iters": iters, "seed": seed}
+    dense = deduped.join(users, "user_id").join(products, "product_id").select("u", "i", "rating")
+    trained = Recommender(als.fit(dense), users, products)
+    return trained, {**stats, "rank": rank, "reg": reg, "alpha": alpha, "iters": iters, "seed": seed}
 
 
 def train_als_counts(
     counts: DataFrame, rank: int = COUNT_RANK, reg: float = REG, iters: int = COUNT_ITERATIONS, seed: int = 42
-) -> tuple[ALSModel, dict]:
+) -> tuple[Recommender, dict]:
     """The same model on raw purchase counts."""
     return train_als(counts, rank=rank, reg=reg, alpha=1.0, iters=iters, seed=seed, value="times_purchased")
 
 
-def recommend_all(model: ALSModel, k: int) -> DataFrame:
-    """Top ``k`` products of every user as one list."""
-    recs = model.recommendForAllUsers(k)
-    return recs.select("user_id", F.transform("recommendations", lambda x: x["product_id"].cast("long")).alias("rec_items"))
+def save_model(trained: Recommender, metadata: dict, path: str) -> None:
+    """Write the model, its id tables and its metadata below ``path``."""
+    spark = trained.users.sparkSession
+    trained.model.write().overwrite().save(f"{path}/model")
+    trained.users.write.mode("overwrite").parquet(f"{path}/users")
+    trained.products.write.mode("overwrite").parquet(f"{path}/products")
+    spark.range(1).select(F.lit(json.dumps(metadata)).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
 
 
-def candidates(recommendations: DataFrame) -> DataFrame:
-    """Long candidate rows from (user_id, recommendations array of struct(product_id, rating))."""
-    return recommendations.select("user_id", F.posexplode("recommendations").alias("pos", "r")).select(
-        "user_id",
-        "pos",
-        F.col("r.product_id").cast("long").alias("product_id"),
-        F.col("r.rating").cast("double").alias("score"),
+def load_model(spark: SparkSession, path: str) -> tuple[Recommender, dict]:
+    """What ``save_model`` wrote, for scoring in batches."""
+    metadata = json.loads(spark.read.text(f"{path}/metadata").first()[0])
+    users, products = (spark.read.parquet(f"{path}/{name}") for name in ("users", "products"))
+    return Recommender(ALSModel.load(f"{path}/model"), users, products), metadata
+
+
+def _named(trained: Recommender, recommendations: DataFrame) -> DataFrame:
+    """Long rows (user_id, pos, product_id, score) from the model's lists of dense numbers."""
+    rows = recommendations.select("u", F.posexplode("recommendations").alias("pos", "r")).select(
+        "u", "pos", F.col("r.i").alias("i"), F.col("r.rating").cast("double").alias("score")
     )
+    return rows.join(trained.users, "u").join(trained.products, "i").select("user_id", "pos", "product_id", "score")
 
 
-def recommend_subset(model: ALSModel, users: DataFrame, k: int) -> DataFrame:
-    """Top ``k`` products of the given users, one row each; users the model does not know have none."""
-    wanted = users.select(F.col("user_id").cast("int").alias("user_id")).distinct()
-    return candidates(model.recommendForUserSubset(wanted, k)).select("user_id", "product_id", "score")
+def all_candidates(trained: Recommender, k: int) -> DataFrame:
+    """Top ``k`` products of every user as candidate rows. The trainer scores all users and products, block by block,
+    and keeps ``k`` per user."""
+    return _named(trained, trained.model.recommendForAllUsers(k))
 
 
-def score_pairs(model: ALSModel, pairs: DataFrame, bounds: tuple[float, float] = scores.MODEL_BOUNDS) -> DataFrame:
+def recommend_all(trained: Recommender, k: int) -> DataFrame:
+    """Top ``k`` products of every user as one list."""
+    return to_lists(all_candidates(trained, k), "pos")
+
+
+def recommend_subset(trained: Recommender, users: DataFrame, k: int) -> DataFrame:
+    """Top ``k`` products of the given users, one row each with its ``pos``; users the model does not know have none."""
+    wanted = users.select(F.col("user_id").cast("long").alias("user_id")).distinct()
+    known = wanted.join(trained.users, "user_id").select("u")
+    return _named(trained, trained.model.recommendForUserSubset(known, k))
+
+
+def score_pairs(trained: Recommender, pairs: DataFrame, bounds: tuple[float, float] = scores.MODEL_BOUNDS) -> DataFrame:
     """Raw and normalised score of user and product pairs; unknown pairs score 0."""
-    keep_unknown = model.copy().setColdStartStrategy("nan")
-    typed = pairs.withColumns({c: F.col(c).cast("int") for c in ("user_id", "product_id")})
+    keep_unknown = trained.model.copy().setColdStartStrategy("nan")
+    typed = pairs.withColumns({c: F.col(c).cast("long") for c in ("user_id", "product_id")})
+    dense = typed.join(trained.users, "user_id", "left").join(trained.products, "product_id", "left").na.fill(-1, ["u", "i"])
     raw = F.coalesce(F.nanvl(F.col("prediction").cast("double"), F.lit(0.0)), F.lit(0.0))
-    return keep_unknown.transform(typed).select(
+    return keep_unknown.transform(dense).select(
         "user_id",
         "product_id",
         F.round(raw, 3).alias("score"),
@@ -111,12 +156,14 @@ def score_pairs(model: ALSModel, pairs: DataFrame, bounds: tuple[float, float] =
     )
 
 
-def item_vectors(model: ALSModel) -> DataFrame:
-    return model.itemFactors.select(F.col("id").cast("long").alias("product_id"), F.col("features").alias("vector"))
+def item_vectors(trained: Recommender) -> DataFrame:
+    factors = trained.model.itemFactors.withColumnRenamed("id", "i")
+    return factors.join(trained.products, "i").select("product_id", F.col("features").alias("vector"))
 
 
-def user_vectors(model: ALSModel) -> DataFrame:
-    return model.userFactors.select(F.col("id").cast("long").alias("id"), F.col("features").alias("vector"))
+def user_vectors(trained: Recommender) -> DataFrame:
+    factors = trained.model.userFactors.withColumnRenamed("id", "u")
+    return factors.join(trained.users, "u").select(F.col("user_id").alias("id"), F.col("features").alias("vector"))
 
 
 def similar_users(vectors: DataFrame, users: DataFrame, n: int = 5) -> DataFrame:
@@ -182,25 +229,26 @@ def to_lists(ranked: DataFrame, order: str = "rank") -> DataFrame:
     return rows.select("user_id", F.transform("_r", lambda x: x["product_id"]).alias("rec_items"))
 
 
-def _greedy(base: np.ndarray, flat: np.ndarray, known: np.ndarray, k: int, lam: float) -> list[int]:
-    """Places in selection order, then the rest in their given order. ``flat`` holds the vectors of the known items."""
-    n, present = len(base), int(known.sum())
-    matrix = np.zeros((n, len(flat) // present if present else 1))
-    if present:
-        matrix[known] = flat.reshape(present, -1)
-    length = np.linalg.norm(matrix, axis=1, keepdims=True)
-    unit = np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
-    similar = np.maximum(unit @ unit.T, 0.0)
-    closest = np.zeros(n)
-    free = np.ones(n, dtype=bool)
-    chosen: list[int] = []
-    while len(chosen) < min(k, n):
-        value = base if not chosen else lam * base - (1.0 - lam) * closest
-        i = int(np.argmax(np.where(free, value, -np.inf)))
-        chosen.append(i)
-        free[i] = False
-        closest = np.maximum(closest, similar[i])
-    return chosen + [i for i in range(n) if free[i]]
+def _greedy(base: np.ndarray, there: np.ndarray, vectors: np.ndarray, k: int, lam: float) -> np.ndarray:
+    """Places of all users' candidates in selection order, the unselected behind in their given order, padding last.
+
+    ``base`` and ``there`` (no padding) are users x candidates, ``vectors`` users x candidates x dimensions, zero where
+    a vector is unknown. Each greedy step is one array operation over all users.
+    """
+    users, n = base.shape
+    length = np.linalg.norm(vectors, axis=2, keepdims=True)
+    unit = np.divide(vectors, length, out=np.zeros_like(vectors), where=length > 0)
+    similar = np.maximum(unit @ unit.transpose(0, 2, 1), 0.0)
+    step = np.where(there, k + np.arange(n), k + 2 * n)
+    closest, free, row = np.zeros((users, n)), there.copy(), np.arange(users)
+    for i in range(min(k, n)):
+        value = base if i == 0 else lam * base - (1.0 - lam) * closest
+        best = np.where(free, value, -np.inf).argmax(1)
+        more = free[row, best]
+        step[row[more], best[more]] = i
+        free[row, best] = False
+        closest = np.maximum(closest, similar[row, best])
+    return np.argsort(step, axis=1, kind="stable")
 
 
 def mmr(
@@ -212,6 +260,7 @@ def mmr(
     of users go through the greedy choice at once. Users are spread over ``partitions`` (default: the shuffle
     partitions) unless they are grouped by user already: sized by bytes alone, they would end up in too few tasks.
     """
+    ship_package(recs.sparkSession)
     n = partitions or int(recs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = recs.join(vectors, "product_id", "left").repartition(n, "user_id")
     row = F.struct("pos", "product_id", "base", "vector")
@@ -219,24 +268,35 @@ def mmr(
     users = grouped.select(
         "user_id",
         "c.product_id",
-        "c.base",
-        F.flatten(F.array_compact("c.vector")).alias("flat"),
-        F.transform("c.vector", lambda v: v.isNotNull()).alias("known"),
+        F.transform("c.base", lambda b: b.cast("double")).alias("base"),
+        F.transform("c.vector", lambda v: F.coalesce(F.size(v), F.lit(0))).alias("sizes"),
+        F.flatten(F.array_compact("c.vector")).cast("array<double>").alias("flat"),
     )
 
-    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [
-                np.asarray(items)[
-                    _greedy(np.asarray(base, dtype=float), np.asarray(flat, dtype=float), np.asarray(known, dtype=bool), k, lam)
-                ]
-                for items, base, flat, known in zip(
-                    batch["product_id"], batch["base"], batch["flat"], batch["known"], strict=True
-                )
-            ]
-            yield pd.DataFrame({"user_id": batch["user_id"], "rec_items": lists})
-
-    return users.mapInPandas(choose, "user_id long, rec_items array<long>")
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                items = part.column("product_id")
+                counts = np.diff(items.offsets.to_numpy())
+                there = np.arange(counts.max(initial=0)) < counts[:, None]
+                sizes = part.column("sizes").flatten().to_numpy()
+                values = part.column("flat").flatten().to_numpy()
+                base, ids = np.zeros(there.shape), np.zeros(there.shape, np.int64)
+                base[there] = part.column("base").flatten().to_numpy()
+                ids[there] = items.flatten().to_numpy()
+                known = np.zeros((len(sizes), sizes.max(initial=1)))
+                known[sizes > 0] = values.reshape(-1, known.shape[1])
+                matrix = np.zeros((*there.shape, known.shape[1]))
+                matrix[there] = known
+                order = _greedy(base, there, matrix, k, lam)
+                listed = np.take_along_axis(ids, order, 1)[there]
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(listed))
+                yield pa.RecordBatch.from_arrays([part.column("user_id"), lists], names=["user_id", "rec_items"])
+
+    return users.select(F.col("user_id").cast("long").alias("user_id"), F.col("product_id").cast("array<long>").alias("product_id"), "base", "sizes", "flat").mapInArrow(
+        choose, "user_id long, rec_items array<long>"
+    )
 
 
 def backfill(lists: DataFrame, top: Column, k: int = TOP_K) -> DataFrame:
@@ -310,7 +370,7 @@ def preference(scored: DataFrame, n: int = PREFERENCE_SHOWN) -> DataFrame:
     return top.withColumns({"confidence": scores.confidence_band(score), "description": scores.band_description(score)})
 
 
-def user_product_preference(model: ALSModel, users: DataFrame, catalog: DataFrame, query: str) -> DataFrame:
+def user_product_preference(model: Recommender, users: DataFrame, catalog: DataFrame, query: str) -> DataFrame:
     """Preference of users for the products named in ``query``: ids or words. Every user is scored
     for every such product, which is what is asked for; the best few of each user are returned."""
     from cartwheel.functions.text import split_ids

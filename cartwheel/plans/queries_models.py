@@ -494,7 +494,7 @@ def train_als(spark, sf_dir):
     """What the model was trained on, and the size of its factor tables."""
     model, meta = trained(spark, sf_dir)
     stats = rounded(spark.createDataFrame([meta]), "min_rating", "max_rating", "avg_rating")
-    users, items = model.userFactors, model.itemFactors
+    users, items = model.model.userFactors, model.model.itemFactors
     return stats.select(
         "cnt",
         "min_rating",
@@ -510,9 +510,8 @@ def train_als(spark, sf_dir):
 def train_als_counts(spark, sf_dir):
     star = load_star(spark, sf_dir)
     model, _ = recommend.train_als_counts(features.purchase_counts(star.prior, star.orders))
-    return rounded(
-        model.itemFactors.select(F.col("id").alias("product_id"), scores.norm(F.col("features")).alias("norm")), "norm", digits=3
-    )
+    vectors = recommend.item_vectors(model)
+    return rounded(vectors.select("product_id", scores.norm(F.col("vector")).alias("norm")), "norm", digits=3)
 
 
 @query("recommend_all")
@@ -523,7 +522,7 @@ def recommend_all(spark, sf_dir):
 @query("recommend_subset")
 def recommend_subset(spark, sf_dir):
     users = truth_of(load_star(spark, sf_dir)).select("user_id")
-    return rounded(recommend.recommend_subset(trained(spark, sf_dir)[0], users, 10), "score", digits=3)
+    return rounded(recommend.recommend_subset(trained(spark, sf_dir)[0], users, 10).drop("pos"), "score", digits=3)
 
 
 @query("score_pairs")
@@ -531,16 +530,31 @@ def score_pairs(spark, sf_dir):
     return recommend.score_pairs(trained(spark, sf_dir)[0], truth_of(load_star(spark, sf_dir)))
 
 
-@query("similar_users")
+@query(
+    "similar_users",
+    """, e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+    s AS (SELECT a.vec_id AS user_id, b.vec_id AS similar_user_id, ROUND(list_dot_product(a.v, b.v)
+      / (SQRT(list_dot_product(a.v, a.v)) * SQRT(list_dot_product(b.v, b.v)) + 1e-10), 6) AS similarity
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+    r AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY similarity DESC, similar_user_id) AS INT) AS rank FROM s)
+    SELECT * FROM r WHERE rank <= 5""",
+)
 def similar_users(spark, sf_dir):
-    model = trained(spark, sf_dir)[0]
-    asked = load_star(spark, sf_dir).orders.select("user_id").filter(F.col("user_id").isin(ASKED_USERS))
-    return recommend.similar_users(recommend.user_vectors(model), asked, 5)
+    """Every fiftieth vector is asked for."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return recommend.similar_users(vectors, vectors.where("id % 50 = 0").select(F.col("id").alias("user_id")), 5)
 
 
-@query("popular_by_norm")
+@query(
+    "popular_by_norm",
+    """, n AS (SELECT vec_id AS product_id, SQRT(list_dot_product(list_transform(embedding, lambda x: CAST(x AS DOUBLE)),
+      list_transform(embedding, lambda x: CAST(x AS DOUBLE)))) AS norm FROM embeddings)
+    SELECT product_id, ROUND(norm, 6) AS norm FROM n ORDER BY ROUND(n.norm, 9) DESC, product_id LIMIT 10""",
+)
 def popular_by_norm(spark, sf_dir):
-    return recommend.popular_by_norm(recommend.item_vectors(trained(spark, sf_dir)[0]), 10)
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    found = recommend.popular_by_norm(vectors.select(F.col("vec_id").alias("product_id"), F.col("embedding").alias("vector")), 10)
+    return rounded(found.select("product_id", "norm"), "norm")
 
 
 @query("model_evaluation")
@@ -548,13 +562,63 @@ def model_evaluation(spark, sf_dir):
     """Train, take candidates, blend and diversify, fill up, compare with the popularity baseline."""
     star = load_star(spark, sf_dir)
     model = trained(spark, sf_dir)[0]
-    recs = recommend.candidates(model.recommendForAllUsers(recommend.CANDIDATES))
+    recs = recommend.all_candidates(model, recommend.CANDIDATES)
     top = evaluate.top_items(star.train, 10)
     lists = recommend.rerank(recs, star.train, top, vectors=recommend.item_vectors(model))
     ours = evaluate.ranking_summary(evaluate.ranking_metrics(lists, truth_of(star), 10))
     return evaluate.metrics_lift(ours, evaluate.ranking_summary(baseline_metrics(star)))
 
 
+@query(
+    "recommend_all_keys",
+    """, p AS (SELECT COUNT(DISTINCT product_id) AS n FROM b_prior)
+    SELECT user_id, CAST(LEAST(10, ANY_VALUE(n)) AS BIGINT) AS products, TRUE AS known
+    FROM b_prior JOIN b_orders USING (order_id), p GROUP BY 1""",
+)
+def recommend_all_keys(spark, sf_dir):
+    """What the lists must hold whatever the factors are: every trained user, ten different trained products."""
+    trained_on = load_star(spark, sf_dir).prior.select("product_id").distinct().withColumn("seen", F.lit(True))
+    rows = recommend.all_candidates(trained(spark, sf_dir)[0], 10).join(trained_on, "product_id", "left")
+    return rows.groupBy("user_id").agg(
+        F.count_distinct("product_id").alias("products"), F.every(F.col("seen").isNotNull()).alias("known")
+    )
+
+
+@query(
+    "recommend_subset_keys",
+    """, t AS (SELECT DISTINCT user_id FROM b_train JOIN b_orders USING (order_id)),
+    k AS (SELECT DISTINCT user_id FROM b_prior JOIN b_orders USING (order_id)),
+    p AS (SELECT COUNT(DISTINCT product_id) AS n FROM b_prior)
+    SELECT user_id, CAST(LEAST(10, n) AS BIGINT) AS products, TRUE AS falling FROM t JOIN k USING (user_id), p""",
+)
+def recommend_subset_keys(spark, sf_dir):
+    """Users that are known to the model, with as many products as asked for in falling order of their scores."""
+    users = truth_of(load_star(spark, sf_dir)).select("user_id")
+    rows = recommend.recommend_subset(trained(spark, sf_dir)[0], users, 10)
+    lists = rows.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("pos", "score", "product_id"))).alias("r"))
+    falling = F.array_sort(F.transform("r", lambda x: -x["score"])) == F.transform("r", lambda x: -x["score"])
+    return lists.select("user_id", F.size(F.array_distinct(F.col("r.product_id"))).cast("long").alias("products"), falling.alias("falling"))
+
+
+@query(
+    "score_pairs_keys",
+    """, t AS (SELECT DISTINCT user_id, product_id FROM b_train JOIN b_orders USING (order_id)),
+    u AS (SELECT DISTINCT user_id FROM b_prior JOIN b_orders USING (order_id)), i AS (SELECT DISTINCT product_id FROM b_prior)
+    SELECT user_id, product_id, TRUE AS in_bounds, u.user_id IS NULL OR i.product_id IS NULL AS unknown
+    FROM t LEFT JOIN u USING (user_id) LEFT JOIN i USING (product_id)""",
+)
+def score_pairs_keys(spark, sf_dir):
+    """One score for each pair, normalised ones between 0 and 1, and 0 for pairs that the model can't know."""
+    star = load_star(spark, sf_dir)
+    users = star.prior.join(star.orders.select("order_id", "user_id"), "order_id").select("user_id").distinct()
+    unknown = truth_of(star).join(users.withColumn("u", F.lit(1)), "user_id", "left").join(
+        star.prior.select("product_id").distinct().withColumn("i", F.lit(1)), "product_id", "left"
+    ).select("user_id", "product_id", (F.col("u").isNull() | F.col("i").isNull()).alias("unknown"))
+    done = recommend.score_pairs(trained(spark, sf_dir)[0], truth_of(star)).join(unknown, ["user_id", "product_id"])
+    fine = F.col("normalized_score").between(0, 1) & (~F.col("unknown") | (F.col("score") == 0))
+    return done.select("user_id", "product_id", fine.alias("in_bounds"), "unknown")
+
+
 # -- segments ----------------------------------------------------------------------------------------------------
 
 

@@ -36,7 +36,9 @@ def drop_duplicates(spark, sf_dir):
 @query(
     "prune_if_rare",
     f""", {DIRTY_PRODUCTS_SQL}
-    SELECT 'product_name blank' AS rule, (SELECT COUNT(*) FROM p_once) AS total_rows,
+    SELECT 'product_id not an integer' AS rule, (SELECT COUNT(*) FROM p_once) AS total_rows, 0::BIGINT AS bad_rows,
+      (SELECT COUNT(*) FROM p_once) > 0 AS dropped
+    UNION ALL SELECT 'product_name blank' AS rule, (SELECT COUNT(*) FROM p_once) AS total_rows,
       (SELECT COUNT(*) FROM p_once WHERE product_name = '') AS bad_rows,
       (SELECT COUNT(*) FROM p_once) > (SELECT COUNT(*) FROM p_named) AS dropped
     UNION ALL SELECT 'aisle_id not in parent', (SELECT COUNT(*) FROM p_named),
@@ -49,8 +51,23 @@ def drop_duplicates(spark, sf_dir):
 def prune_if_rare(spark, sf_dir):
     star = load_star(spark, sf_dir)
     report = quality.clean_products_report(dirty_products(star), star.aisles, star.departments)[1]
-    rows = [(r["rule"], r["total"], r["bad"], r["dropped"]) for r in report if not r["rule"].startswith("product_id")]
-    return spark.createDataFrame(rows, "rule string, total_rows long, bad_rows long, dropped boolean")
+    return report.select("rule", F.col("total").alias("total_rows"), F.col("bad").alias("bad_rows"), "dropped")
+
+
+@query("prune_if_rare_rows", f", {DIRTY_PRODUCTS_SQL} SELECT * FROM c_products")
+def prune_if_rare_rows(spark, sf_dir):
+    star = load_star(spark, sf_dir)
+    return quality.clean_products_report(dirty_products(star), star.aisles, star.departments)[0]
+
+
+@query(
+    "numeric_or_text",
+    "SELECT order_id, CAST(user_id AS BIGINT) AS whole, CAST(days_since_prior_order AS BIGINT) AS gap, eval_set AS word FROM b_orders",
+)
+def numeric_or_text(spark, sf_dir):
+    orders = load_star(spark, sf_dir).orders
+    loose = orders.select("order_id", F.col("user_id").cast("string").alias("whole"), F.col("days_since_prior_order").cast("string").alias("gap"), F.col("eval_set").alias("word"))
+    return quality.numeric_or_text(loose, ["whole", "gap", "word"])
 
 
 MIXED_SQL = """

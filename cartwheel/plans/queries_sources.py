@@ -105,13 +105,11 @@ def land_batch(spark, sf_dir):
 def tables_from_files(spark, sf_dir):
     star = load_star(spark, sf_dir)
     root = scratch(spark, "tables")
-    # Spark names its files itself, so the table is the last folder here; see the tests for <table>_partN.csv.
+    # Spark names its files itself: part-*.csv below a folder named <table>_partN.csv.
     for name in ("aisles", "departments", "products"):
-        getattr(star, name).write.option("header", True).csv(f"{root}/{name}")
-    found = None
-    for prefix in (f"{root}/aisles/", f"{root}/departments/"):
-        lines = files.tables_from_files(spark, prefix).withColumn("table_name", F.lit(files.table_of_prefix(prefix)))
-        found = lines if found is None else found.unionByName(lines)
+        for n, part in enumerate(getattr(star, name).randomSplit([0.5, 0.5], 1)):
+            part.write.option("header", True).csv(f"{root}/{name}_part{n + 1}.csv")
+    found = files.tables_from_files(spark, root, ["aisles", "departments"])
     return found.filter(~F.col("line").rlike("^[a-z]+_id,")).groupBy("table_name").agg(F.count(F.lit(1)).alias("data_lines"))
 
 
@@ -150,14 +148,13 @@ def write_parquet(spark, sf_dir):
 
 @query(
     "write_partitioned",
-    "SELECT eval_set, COUNT(*) AS n, CAST(SUM(add_to_cart_order) AS BIGINT) AS cart FROM b_orders JOIN b_all USING (order_id) WHERE eval_set = 'train' GROUP BY 1",
+    "SELECT eval_set, COUNT(*) AS n, CAST(SUM(add_to_cart_order) AS BIGINT) AS cart FROM b_orders JOIN b_all USING (order_id) GROUP BY 1",
 )
 def write_partitioned(spark, sf_dir):
     star = load_star(spark, sf_dir)
     path = scratch(spark, "combined")
     sinks.write_partitioned(star.orders.join(lines_of(star), "order_id"), path)
-    train = files.read_parquet(spark, path).filter("eval_set = 'train'")
-    return train.groupBy("eval_set").agg(F.count(F.lit(1)).alias("n"), F.sum("add_to_cart_order").alias("cart"))
+    return files.read_parquet(spark, path).groupBy("eval_set").agg(F.count(F.lit(1)).alias("n"), F.sum("add_to_cart_order").alias("cart"))
 
 
 @query("publish", "SELECT * FROM b_train")
@@ -166,7 +163,7 @@ def publish(spark, sf_dir):
     root = scratch(spark, "publish")
     sinks.publish(star.prior, root, RUNS[0])
     sinks.publish(star.train, root, RUNS[1])
-    return spark.read.parquet(f"{root}/latest/data")
+    return sinks.read_latest(spark, root)
 
 
 @query("materialize", f", {JOURNEY_SQL} SELECT * FROM journey_o")
@@ -414,4 +411,4 @@ def publish_imputed(spark, sf_dir):
     root = scratch(spark, "imputed")
     estimates = impute.impute_pmm(impute.imputation_users(star.orders))
     sinks.publish(impute.backfill_orders(star.orders, estimates), root, RUNS[0], "orders_imputed")
-    return spark.read.parquet(f"{root}/latest/orders_imputed")
+    return sinks.read_latest(spark, root, "orders_imputed")

@@ -59,8 +59,10 @@ def read_landing(
 
 
 def table_of_file(path: Column) -> Column:
-    """``orders`` from ``.../orders_part3.csv`` or ``.../orders.csv.gz``."""
-    name = F.element_at(F.split(path, "/"), -1)
+    """``orders`` from ``.../orders_part3.csv`` or ``.../orders.csv.gz``, also where that is a folder of ``part-`` files."""
+    steps = F.split(path, "/")
+    last = F.element_at(steps, -1)
+    name = F.when(last.startswith("part-"), F.element_at(steps, -2)).otherwise(last)
     return F.element_at(F.split(F.element_at(F.split(name, "_part"), 1), r"\."), 1)
 
 

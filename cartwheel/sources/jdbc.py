@@ -9,29 +9,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows per extract page and per insert batch.
+# Rows per extract page and per insert batch. Connections at a time that a database is asked for at most.
 PAGE_ROWS = 1_000_000
 BATCH_ROWS = 10_000
+MOST_PAGES = 256
 
 
-def pages(low: int, high: int, page_rows: int = PAGE_ROWS) -> int:
-    """Number of range scans for keys ``low``..``high``, about one page of rows each for a dense key."""
-    return max(1, -(-(high - low + 1) // page_rows))
+def pages(rows: int, page_rows: int = PAGE_ROWS, most: int = MOST_PAGES) -> int:
+    """Number of range scans for a table of ``rows`` rows, whatever its keys are."""
+    return min(most, max(1, -(-rows // page_rows)))
+
+
+def range_predicates(key: str, bounds: list) -> list[str]:
+    """Conditions that together hold once for every row: below the first bound or without a key, between two bounds,
+    from the last bound on."""
+    cuts = sorted(set(bounds))
+    if not cuts:
+        return ["1 = 1"]
+    middle = [f"{key} >= {low} AND {key} < {high}" for low, high in zip(cuts, cuts[1:])]
+    return [f"{key} < {cuts[0]} OR {key} IS NULL", *middle, f"{key} >= {cuts[-1]}"]
 
 
 def read_jdbc(
     spark: SparkSession, url: str, table: str, key: str, properties: dict | None = None, page_rows: int = PAGE_ROWS
 ) -> DataFrame:
-    """A whole table, read in parallel ranges of ``key``."""
+    """A whole table, read in parallel ranges of the numeric ``key`` that hold about as many rows each."""
     options = properties or {}
-    ends = spark.read.jdbc(url, table, properties=options).agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
-    if ends["low"] is None:
-        return spark.read.jdbc(url, table, properties=options)
-    low, high = int(ends["low"]), int(ends["high"])
-    return spark.read.jdbc(
-        url, table, column=key, lowerBound=low, upperBound=high + 1, numPartitions=pages(low, high, page_rows),
-        properties=options,
-    )
+    keys = spark.read.jdbc(url, table, properties=options).select(key)
+    n = pages(keys.count(), page_rows)
+    bounds = []
+    if n > 1:
+        bounds = keys.agg(F.percentile_approx(key, [i / n for i in range(1, n)])).first()[0] or []
+    return spark.read.jdbc(url, table, predicates=range_predicates(key, bounds), properties=options)
 
 
 def new_rows(df: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
@@ -40,5 +49,5 @@ def new_rows(df: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None, batch: int = BATCH_ROWS) -> None:
-    """Append all rows in batches. Running it twice appends twice; filter with ``new_rows`` first where that matters."""
+    """Append all rows in batches; Spark commits each partition on its own. Running it twice appends twice; filter with ``new_rows`` first where that matters."""
     df.write.mode("append").option("batchsize", batch).jdbc(url, table, properties=properties or {})

@@ -72,11 +72,22 @@ def land_batch(spark: SparkSession, tables: dict[str, DataFrame], root: str, run
 
 
 def publish(df: DataFrame, root: str, run_ts: datetime, name: str = "data") -> str:
-    """Write ``run-<stamp>/``, then refresh ``latest/`` from it. Returns the run folder."""
-    run = f"{root}/run-{run_ts.strftime(RUN_FORMAT)}/{name}"
-    df.write.mode("overwrite").parquet(run)
-    df.sparkSession.read.parquet(run).write.mode("overwrite").parquet(f"{root}/latest/{name}")
-    return run
+    """Write ``run-<stamp>/`` once, then add a line to the pointer table ``latest/``. Returns the run folder.
+
+    Readers see the run before until the line is committed; nothing is moved or written twice.
+    """
+    stamp = run_ts.strftime(RUN_FORMAT)
+    run = f"run-{stamp}/{name}"
+    df.write.mode("overwrite").parquet(f"{root}/{run}")
+    line = df.sparkSession.range(1).select(F.lit(stamp).alias("stamp"), F.lit(run).alias("run"))
+    line.coalesce(1).write.mode("append").json(f"{root}/latest/{name}")
+    return f"{root}/{run}"
+
+
+def read_latest(spark: SparkSession, root: str, name: str = "data") -> DataFrame:
+    """The table of the run with the highest stamp."""
+    lines = spark.read.schema("stamp string, run string").json(f"{root}/latest/{name}")
+    return spark.read.parquet(f"{root}/{lines.agg(F.max_by('run', 'stamp')).first()[0]}")
 
 
 def export_cohorts(records: DataFrame, path: str) -> None:

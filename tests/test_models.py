@@ -89,10 +89,9 @@ def test_histogram_of_equal_values(spark):
 def test_ecdf_of_fractional_values_matches_sorting(spark):
     values = [0.2, 0.2, 0.7, 1.5, 3.0, 3.2, 59.9, 60.0, 61.0]
     out = rows(ranking.ecdf(spark.createDataFrame([(v,) for v in values], "v double"), "v"), "value")
-    kept = [v for v in values if v <= 60]
-    assert [r[0] for r in out] == sorted(set(kept))
+    assert [r[0] for r in out] == sorted({v for v in values if v <= 60})
     for value, _, cdf in out:
-        assert math.isclose(cdf, sum(v <= value for v in kept) / len(kept))
+        assert math.isclose(cdf, sum(v <= value for v in values) / len(values))
 
 
 # -- evaluation --------------------------------------------------------------------------------------------------
@@ -245,17 +244,17 @@ def test_ratings_are_deduplicated_by_the_highest(spark):
 def test_recommendations(spark, model):
     lists = recommend.recommend_all(model, 5).collect()
     assert all(len(set(r["rec_items"])) == 5 for r in lists)
-    assert len(lists) == model.userFactors.count()
+    assert len(lists) == model.users.count()
 
 
 def test_unknown_pairs_score_zero(spark, model):
-    known = model.userFactors.first()["id"]
+    known = model.users.first()["user_id"]
     pairs = spark.createDataFrame([(known, 10**6), (10**6, 1)], "user_id long, product_id long")
     assert [(r["score"], r["normalized_score"]) for r in recommend.score_pairs(model, pairs).collect()] == [(0.0, 0.0)] * 2
 
 
 def test_similar_users_leave_the_user_out(spark, model):
-    users = model.userFactors.limit(3).select(F.col("id").alias("user_id"))
+    users = model.users.limit(3).select("user_id")
     out = recommend.similar_users(recommend.user_vectors(model), users, 4).collect()
     assert len(out) == 12
     assert all(r["user_id"] != r["similar_user_id"] for r in out)
@@ -264,6 +263,22 @@ def test_similar_users_leave_the_user_out(spark, model):
 # -- vectors -----------------------------------------------------------------------------------------------------
 
 
+def test_ids_beyond_32_bits_and_a_saved_model(spark, tmp_path):
+    big = 1 << 40
+    rows_in = [(big + u, 3 * big + p, 1.0 + (u * p) % 3) for u in range(20) for p in range(12) if (u + p) % 3]
+    ratings = spark.createDataFrame(rows_in, "user_id long, product_id long, rating double")
+    model, meta = recommend.train_als(ratings, rank=4, iters=2, blocks=2)
+    lists = recommend.all_candidates(model, 5)
+    found = rows(lists, "user_id", "pos")
+    assert {r[0] for r in found} == {big + u for u in range(20)} and {r[2] for r in found} <= {3 * big + p for p in range(12)}
+    recommend.save_model(model, meta, str(tmp_path / "m"))
+    again, meta_again = recommend.load_model(spark, str(tmp_path / "m"))
+    assert rows(recommend.all_candidates(again, 5), "user_id", "pos") == found and meta_again == meta
+    pairs = spark.createDataFrame([(big, 3 * big + 1), (big, 5), (9, 3 * big)], "user_id long, product_id long")
+    scored = {tuple(r[:2]): r[2] for r in rows(recommend.score_pairs(again, pairs), "user_id")}
+    assert scored[9, 3 * big] == scored[big, 5] == 0.0 and len(scored) == 3
+
+
 @pytest.mark.parametrize("block", [1000, 4])
 def test_nearest_matches_brute_force(spark, block):
     rng = np.random.default_rng(9)
@@ -290,7 +305,7 @@ def test_word_matches_take_each_product_once(spark):
         [(1, "red ring", "a", "d"), (2, "ring", "a", "d"), (3, "red", "a", "d"), (4, "blue", "red aisle", "d")],
         "product_id long, product_name string, aisle string, department string",
     )
-    assert rows(search.word_matches(catalog, ["ring", "red"])) == [(1, "red ring"), (2, "ring"), (3, "red"), (4, "blue")]
+    assert rows(search.word_matches(catalog, ["ring", "red"]), "product_id") == [(1, "red ring"), (2, "ring"), (3, "red"), (4, "blue")]
     # Only the first match of each word counts: product 1 for both words.
     assert rows(search.word_matches(catalog, ["ring", "red"], per_word=1)) == [(1, "red ring")]
 

@@ -9,7 +9,8 @@ from cartwheel.plans.catalog import QUERIES
 from cartwheel.plans.inputs import candidate_rows, segments
 
 # Training and streaming run before there is a plan to look at; the factor model's own top-k is Spark's.
-SKIPPED = {"train_als", "train_als_counts", "recommend_all", "recommend_subset", "model_evaluation", "dual_recommendations"}
+SKIPPED = {"train_als", "train_als_counts", "recommend_all", "recommend_subset", "model_evaluation", "dual_recommendations",
+           "recommend_all_keys", "recommend_subset_keys"}
 
 
 def plan(df):
@@ -31,6 +32,16 @@ def test_reranking_is_expressions_only(star):
     assert "MapInPandas" not in text
 
 
+def test_vector_search_plans_without_a_job(spark, sf_dir):
+    from cartwheel.operators import search
+
+    base = spark.read.parquet(f"{sf_dir}/embeddings.parquet").selectExpr("vec_id AS id", "embedding AS vector")
+    spark.sparkContext.setJobGroup("vector-plan", "")
+    plan(search.nearest(base, base.where("id % 50 = 0"), 3))
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("vector-plan")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_dimensions_are_broadcast(star):
     lines = joins.all_lines(star.prior, star.train)
     text = plan(joins.denormalize(star.orders, lines, star.products, star.aisles, star.departments))

@@ -9,7 +9,7 @@ from cartwheel.plans.catalog import ORACLE, QUERIES
 
 ROWS_ONLY = {
     "impute_pmm", "publish_imputed", "train_als_counts", "recommend_all", "recommend_subset", "score_pairs",
-    "similar_users", "popular_by_norm", "model_evaluation", "segment_users", "rfm_pca", "dual_recommendations",
+    "model_evaluation", "segment_users", "rfm_pca", "dual_recommendations",
     "user_product_preference",
 }
 

@@ -116,8 +116,10 @@ def test_bulk_load_replaces_and_tolerates_short_rows(spark, tmp_path):
 def test_publish_moves_latest(spark, tmp_path):
     sinks.publish(spark.range(3), str(tmp_path), datetime(2025, 1, 1))
     sinks.publish(spark.range(5), str(tmp_path), datetime(2025, 1, 2, 3, 4, 5))
-    assert spark.read.parquet(f"{tmp_path}/latest/data").count() == 5
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["latest", "run-20250101-000000", "run-20250102-030405"]
+    assert sinks.read_latest(spark, str(tmp_path)).count() == 5
+    sinks.publish(spark.range(7), str(tmp_path), datetime(2024, 1, 1))
+    assert sinks.read_latest(spark, str(tmp_path)).count() == 5
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["latest", "run-20240101-000000", "run-20250101-000000", "run-20250102-030405"]
 
 
 def test_column_choice(spark):
@@ -205,6 +207,8 @@ def test_run_metrics_without_any_coverage(spark, tmp_path):
 
 def test_jdbc_paging_and_new_rows(spark):
     # No database may be started here, so only the parts that need none are tested.
-    assert [jdbc.pages(*k) for k in ((1, 1), (1, 1_000_000), (1, 1_000_001))] == [1, 1, 2]
+    assert [jdbc.pages(n) for n in (0, 1, 1_000_000, 1_000_001, 10**15)] == [1, 1, 1, 2, 256]
+    assert jdbc.range_predicates("id", []) == ["1 = 1"]
+    assert jdbc.range_predicates("id", [5, 5, 9]) == ["id < 5 OR id IS NULL", "id >= 5 AND id < 9", "id >= 9"]
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     assert rows(jdbc.new_rows(df, df.limit(1), ["id"])) == [(2, "b")]
