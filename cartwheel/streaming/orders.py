@@ -9,8 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 from cartwheel.operators.quality import ORDER_RECORD, STREAM_EVAL_SET, shape_order
 from cartwheel.schemas import PARTITION_KEYS
 
-# Envelope layout, outcome names.
+# Envelope and record layout, outcome names.
 ENVELOPE = "recordId string, data string"
+RECORD = ", ".join(f"{c} variant" for c in ORDER_RECORD if c != "eval_set") + ", _broken string"
 OK, FAILED = "Ok", "ProcessingFailed"
 DECODE_ERROR, PARSE_ERROR = "decode-failed", "processing-failed"
 TIME_FORMATS = {"year": "yyyy", "month": "MM", "day": "dd", "hhmm": "HHmm"}
@@ -22,28 +23,26 @@ def read_order_stream(spark: SparkSession, path: str, schema: str = ENVELOPE, fi
 
 
 def parse(df: DataFrame) -> DataFrame:
-    """Add ``payload`` (decoded text) and ``record`` (its JSON object as a variant); either is NULL when its step fails.
+    """Add ``payload`` (decoded text) and ``record`` (its fields as they came); either is NULL when its step fails.
 
     Bytes that aren't UTF-8 are a failed decoding, not a failed query.
     """
     payload = F.try_validate_utf8(F.expr("try_to_binary(data, 'base64')").cast("string"))
-    found = F.try_parse_json("payload")
-    is_object = F.schema_of_variant(found).startswith("OBJECT")
-    return df.withColumn("payload", payload).withColumn("record", F.when(is_object, found))
-
-
-def _value(name: str) -> Column:
-    return F.try_variant_get("record", f"$.{name}", "variant")
+    parsed = df.withColumn("payload", payload).withColumn(
+        "_parsed", F.from_json("payload", RECORD, {"columnNameOfCorruptRecord": "_broken"})
+    )
+    whole = F.col("_parsed._broken").isNull() & F.trim("payload").startswith("{")
+    return parsed.withColumn("record", F.when(whole, F.col("_parsed"))).drop("_parsed")
 
 
 def _as_came(name: str) -> Column:
     """The JSON text of a field as it came; NULL for a missing field or a null."""
-    return F.nullif(F.to_json(_value(name)), F.lit("null"))
+    return F.nullif(F.to_json(F.col(f"record.{name}")), F.lit("null"))
 
 
-def _typed(name: str) -> Column:
-    """The field as a whole number; NULL where it is none."""
-    return F.coalesce(F.try_variant_get("record", f"$.{name}", "double"), F.lit(None)).try_cast("long")
+def _typed(name: str, kind: str) -> Column:
+    """The field as a number of the kind, also from a text; NULL where it is none."""
+    return F.try_variant_get(f"record.{name}", "$", "double").try_cast(kind)
 
 
 def transform_order_stream(df: DataFrame) -> DataFrame:
@@ -53,10 +52,8 @@ def transform_order_stream(df: DataFrame) -> DataFrame:
     as they came, whatever their type; only the gap must be a number, or be missing. The shaped columns hold the
     fields that are whole numbers, or texts of whole numbers.
     """
-    kind = F.schema_of_variant(_value("days_since_prior"))
-    gap = _as_came("days_since_prior")
-    no_number = gap.isNotNull() & (kind.isin("STRING") | kind.startswith("ARRAY") | kind.startswith("OBJECT"))
-    days = F.try_variant_get("record", "$.days_since_prior", "double")
+    gap, days = _as_came("days_since_prior"), _typed("days_since_prior", "double")
+    no_number = F.substring(gap, 1, 1).isin('"', "[", "{")
     line_days = F.when(gap.isNull(), "0").when(days > 30, "30").otherwise(gap)
     parts = []
     for i, name in enumerate(ORDER_RECORD):
@@ -67,7 +64,7 @@ def transform_order_stream(df: DataFrame) -> DataFrame:
     parsed = parse(df)
     error = (
         F.when(F.col("payload").isNull(), DECODE_ERROR)
-        .when(F.col("record").isNull() | no_number, PARSE_ERROR)
+        .when(F.col("record").isNull() | F.coalesce(no_number, F.lit(False)), PARSE_ERROR)
     )
     fields = [c for c in ORDER_RECORD if c != "eval_set"]
     flat = parsed.withColumn("error_type", error).select(
@@ -75,7 +72,7 @@ def transform_order_stream(df: DataFrame) -> DataFrame:
         F.when(F.col("error_type").isNull(), OK).otherwise(FAILED).alias("result"),
         F.when(F.col("error_type").isNull(), encoded).otherwise(F.col("data")).alias("data"),
         "error_type",
-        *[_typed(c).cast("long" if c.endswith("_id") else "int").alias(c) for c in fields],
+        *[_typed(c, "long" if c.endswith("_id") else "int").alias(c) for c in fields],
     )
     return shape_order(flat)
 
