@@ -60,6 +60,22 @@ def impute_pmm(spark, sf_dir):
     return impute.impute_pmm(impute.imputation_users(load_star(spark, sf_dir).orders))
 
 
+@query(
+    "impute_pmm_observed",
+    f""", {USERS_SQL}, r AS (SELECT MIN(days_imp) AS low, MAX(days_imp) AS high FROM i_users)
+    SELECT user_id, CAST(days_imp AS INT) AS days_imp, TRUE AS filled, TRUE AS kept, TRUE AS in_range FROM i_users""",
+)
+def impute_pmm_observed(spark, sf_dir):
+    """What holds for any draw: observed gaps stay, every gap is filled, within the range of the observed ones."""
+    users = impute.imputation_users(load_star(spark, sf_dir).orders).select("user_id", F.col("days_imp").cast("int").alias("days_imp"), "frequency")
+    low, high = users.agg(F.min("days_imp")).scalar(), users.agg(F.max("days_imp")).scalar()
+    done, value = impute.impute_pmm(users), F.col("days_imp_imputed")
+    return users.join(done, "user_id").select(
+        "user_id", "days_imp", value.isNotNull().alias("filled"),
+        (F.col("days_imp").isNull() | (F.col("days_imp") == value)).alias("kept"), value.between(low, high).alias("in_range"),
+    )
+
+
 @query("backfill_orders", f", {USERS_SQL} SELECT * FROM i_orders")
 def backfill_orders(spark, sf_dir):
     return imputed(load_star(spark, sf_dir))
@@ -569,6 +585,19 @@ def model_evaluation(spark, sf_dir):
     return evaluate.metrics_lift(ours, evaluate.ranking_summary(baseline_metrics(star)))
 
 
+@query(
+    "model_evaluation_baseline",
+    f""", {TRUTH_SQL}, {metrics_sql('e_pop', 10)}, k AS (SELECT DISTINCT user_id FROM b_prior JOIN b_orders USING (order_id)),
+    n AS (SELECT COUNT(*) AS users_evaluated FROM m_user JOIN k USING (user_id))
+    SELECT ANY_VALUE(users_evaluated) AS users_evaluated, ROUND(AVG(precision), 6) AS baseline_precision,
+    ROUND(AVG(recall), 6) AS baseline_recall, ROUND(AVG(ap_hits), 6) AS baseline_map, ROUND(AVG(ndcg), 6) AS baseline_ndcg FROM m_user, n""",
+)
+def model_evaluation_baseline(spark, sf_dir):
+    """The part of the evaluation that doesn't hang on the factors: whom the model has lists for, and the baseline."""
+    columns = [f"baseline_{m}" for m in evaluate.METRICS]
+    return rounded(model_evaluation(spark, sf_dir).select("users_evaluated", *columns), *columns)
+
+
 @query(
     "recommend_all_keys",
     """, p AS (SELECT COUNT(DISTINCT product_id) AS n FROM b_prior)
@@ -642,6 +671,30 @@ def segment_users(spark, sf_dir):
     return segment.segment_users(segment.rfm(star.orders, star.train))
 
 
+@query(
+    "segment_users_members",
+    f""", {RFM_SQL} SELECT user_id, "R", "F", ROUND("M", 6) AS "M", TRUE AS in_segments FROM g_rfm""",
+)
+def segment_users_members(spark, sf_dir):
+    """Every user has one of the segments, with its measures unchanged."""
+    done = segment_users(spark, sf_dir)
+    return rounded(done.select("user_id", "R", "F", "M", F.col("segment").between(0, segment.SEGMENTS - 1).alias("in_segments")), "M")
+
+
+@query(
+    "rfm_pca_variance",
+    f""", {RFM_SQL} SELECT COUNT(*) AS users, ROUND(var_samp("R") + var_samp("F") + var_samp("M"), 4) AS variance,
+    TRUE AS falling FROM g_rfm""",
+)
+def rfm_pca_variance(spark, sf_dir):
+    """All three components together hold the whole variance of R, F and M, the first one most of it."""
+    star = load_star(spark, sf_dir)
+    done = segment.rfm_pca(segment.rfm(star.orders, star.train), 3)
+    parts = [F.var_samp(f"pc{i}") for i in (1, 2, 3)]
+    return done.agg(F.count("*").alias("users"), F.round(sum(parts[1:], parts[0]), 4).alias("variance"),
+                    ((parts[0] >= parts[1] - 1e-9) & (parts[1] >= parts[2] - 1e-9)).alias("falling"))
+
+
 @query(
     "segment_popularity",
     f""", {SEGPOP_SQL} SELECT segment, product_id, ROUND(score, 6) AS score, rank, ROUND(support_seg, 6) AS support_seg,

@@ -10,7 +10,7 @@ from cartwheel.plans.inputs import candidate_rows, segments
 
 # Training and streaming run before there is a plan to look at; the factor model's own top-k is Spark's.
 SKIPPED = {"train_als", "train_als_counts", "recommend_all", "recommend_subset", "model_evaluation", "dual_recommendations",
-           "recommend_all_keys", "recommend_subset_keys"}
+           "recommend_all_keys", "recommend_subset_keys", "model_evaluation_baseline"}
 
 
 def plan(df):
