@@ -851,6 +851,41 @@ def dual_recommendations(spark, sf_dir):
     return rounded(recommend.dual_recommendations(personal, shared, catalog(star), 5), "score", digits=3)
 
 
+@query(
+    "dual_recommendations_listed",
+    f""", {CANDIDATES_SQL}, {RFM_SQL}, {SEGPOP_SQL}, {CATALOG_SQL},
+    own AS (SELECT user_id, 'personal' AS source, CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS INT) AS rank,
+      product_id, ROUND(score, 6) AS score FROM k_recs),
+    both_lists AS (SELECT * FROM own WHERE rank <= 5 UNION ALL
+      SELECT user_id, 'segment', CAST(s.rank AS INT), product_id, ROUND(s.score, 6) FROM g_seg JOIN s_pop s USING (segment) WHERE s.rank <= 5)
+    SELECT b.*, COALESCE(product_name, 'Product_' || b.product_id) AS product_name, COALESCE(aisle, 'Unknown') AS aisle,
+      COALESCE(department, 'Unknown') AS department FROM both_lists b LEFT JOIN cat USING (product_id)""",
+)
+def dual_recommendations_listed(spark, sf_dir):
+    """Both lists side by side from fixed candidates."""
+    star = load_star(spark, sf_dir)
+    shared = segment.segment_recommendations(fixed_segments(star), popularity_of(star), 5)
+    return rounded(recommend.dual_recommendations(candidate_rows(star), shared, catalog(star), 5), "score")
+
+
+def bands_sql(index: int) -> str:
+    cases = " ".join(f"WHEN normalized_score >= {band[0]} THEN '{band[index]}'" for band in scores.BANDS)
+    return f"CASE {cases} ELSE '{scores.LOWEST_BAND[index - 1]}' END"
+
+
+@query(
+    "preference_bands",
+    f""", {CANDIDATES_SQL}, r AS (SELECT user_id, product_id, score AS normalized_score,
+      CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS INT) AS rank FROM k_recs)
+    SELECT user_id, product_id, ROUND(r.normalized_score, 6) AS normalized_score, rank, {bands_sql(1)} AS confidence,
+      {bands_sql(2)} AS description FROM r WHERE rank <= 5""",
+)
+def preference_bands(spark, sf_dir):
+    """Preference of users for their fixed candidates, with the bands of the scores."""
+    rows = candidate_rows(load_star(spark, sf_dir)).select("user_id", "product_id", F.col("score").alias("normalized_score"))
+    return rounded(recommend.preference(rows), "normalized_score")
+
+
 @query("user_product_preference")
 def user_product_preference(spark, sf_dir):
     star = load_star(spark, sf_dir)
