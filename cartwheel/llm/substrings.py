@@ -18,7 +18,7 @@ GRAMS = LENGTH - Q + 1
 #: A window holds all of its anchor's next SIDE bytes to the left, or all of those to the right.
 SIDE = (LENGTH - Q + 1) // 2
 #: Sides of one bucket that one task compares.
-GROUP = 2048
+GROUP = 512
 PLACE = ("doc_id", "row", "place", "low", "high")
 PLACE_BITS = 31
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
