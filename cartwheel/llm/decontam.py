@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,26 +15,47 @@ TABLE = bytes(b if chr(b).isdigit() and b < 128 or 97 <= b <= 122 or b >= 128 el
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def words_of(text) -> list[bytes]:
-    return text.as_buffer().to_pybytes().translate(TABLE).split()
+class Words:
+    """The words of several texts, found and hashed in array passes over one buffer.
 
+    A word's hash is that of its bytes as a polynomial over 64-bit wrap-around numbers, mixed with its length. Hashes
+    only propose; texts are compared word by word before anything counts.
+    """
 
-class WordHashes:
-    """64-bit hashes of words; each distinct word is hashed once while at most ``most`` of them are kept."""
-
-    def __init__(self, most: int = 300_000):
-        self.most, self.known = most, {}
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        got = list(map(self.known.get, words))
-        if None in got:
-            if len(self.known) > self.most:
-                self.known.clear()
-            known = self.known
-            for i, (word, h) in enumerate(zip(words, got)):
-                if h is None:
-                    got[i] = known[word] = xxhash.xxh64_intdigest(word)
-        return np.array(got, np.uint64)
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self, texts: list[bytes]):
+        self.raw = b" ".join([*texts, b""]).translate(TABLE)
+        held = np.frombuffer(self.raw, np.uint8)
+        inside = np.r_[False, held != 32, False]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        self.starts, self.ends = edges[::2], edges[1::2]
+        bounds = np.cumsum(np.array([len(t) + 1 for t in texts], np.int64))
+        #: First word of each text, and the number of all words at the end.
+        self.first = np.r_[0, np.searchsorted(self.starts, bounds)]
+        inverse = pow(self.BASE, -1, 1 << 64)
+        with np.errstate(over="ignore"):
+            powers, back = (np.cumprod(np.full(len(held) + 1, x, np.uint64)) for x in (self.BASE, inverse))
+            upto = np.r_[np.uint64(0), np.cumsum((held.astype(np.uint64) + np.uint64(1)) * powers[:-1])]
+            value = (upto[self.ends] - upto[self.starts]) * back[self.starts]
+            self.hashes = (value ^ (value >> np.uint64(29))) * M2 + (self.ends - self.starts).astype(np.uint64)
+
+    def tokens(self, size: int):
+        """Place of the first word and hash of each run of ``size`` words of one text."""
+        tokens = shingles(self.hashes, size)
+        owner = np.searchsorted(self.first, np.arange(len(self.hashes)), side="right")
+        places = np.flatnonzero(owner[: len(tokens)] == owner[size - 1 :][: len(tokens)])
+        return places, tokens[places]
+
+    def joined(self, low: int, high: int) -> str:
+        """Words low..high-1, joined by blanks."""
+        if high <= low:
+            return ""
+        return b" ".join(self.raw[self.starts[low] : self.ends[high - 1]].split()).decode()
+
+
+def _words_of_slice(column) -> Words:
+    return Words([text.as_buffer().to_pybytes() for text in column])
 
 
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -57,18 +77,16 @@ def item_windows(items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE)
     """
 
     def run(batches):
-        known = WordHashes()
         for part in slices(batches):
-            rows = []
-            for item, text in zip(part.column("item").to_pylist(), part.column("text")):
-                words = words_of(text)
-                length = min(window, len(words))
+            rows, words = [], _words_of_slice(part.column("text"))
+            for item, low, high in zip(part.column("item").to_pylist(), words.first[:-1].tolist(), words.first[1:].tolist()):
+                length = min(window, high - low)
                 size = min(shingle, length)
                 if not length:
                     continue
-                tokens = shingles(known.of(words), size).view(np.int64).tolist()
-                for start in range(len(words) - length + 1):
-                    joined = b" ".join(words[start : start + length]).decode()
+                tokens = shingles(words.hashes[low:high], size).view(np.int64).tolist()
+                for start in range(high - low - length + 1):
+                    joined = words.joined(low + start, low + start + length)
                     for offset in range(length - size + 1):
                         rows.append((item, joined, length, offset, size, tokens[start + offset]))
                     if len(rows) > 20_000:
@@ -93,16 +111,12 @@ def _count_tokens(sizes, wanted):
     """Per document its number of words, and how often each benchmark token occurs in the task's documents."""
 
     def run(batches):
-        known, marks = WordHashes(), wanted.value
+        marks = wanted.value
         for part in slices(batches):
-            found, counts = [], []
-            for text in part.column("text"):
-                words = words_of(text)
-                counts.append(len(words))
-                hashes = known.of(words)
-                for size in sizes:
-                    tokens = shingles(hashes, size)
-                    found.append(tokens[in_bitmap(marks, tokens)])
+            words = _words_of_slice(part.column("text"))
+            counts = np.diff(words.first)
+            found = [words.tokens(size)[1] for size in sizes]
+            found = [tokens[in_bitmap(marks, tokens)] for tokens in found]
             token, often = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
             n, m = len(counts), len(token)
             yield pa.RecordBatch.from_arrays(
@@ -123,21 +137,20 @@ def _find_tokens(sizes, wanted, reach: int):
     """Each occurrence of a prefix token with ``reach`` words around it, enough for any window that holds it."""
 
     def run(batches):
-        known, marks = WordHashes(), wanted.value
+        marks = wanted.value
         for part in slices(batches):
-            rows = []
-            for doc, text in zip(part.column("doc").to_pylist(), part.column("text")):
-                words = words_of(text)
-                hashes = known.of(words)
-                for size in sizes:
-                    tokens = shingles(hashes, size)
-                    for at in np.flatnonzero(in_bitmap(marks, tokens)).tolist():
-                        low = max(0, at - reach)
-                        around = b" ".join(words[low : at + reach + 1]).decode()
-                        rows.append((doc, int(tokens[at].view(np.int64)), size, at, at - low, len(words), around))
-                if len(rows) > 20_000:
-                    yield batch(rows)
-                    rows = []
+            rows, docs, words = [], part.column("doc").to_pylist(), _words_of_slice(part.column("text"))
+            first = words.first.tolist()
+            for size in sizes:
+                places, tokens = words.tokens(size)
+                hit = np.flatnonzero(in_bitmap(marks, tokens))
+                owners = np.searchsorted(words.first, places[hit], side="right") - 1
+                for at, token, doc in zip(places[hit].tolist(), tokens[hit].view(np.int64).tolist(), owners.tolist()):
+                    low, high = max(first[doc], at - reach), min(first[doc + 1], at + reach + 1)
+                    rows.append((docs[doc], token, size, at - first[doc], at - low, first[doc + 1] - first[doc], words.joined(low, high)))
+                    if len(rows) > 20_000:
+                        yield batch(rows)
+                        rows = []
             yield batch(rows)
 
     def batch(rows):
