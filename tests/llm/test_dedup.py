@@ -8,6 +8,7 @@ import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from small import docs_of, stored  # noqa: F401 - fixtures
 
 from cartwheel.llm import decontam, exact, queries, simhash
 from cartwheel.llm.components import components

@@ -10,6 +10,7 @@ import check
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from small import docs_of, stored  # noqa: F401 - fixtures
 
 from cartwheel.llm import chat, licenses, queries, secrets, shards
 

@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import pytest
+from small import docs_of, stored  # noqa: F401 - fixtures
 
 from cartwheel.llm import queries, substrings
 

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
+from small import docs_of, stored  # noqa: F401 - fixtures
 
 from cartwheel.llm import pieces, quality, queries
 from cartwheel.llm.common import slices
