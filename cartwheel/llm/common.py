@@ -24,8 +24,9 @@ def whole_text() -> Column:
 
 
 def row_key() -> Column:
-    """64-bit key of (doc_id, text). Rows that share it by chance only share candidates, never a verdict."""
-    return F.xxhash64("doc_id", "text")
+    """128 bits, as binary, that stand for (doc_id, text); only rows equal in both share them."""
+    number = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit(""))
+    return F.unhex(F.md5(F.concat(number, F.lit(":"), whole_text())))
 
 
 def python_ready(spark: SparkSession) -> None:

@@ -121,7 +121,7 @@ def _count_tokens(sizes, wanted):
             n, m = len(counts), len(token)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.concat_arrays([part.column("doc"), pa.nulls(m, pa.int64())]),
+                    pa.concat_arrays([part.column("doc"), pa.nulls(m, part.column("doc").type)]),
                     pa.concat_arrays([part.column("doc_id"), pa.nulls(m, pa.int64())]),
                     pa.concat_arrays([pa.array(counts, pa.int64()), pa.nulls(m, pa.int64())]),
                     pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(token.view(np.int64))]),
@@ -155,7 +155,7 @@ def _find_tokens(sizes, wanted, reach: int):
 
     def batch(rows):
         columns = list(zip(*rows)) if rows else [[]] * 7
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string())
+        kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string())
         names = ["doc", "key", "size", "at", "before", "n_words", "around"]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
@@ -187,7 +187,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
 
     wanted = spark.sparkContext.broadcast(bitmap(written(parts.select("key").distinct(), "decontam-keys")))
     counted = written(
-        source.mapInArrow(_count_tokens(sizes, wanted), "doc long, doc_id long, n_words long, key long, often long"),
+        source.mapInArrow(_count_tokens(sizes, wanted), "doc binary, doc_id long, n_words long, key long, often long"),
         "decontam-counts",
     )
     often = counted.where("key is not null").groupBy("key").agg(F.sum("often").alias("often"))
@@ -204,7 +204,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
     marks = spark.sparkContext.broadcast(bitmap(written(prefix.select("key").distinct(), "decontam-prefix-keys")))
     found = source.mapInArrow(
         _find_tokens(sizes, marks, window - 1),
-        "doc long, key long, size int, at int, before int, n_words int, around string",
+        "doc binary, key long, size int, at int, before int, n_words int, around string",
     )
     start = F.col("at") - F.col("offset")
     verified = written(
@@ -258,5 +258,4 @@ def is_contaminated():
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without contaminated rows, all columns kept."""
     bad = contamination(docs, items).where(is_contaminated()).select(F.col("doc").alias("__doc")).distinct()
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.withColumn("__doc", key).join(bad, "__doc", "left_anti").drop("__doc")
+    return docs.withColumn("__doc", row_key()).join(bad, "__doc", "left_anti").drop("__doc")
