@@ -106,28 +106,33 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(items: list[str], labels: np.ndarray, settings: Settings):
-    """Vectors and output weights by minibatch gradient descent. The same items in the same order give the same model."""
-    random = np.random.default_rng(settings.seed)
-    vectors = random.uniform(-1, 1, (settings.buckets, settings.dim)) / settings.dim
-    output, bias = np.zeros((settings.dim, 2)), np.zeros(2)
-    words = Words(settings, most=1 << 62)
-    rows = []
+def bags(items: list[str], settings: Settings):
+    """Distinct feature buckets of each text, and how often it has each."""
+    words, known = Words(settings, most=1 << 62), []
     for text in items:
         codes, counts, fresh = words.codes([text])
         if fresh:
             buckets, sizes = words.features(fresh)
-            upto = np.cumsum(sizes)
-            rows_of = getattr(words, "rows_of", [])
-            rows_of += np.split(buckets, upto[:-1])
-            words.rows_of = rows_of
-        flat = [words.rows_of[c] for c in codes.tolist()] + [words.pairs(codes, counts)[0]]
-        feature, weight = np.unique(np.concatenate(flat), return_counts=True)
-        rows.append((feature, weight / max(1, weight.sum())))
+            known += np.split(buckets, np.cumsum(sizes)[:-1])
+        flat = [known[c] for c in codes.tolist()] + [words.pairs(codes, counts)[0]]
+        yield np.unique(np.concatenate(flat), return_counts=True)
+
+
+def train(items: list[str], labels: np.ndarray, settings: Settings):
+    """``descend`` on the bags of whole texts."""
+    return descend(list(bags(items, settings)), labels, settings)
+
+
+def descend(counted: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, settings: Settings):
+    """Vectors and output weights by minibatch gradient descent. The same bags in the same order give the same model."""
+    random = np.random.default_rng(settings.seed)
+    vectors = random.uniform(-1, 1, (settings.buckets, settings.dim)) / settings.dim
+    output, bias = np.zeros((settings.dim, 2)), np.zeros(2)
+    rows = [(feature, often / max(1, often.sum())) for feature, often in counted]
     target = np.eye(2)[labels]
     step = 0
     while step < settings.steps:
-        order = random.permutation(len(items))
+        order = random.permutation(len(rows))
         for start in range(0, len(order), settings.batch):
             if step == settings.steps:
                 break
@@ -188,7 +193,8 @@ def in_held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()):
     """Train on at most ``settings.sample`` labelled documents outside the held-out fold.
 
-    The sample is those with the smallest hash of (doc_id, text); whole texts are used. Labels that aren't 0 or 1 and
+    The sample is those with the smallest hash of (doc_id, text); whole texts are used. What the driver sees of a text
+    are its bucket counts, at most ``settings.buckets`` of them whatever its length. Labels that aren't 0 or 1 and
     labels without a document are left out, a document with both labels counts once for each. Without any sample the
     model gives 0.5 everywhere; with one class only it learns that class.
     """
@@ -198,20 +204,34 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()):
         .where(~in_held_out(F.col("doc_id")))
         .distinct()
     )
-    # Bounded ids first, so that only the sample's texts move.
+    # Bounded ids first, so that only the sample's texts are looked at, in the tasks that read them.
     chosen = marks.orderBy(F.xxhash64("doc_id", F.lit(settings.seed)), "doc_id", "label").limit(settings.sample)
+
+    def run(batches):
+        for part in slices(batches):
+            found = list(bags(part.column("text").to_pylist(), settings))
+            offsets = pa.array(np.cumsum([0, *(len(f) for f, _ in found)]), pa.int32())
+            arrays = [pa.array(np.concatenate([bag[n] for bag in found]), pa.int32()) for n in (0, 1)]
+            own = [part.column(c) for c in ("doc_id", "label", "mark")]
+            lists = [pa.ListArray.from_arrays(offsets, a) for a in arrays]
+            yield pa.RecordBatch.from_arrays([*own, *lists], names=["doc_id", "label", "mark", "feature", "often"])
+
     picked = (
         texts(docs)
         .join(F.broadcast(chosen), "doc_id")
-        .orderBy(F.xxhash64("doc_id", F.lit(settings.seed)), "doc_id", "label", F.xxhash64("text"))
+        .select("doc_id", "label", F.xxhash64("text").alias("mark"), "text")
+        .mapInArrow(run, "doc_id long, label int, mark long, feature array<int>, often array<int>")
+        .orderBy(F.xxhash64("doc_id", F.lit(settings.seed)), "doc_id", "label", "mark")
         .limit(settings.sample)
-        .select("text", "label")
+        .select("label", "feature", "often")
         .toArrow()
     )
-    items, label = picked.column("text").to_pylist(), np.array(picked.column("label").to_pylist(), np.int64)
-    if not items:
+    if not picked.num_rows:
         return np.zeros((settings.buckets, settings.dim), np.float32), np.zeros((settings.dim, 2)), np.zeros(2)
-    return train(items, label, settings)
+    feature, often = (
+        [row.values.to_numpy().astype(np.int64) for row in picked.column(c)] for c in ("feature", "often")
+    )
+    return descend(list(zip(feature, often)), picked.column("label").to_numpy().astype(np.int64), settings)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), threshold: float = THRESHOLD) -> DataFrame:
