@@ -51,12 +51,36 @@ GAP = 2
 #: A sentence ends behind . ! ? : ; and blanks, or at a line end, unless the next line goes on with a small letter or a
 #: bracket as wrapped lines do.
 AFTER_STOP, LINE_END = "([.!?:;])[ \\t\\r\\n]+", "[\\r\\n]+([^a-z(\\r\\n])"
-CUT = "\x01"
+#: What is put into the text where it is cut: behind a stop, at a blank line that ends no sentence, at the end of one line.
+CUT, BLANK, LINE = "\x01", "\x02", "\x03"
+MARKS = CUT + BLANK + LINE
+BLANK_LINES = "\\r?\\n(?:[ \\t]*\\r?\\n)+"
 
 
-def normalised(sentence: Column) -> Column:
-    """Letters a-z and digits in single blanks."""
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def swap(text: Column, mark: str, by: str) -> Column:
+    return F.replace(text, F.lit(mark), F.lit(by))
+
+
+def marked(text: Column) -> Column:
+    """Letters a-z and digits in single blanks, and one mark where a sentence ends or might: LINE at a line end, BLANK at
+    a blank line before a small letter, CUT at any other end; the text stands between two CUTs."""
+    cut = F.regexp_replace(swap(swap(text, BLANK, " "), LINE, " "), AFTER_STOP, f"$1{CUT}")
+    cut = F.regexp_replace(F.regexp_replace(cut, BLANK_LINES, f"{BLANK}$0"), LINE_END, f"{LINE}$1")
+    plain = F.regexp_replace(F.lower(F.concat(F.lit(CUT), cut, F.lit(CUT))), f"[^a-z0-9{MARKS}]+", " ")
+    close = F.regexp_replace(F.regexp_replace(plain, f" ?([{MARKS}]) ?", "$1"), f"{BLANK}+", BLANK)
+    return F.regexp_replace(close, f"[{MARKS}]{{2,}}", CUT)
+
+
+def named(line: Column, sentences: dict[int, str]) -> Column:
+    """The marked text with =number between two CUTs for each known sentence, the longest wording first."""
+    whole = {n: f"[{MARKS}]" + s.replace(" ", f"[ {MARKS}]") + f"(?=[{MARKS}])" for n, s in sentences.items()}
+    # Few texts know a sentence; the others are looked through once.
+    some = line.rlike(f"[{MARKS}](?:{'|'.join(w[len(MARKS) + 2 :] for w in whole.values())})")
+    done = line
+    for number in sorted(whole, key=lambda n: -len(sentences[n])):
+        done = F.regexp_replace(done, whole[number], f"{CUT}={number}")
+    done = F.regexp_replace(done, f"(=[0-9]+)[{BLANK}{LINE}]", f"$1{CUT}")
+    return swap(F.when(some, done).otherwise(line), BLANK, " ")
 
 
 def rule_pattern(steps: tuple[int, ...], gap: int) -> str:
@@ -66,22 +90,28 @@ def rule_pattern(steps: tuple[int, ...], gap: int) -> str:
 def licenses(docs: DataFrame, sentences: dict[int, str] = SENTENCES, rules: dict[str, tuple[int, ...]] = RULES, gap: int = GAP) -> DataFrame:
     """doc_id, n_sentences, known (identifiers of its known sentences, in order) and licences (name:times, by name).
 
-    Each sentence is normalised and looked up; a rule holds where its identifiers stand in its order with at most
-    ``gap`` other sentences between two of them, found from the left without overlaps. Null and empty texts have no
-    sentences; repeated rows give repeated rows, an empty table none; other columns are ignored. All work is done per
-    row inside the scan; nothing is shuffled.
+    A known sentence is all its words, from one sentence end, line end or blank line to another; line ends, comment marks
+    and stops may stand between any of them, so that wording is found as it is usually wrapped ("free software: you",
+    "v. 2.0"). It counts as one sentence. A rule holds where its identifiers stand in its order with at most ``gap``
+    other sentences between two of them, found from the left without overlaps; there, wrapped lines count as one
+    sentence. Null and empty texts have no sentences; repeated rows give repeated rows, an empty table none; other
+    columns are ignored. All work is done per row inside the scan; nothing is shuffled.
     """
-    number = F.create_map(*[x for n, s in sentences.items() for x in (F.lit(s), F.lit(str(n)))])
-    cut = F.regexp_replace(F.regexp_replace("text", AFTER_STOP, f"$1{CUT}"), LINE_END, f"{CUT}$1")
-    every = F.filter(F.transform(F.split(cut, CUT), normalised), lambda s: s != "")
-    row = texts(docs).withColumn("ids", F.transform(every, lambda s: F.coalesce(F.try_element_at(number, s), F.lit("-"))))
+    row = texts(docs).select("doc_id", marked(F.col("text")).alias("line"))
+    row = row.select("doc_id", named(F.col("line"), sentences).alias("line"))
+
+    def ids(line: Column) -> Column:
+        every = F.filter(F.split(line, CUT), lambda s: s != "")
+        return F.transform(every, lambda s: F.when(s.startswith("="), F.substr(s, F.lit(2))).otherwise(F.lit("-")))
+
+    row = row.select("doc_id", ids(swap(F.col("line"), LINE, CUT)).alias("ids"), ids(swap(F.col("line"), LINE, " ")).alias("wrapped"))
     known = F.filter("ids", lambda s: s != "-").alias("known")
-    row = row.select("doc_id", F.size("ids").cast("long").alias("n_sentences"), known, F.concat(F.array_join("ids", ";"), F.lit(";")).alias("line"))
+    row = row.select("doc_id", F.size("ids").cast("long").alias("n_sentences"), known, F.concat(F.array_join("wrapped", ";"), F.lit(";")).alias("line"))
     found = [
         F.struct(F.lit(name).alias("name"), F.regexp_count("line", F.lit(f"(?<![0-9]){rule_pattern(steps, gap)}")).alias("n"))
         for name, steps in sorted(rules.items())
     ]
-    named = F.transform(F.filter(F.array(*found), lambda r: r["n"] > 0), lambda r: F.concat_ws(":", r["name"], r["n"].cast("string")))
+    times = F.transform(F.filter(F.array(*found), lambda r: r["n"] > 0), lambda r: F.concat_ws(":", r["name"], r["n"].cast("string")))
     return row.select(
-        "doc_id", "n_sentences", "known", F.when(F.size("known") > 0, named).otherwise(F.array().cast("array<string>")).alias("licences")
+        "doc_id", "n_sentences", "known", F.when(F.size("known") > 0, times).otherwise(F.array().cast("array<string>")).alias("licences")
     )

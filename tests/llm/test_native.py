@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import textwrap
 
 import brute
 import check
@@ -134,6 +135,93 @@ def test_license_rules(stored):
     assert licenses.licenses(stored([])).count() == 0
 
 
+OFFICIAL = {
+    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
+    "Apache-2.0-header": """Copyright 2020 The Authors
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "MIT-notice": "Released under the MIT License",
+    "MIT-licensed": "Licensed under the MIT license.",
+    "MIT-text": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.""",
+    "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
+    "GPL-3.0-or-later-header": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.""",
+    "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-4.0-notice": "Licensed under CC BY 4.0",
+    "CC-BY-SA-4.0-notice": "Licensed under CC BY-SA 4.0.",
+    "BSD-2-Clause-text": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.""",
+    "MPL-2.0-notice": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+}
+
+
+def test_every_license_rule_holds_on_its_official_text(stored):
+    assert set(OFFICIAL) == set(licenses.RULES)
+    shapes = [
+        lambda t: t,
+        lambda t: t.replace("\n", "\r\n"),
+        lambda t: " ".join(t.split()),
+        lambda t: "\n".join(("# " + line).rstrip() for line in t.split("\n")),
+        lambda t: "/*\n" + "\n".join(" * " + line for line in t.split("\n")) + "\n */\nint x;",
+        lambda t: "".join(textwrap.indent(textwrap.fill(part, 36), "// ") + "\n//\n" for part in t.split("\n\n")),
+        lambda t: "no stop here ***\n" + textwrap.dedent(t.replace("    http", "http")) + "\nCopyright",
+    ]
+    # On one line, what ends without a stop runs on into the address behind it.
+    pairs = [(100 * i + j, shape(OFFICIAL[name])) for i, name in enumerate(sorted(OFFICIAL)) for j, shape in enumerate(shapes) if (j, name) != (2, "Apache-2.0-header")]
+    got = {r.doc_id: r.licences for r in licenses.licenses(stored(pairs)).collect()}
+    assert got == {i: [f"{sorted(OFFICIAL)[i // 100]}:1"] for i, _ in pairs}
+
+
+def test_license_sentences_at_wraps(stored):
+    free = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version."
+    pairs = [(1, f"One.\n{free}\n\nTwo"), (2, "Released under the MIT License and more.\nMore"), (3, "some\nMore\n\nwords"), (4, "we are Released under the MIT License."),
+             (5, "a\x02released under the mit license\x03b =7 =x")]
+    got = {r.doc_id: (r.n_sentences, r.known) for r in licenses.licenses(stored(pairs)).collect()}
+    assert got == {1: (3, ["13"]), 2: (2, []), 3: (2, []), 4: (1, []), 5: (1, [])}
+
+
 def test_hypergeometric_draws():
     rng = np.random.default_rng(1)
     draws = np.array([shards.draw_hypergeometric(rng, 30, 70, 20) for _ in range(20_000)])
