@@ -49,14 +49,23 @@ def slices(batches, column: str = "text", most: int = SLICE_BYTES):
             start = stop
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` once below the shared folder and read it back; cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str, column: str = "__row") -> DataFrame:
+    """``docs`` written once with a number for each row in ``column``, larger for later rows.
+
+    Rows that are read twice and joined on a number need this: how a scan deals files to tasks follows the executors
+    that are registered at that moment, and with it what monotonically_increasing_id() gives to a row.
+    """
+    return written(docs.withColumn(column, F.monotonically_increasing_id()), name, compression="zstd")
+
+
 def bitmap(keys: DataFrame, bits: int | None = None) -> np.ndarray:
     """Words of a bitmap with two places for each value of the long column ``key``, at most ``MOST_BITS`` bits (16 MB).
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import bitmap, in_bitmap, python_ready, slices, whole_text, written
+from cartwheel.llm.common import bitmap, in_bitmap, numbered, python_ready, slices, whole_text, written
 
 SALTS = 16
 HELD_BYTES = 64 << 20
@@ -69,13 +69,13 @@ def _local_winners(repeated, held_bytes: int):
     return run
 
 
-def exact_groups(docs: DataFrame, digest=None, salts: int = SALTS) -> DataFrame:
+def exact_groups(docs: DataFrame, digest=None, salts: int = SALTS, key: str | None = None) -> DataFrame:
     """One row per document: row, doc_id, digest, keep_row, keep_id, group_size, kept.
 
     Texts are equal when all their characters are; a null text is the empty text. The row with the largest doc_id stays
     (no doc_id counts as smallest; of rows with the same doc_id the first in table order). ``docs`` must be a plan that
-    gives the same rows in the same order again, such as a file scan or a written table. An empty table gives no rows;
-    other columns of ``docs`` are ignored. ``row`` is monotonically_increasing_id() of ``docs``.
+    gives the same rows again, in any order. An empty table gives no rows; other columns of ``docs`` are ignored.
+    ``row`` is the long column ``key``, or else a number that holds within this result only: it is given in one scan.
 
     1. Digests are counted, which moves digests only. Texts whose digest is certainly alone never move.
     2. Each task compares the other texts of its partition and keeps one winner per text.
@@ -86,8 +86,9 @@ def exact_groups(docs: DataFrame, digest=None, salts: int = SALTS) -> DataFrame:
     spark = docs.sparkSession
     python_ready(spark)
     digest = digest or (lambda text: F.sha2(text, 256))
+    number = F.col(key) if key else F.monotonically_increasing_id()
     rows = (
-        docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+        docs.select(number.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
         .withColumn("digest", digest(F.col("text")))
         .withColumn("key", F.xxhash64("digest"))
     )
@@ -136,5 +137,6 @@ def exact_groups(docs: DataFrame, digest=None, salts: int = SALTS) -> DataFrame:
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns kept; see ``exact_groups``."""
-    losers = exact_groups(docs).where("not kept").select(F.col("row").alias("__row"))
-    return docs.withColumn("__row", F.monotonically_increasing_id()).join(losers, "__row", "left_anti").drop("__row")
+    placed = numbered(docs, "exact-docs")
+    losers = exact_groups(placed, key="__row").where("not kept").select(F.col("row").alias("__row"))
+    return placed.join(losers, "__row", "left_anti").drop("__row")

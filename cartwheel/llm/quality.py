@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import python_ready, slices, texts, whole_text
+from cartwheel.llm.common import python_ready, row_key, slices, texts, whole_text
 
 THRESHOLD = 0.3
 FOLDS = 5
@@ -268,14 +268,15 @@ def scorer(docs: DataFrame, labels: DataFrame, settings: Settings, key: str = "d
 def drop_low_quality(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows whose score is below ``threshold``, all columns kept, rows with no text scored too.
 
-    The learnt scores are joined back on the row's place, so ``docs`` must be a repeatable plan such as a file scan.
+    Verdicts are joined back on ``row_key``: rows that share id and text share their score.
     """
-    placed = docs.withColumn("__row", F.monotonically_increasing_id())
+    placed = docs.withColumn("__row", row_key())
     score = scorer(docs, labels, settings, "__row")
     low = (
         placed.select("__row", whole_text().alias("text"))
-        .mapInArrow(score, "__row long, score double")
+        .mapInArrow(score, "__row binary, score double")
         .where(F.col("score") < threshold)
         .select("__row")
+        .distinct()
     )
     return placed.join(low, "__row", "left_anti").drop("__row")

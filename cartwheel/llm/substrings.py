@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import bitmap, in_bitmap, python_ready, slices, whole_text, written
+from cartwheel.llm.common import bitmap, in_bitmap, numbered, python_ready, slices, whole_text, written
 
 LENGTH, Q = 100, 25
 #: q-grams that lie within one window.
@@ -309,7 +309,7 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     Each byte is removed that lies in a string of 100 bytes that also starts earlier: in a row with a smaller doc_id
     (no doc_id is smallest; of rows with the same doc_id the first in table order), or in the same row further left.
     Overlaps count and strings are judged on the input. A null text is empty; texts under 100 bytes lose nothing; an
-    empty table gives no rows; other columns are ignored. ``docs`` must be a repeatable plan such as a file scan.
+    empty table gives no rows; other columns are ignored. Rows are written once with their numbers and read from there.
 
     Every window of 100 bytes has an anchor, a 25-byte string in it that depends on its bytes only; about every 40th
     place of a text is one. Buckets start as those 25-byte strings and are refined by the buckets at later offsets:
@@ -324,9 +324,9 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
        windows are merged once more by 128 bits.
     """
     python_ready(docs.sparkSession)
-    source = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")
-    )
+    source = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")), "substr-docs", "row")
+    # Every row has a number; said here, both joins below read texts alike and share their exchange.
+    source = source.where("row is not null")
     cuts = repeated_intervals(source).groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("cuts"))
     joined = source.join(cuts.hint("shuffle_hash"), "row", "left").select("doc_id", "text", "cuts")
     return joined.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -34,3 +34,13 @@ def stored(spark, docs_of, tmp_path_factory):
         return spark.read.schema(DOCS).parquet(path)
 
     return make
+
+@pytest.fixture
+def other_splits(spark):
+    """From its call on, file scans deal their files to tasks in another way, as with other executors."""
+
+    def change():
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+
+    yield change
+    spark.conf.unset("spark.sql.files.minPartitionNum")

@@ -8,9 +8,9 @@ import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from small import docs_of, stored  # noqa: F401 - fixtures
+from small import docs_of, other_splits, stored  # noqa: F401 - fixtures
 
-from cartwheel.llm import decontam, exact, queries, simhash
+from cartwheel.llm import decontam, exact, quality, queries, simhash
 from cartwheel.llm.components import components
 
 
@@ -57,6 +57,26 @@ def test_drop_exact_copies_keeps_columns(stored):
     assert {r.text or "" for r in left.collect()} == {t or "" for _, t in ODD} and left.count() == 4
 
 
+@pytest.mark.parametrize("stage", ["exact", "simhash", "quality"])
+def test_stages_hold_if_the_second_scan_is_dealt_otherwise(spark, stored, other_splits, stage):
+    pairs = [(i, f"good words number {i % 30} " * 20 if i % 2 else f"bad {i % 30} junk " * 20) for i in range(240)]
+    docs = stored(pairs, 6)
+    parts = docs.rdd.getNumPartitions()
+    if stage == "quality":
+        labels = spark.createDataFrame([(i, i % 2) for i, _ in pairs], "doc_id long, quality int")
+        left = quality.drop_low_quality(docs, labels)
+        want = {i for i, _ in pairs if i % 2}
+        assert "monotonically" not in left._jdf.queryExecution().analyzed().toString()
+    elif stage == "exact":
+        left, want = exact.drop_exact_copies(docs), set(range(210, 240))
+    else:
+        left = simhash.drop_near_copies(docs)
+        want = {row[2] for row in brute.near_components(pairs)}
+    other_splits()
+    assert docs.select("doc_id").rdd.getNumPartitions() < parts
+    assert sorted(r.doc_id for r in left.collect()) == sorted(want)
+
+
 BENCH = [(1, "One two three four five six seven eight nine ten eleven twelve thirteen fourteen"), (2, "alpha beta"), (3, "solo"),
          (None, "q w e r t y"), (4, ""), (5, None), (2, "gamma delta"), (7, "one two three four five six seven eight nine ten eleven twelve thirteen")]
 

@@ -7,7 +7,7 @@ import random
 
 import numpy as np
 import pytest
-from small import docs_of, stored  # noqa: F401 - fixtures
+from small import docs_of, other_splits, stored  # noqa: F401 - fixtures
 
 from cartwheel.llm import queries, substrings
 
@@ -57,6 +57,15 @@ def test_made_passages(stored):
         check(substrings.drop_repeats(docs), [(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_cuts_hold_if_the_second_scan_is_dealt_otherwise(stored, other_splits):
+    passage = "a passage that several documents repeat word for word, of more than a hundred bytes in all, " * 2
+    docs = stored([(i, f"{i * 7919} starts {'x' * (i % 5)} {passage if i % 3 else i} and ends with {i * 104729}") for i in range(60)], 6)
+    pairs = [(r.doc_id, r.text) for r in docs.collect()]
+    cut = substrings.drop_repeats(docs)
+    other_splits()
+    check(cut, pairs)
+
+
 def test_hot_bucket_is_salted(stored, monkeypatch):
     monkeypatch.setattr(substrings.repeated_intervals, "__defaults__", (4,))
     rng = random.Random(3)
