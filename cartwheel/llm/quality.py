@@ -204,8 +204,10 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()):
         .where(~in_held_out(F.col("doc_id")))
         .distinct()
     )
-    # Bounded ids first, so that only the sample's texts are looked at, in the tasks that read them.
-    chosen = marks.orderBy(F.xxhash64("doc_id", F.lit(settings.seed)), "doc_id", "label").limit(settings.sample)
+    # Bounded ids first, so that only the sample's texts are looked at, in the tasks that read them; only ids of documents
+    # count towards the bound.
+    there = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    chosen = marks.join(there, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id", F.lit(settings.seed)), "doc_id", "label").limit(settings.sample)
 
     def run(batches):
         for part in slices(batches):

@@ -109,3 +109,12 @@ def test_slices_hold_every_row_once():
     batch = pa.RecordBatch.from_arrays([pa.array(["a" * n for n in (0, 5, 1, 1, 9, 0, 2)])], names=["text"])
     parts = list(slices([batch], most=4))
     assert [t for p in parts for t in p.column("text").to_pylist()] == batch.column("text").to_pylist()
+
+
+def test_labels_without_documents_use_up_no_sample(spark, stored):
+    docs = stored([(i, "good fine words" if i % 2 else "bad junk") for i in range(40)])
+    labels = spark.range(20_000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    settings = quality.Settings(sample=30)
+    scores = {r.doc_id: r.score for r in quality.quality_scores(docs, labels, settings).collect()}
+    assert all((s > 0.5) == (i % 2 == 1) for i, s in scores.items()) and len(scores) == 40
+    assert {r.doc_id for r in quality.drop_low_quality(docs, labels, settings).collect()} == set(range(1, 40, 2))
