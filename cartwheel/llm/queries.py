@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import chat, decontam, exact, licenses, pieces, quality, secrets, shards, simhash, substrings
+from cartwheel.llm import chat, decontam, exact, licenses, periods, pieces, quality, secrets, shards, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -245,3 +245,36 @@ def op10_sentencepiece(spark, sf_dir):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Documents whose number's checksum ends in 0 repeat a stretch of their own words up to their end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = "array(filter(split(text, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> ''))"
+    # The lambda over one-item arrays binds the words once; a column would be split again for each word.
+    periodic = F.expr(
+        f"transform({words}, ws -> array_join(transform(ws, (w, i) -> CASE WHEN i < g % size(ws) THEN w ELSE "
+        "ws[int(g % size(ws) + (i - g % size(ws)) % (1 + (size(ws) - g % size(ws)) div (3 + g % 8)))] END), ' '))[0]"
+    )
+    placed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", h.alias("h"), F.expr("h div 10").alias("g"))
+    return placed.select("doc_id", F.when(F.col("h") % 10 == 0, periodic).otherwise(F.col("text")).alias("text"))
+
+
+def periodic_runs(docs: DataFrame) -> DataFrame:
+    found = periods.find_runs(with_planted_periods(docs)).withColumn("best", periods.best_run())
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, sf_dir):
+    return periodic_runs(table(spark, sf_dir, "documents"))

@@ -54,7 +54,7 @@ def test_each_number_is_registered_once():
 
     names = list(__spark_entry__.queries())
     assert sorted(n for n in names if n.startswith("op")) == sorted(queries.QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11)) and "pipeline" in names
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14)) and "pipeline" in names
 
 
 def test_entry_works_without_the_subpackage():
