@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import chat, decontam, exact, licenses, periods, pieces, quality, secrets, shards, simhash, substrings
+from cartwheel.llm import chat, decontam, exact, licenses, packing, periods, pieces, quality, secrets, shards, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,6 +33,12 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def word_tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def _spans_sql() -> str:
     """One CTE per kind: gaps and matches of each text, running lengths, then the spans that are long enough."""
     parts = []
@@ -278,3 +284,10 @@ def periodic_runs(docs: DataFrame) -> DataFrame:
 @query("op11_periodic_runs")
 def op11_periodic_runs(spark, sf_dir):
     return periodic_runs(table(spark, sf_dir, "documents"))
+
+
+@query("op12_best_fit_packing")
+def op12_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer_path()).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
