@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import chat, decontam, exact, licenses, packing, periods, pieces, quality, secrets, shards, simhash, substrings
+from cartwheel.llm import chat, decontam, exact, licenses, packing, periods, pieces, quality, secrets, shards, simhash, substrings, trie
+from cartwheel.llm.common import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -291,3 +292,46 @@ def op12_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer_path()).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
+
+
+CRC32_SQL = """list_reduce(list_concat([4294967295], list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii(substr(c::VARCHAR, i, 1)))),
+        lambda x, y: list_reduce(list_concat([xor(x, y)], [0, 0, 0, 0, 0, 0, 0, 0]),
+                                 lambda u, v: CASE WHEN u & 1 = 1 THEN xor(u >> 1, 3988292384) ELSE u >> 1 END))"""
+
+
+@query(
+    "op13_conversation_trie",
+    f"""
+    WITH t AS (
+        SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS rn
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), l AS (
+        SELECT *, xor({CRC32_SQL}, 4294967295) % 4 AS h
+        FROM (SELECT c, list({{'r': r, 'x': x}} ORDER BY rn) AS turns FROM t GROUP BY c)
+    ), b AS (
+        SELECT l.c, list_concat(coalesce(p.turns[1 : l.h], []), l.turns[l.h + 1 :]) AS s FROM l LEFT JOIN l p ON p.c = l.c - l.c % 20
+    ), m AS (
+        SELECT c, d, s[1 : d] AS k, len(s) = d AS here FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM b)
+    ), n AS (
+        SELECT k, d, min(c) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (here), '')) AS ends_sha256,
+               (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(k[d].x, '[^\\x{{20}}\\x{{09}}-\\x{{0D}}]+')) END AS own
+        FROM m GROUP BY k, d
+    ), e AS (
+        SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM n q WHERE q.d = n.d + 1 AND q.k[1 : n.d] = n.k) AS n_children
+        FROM n LEFT JOIN n p ON p.d = n.d - 1 AND p.k = n.k[1 : n.d - 1]
+    ), a AS (
+        SELECT k[1 : j] AS k, j AS d, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(own) AS BIGINT) AS saved_tokens
+        FROM (SELECT *, unnest(range(0, d + 1)) AS j FROM e) GROUP BY 1, 2
+    )
+    SELECT conv_id, e.d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 FROM e JOIN a ON e.d = a.d AND e.k = a.k
+    """,
+)
+def op13_conversation_trie(spark, sf_dir):
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def conversation_trie(turns: DataFrame) -> DataFrame:
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    placed = written(trie.clean_turns(turns), "trie-placed")
+    return trie.prefix_trie(*trie.with_shared_heads(placed, head, F.col("conv_id") - F.col("conv_id") % 20, 3))
