@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions import scores
-from cartwheel.operators import features, ranking, search
+from cartwheel.functions.text import split_ids
+from cartwheel.operators import features, ranking, search, vectors
 from cartwheel.plans.skew import number_in_group
 from cartwheel.session import scratch, shared_dir, ship_package
 
@@ -116,18 +117,24 @@ def load_model(spark: SparkSession, path: str) -> tuple[Recommender, dict]:
     return Recommender(ALSModel.load(f"{path}/model"), users, products), metadata
 
 
-def _named(trained: Recommender, recommendations: DataFrame) -> DataFrame:
-    """Long rows (user_id, pos, product_id, score) from the model's lists of dense numbers."""
-    rows = recommendations.select("u", F.posexplode("recommendations").alias("pos", "r")).select(
-        "u", "pos", F.col("r.i").alias("i"), F.col("r.rating").cast("double").alias("score")
-    )
+def _factors(trained: Recommender) -> tuple[DataFrame, DataFrame]:
+    """Factors of users and products as (id, vector) of their dense numbers."""
+    model = trained.model
+    return tuple(f.select(F.col("id").cast("long").alias("id"), F.col("features").alias("vector")) for f in (model.userFactors, model.itemFactors))
+
+
+def _best(trained: Recommender, users: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    """Long rows (user_id, pos, product_id, score): the ``k`` products with the largest inner product of each user."""
+    found = vectors.largest_products(items, users, k).found
+    rows = found.select(F.col("query_id").alias("u"), (F.col("rank") - 1).alias("pos"), F.col("id").alias("i"), "score")
     return rows.join(trained.users, "u").join(trained.products, "i").select("user_id", "pos", "product_id", "score")
 
 
 def all_candidates(trained: Recommender, k: int) -> DataFrame:
-    """Top ``k`` products of every user as candidate rows. The trainer scores all users and products, block by block,
-    and keeps ``k`` per user."""
-    return _named(trained, trained.model.recommendForAllUsers(k))
+    """Top ``k`` products of every user as candidate rows. Products are met in the order of their norms, and a user
+    stops where the norms left cannot reach its k-th score (``vectors.largest_products``)."""
+    users, items = _factors(trained)
+    return _best(trained, users, items, k)
 
 
 def recommend_all(trained: Recommender, k: int) -> DataFrame:
@@ -138,8 +145,9 @@ def recommend_all(trained: Recommender, k: int) -> DataFrame:
 def recommend_subset(trained: Recommender, users: DataFrame, k: int) -> DataFrame:
     """Top ``k`` products of the given users, one row each with its ``pos``; users the model does not know have none."""
     wanted = users.select(F.col("user_id").cast("long").alias("user_id")).distinct()
-    known = wanted.join(trained.users, "user_id").select("u")
-    return _named(trained, trained.model.recommendForUserSubset(known, k))
+    known = wanted.join(trained.users, "user_id").select(F.col("u").cast("long").alias("id"))
+    factors, items = _factors(trained)
+    return _best(trained, factors.join(known, "id"), items, k)
 
 
 def score_pairs(trained: Recommender, pairs: DataFrame, bounds: tuple[float, float] = scores.MODEL_BOUNDS) -> DataFrame:
@@ -166,10 +174,14 @@ def user_vectors(trained: Recommender) -> DataFrame:
     return factors.join(trained.users, "u").select(F.col("user_id").alias("id"), F.col("features").alias("vector"))
 
 
-def similar_users(vectors: DataFrame, users: DataFrame, n: int = 5) -> DataFrame:
-    """The ``n`` users closest (cosine) to each of ``users`` (user_id), the user left out."""
-    wanted = vectors.join(users.select(F.col("user_id").cast("long").alias("id")).distinct(), "id", "left_semi")
-    return search.nearest(vectors, wanted, n, exclude_self=True).select(
+def similar_users(known: DataFrame | vectors.Index, users: DataFrame, n: int = 5) -> DataFrame:
+    """The ``n`` users closest (cosine) to each of ``users`` (user_id), the user left out.
+
+    ``known`` holds the vectors (id, vector) of all users, or is their index; one that is kept serves many calls.
+    """
+    index = known if isinstance(known, vectors.Index) else vectors.build_index(known)
+    wanted = index.vectors.join(users.select(F.col("user_id").cast("long").alias("id")).distinct(), "id", "left_semi")
+    return vectors.search(index, wanted, n, exclude_self=True).found.select(
         F.col("query_id").alias("user_id"), F.col("id").alias("similar_user_id"), "similarity", "rank"
     )
 
@@ -370,23 +382,60 @@ def preference(scored: DataFrame, n: int = PREFERENCE_SHOWN) -> DataFrame:
     return top.withColumns({"confidence": scores.confidence_band(score), "description": scores.band_description(score)})
 
 
-def user_product_preference(model: Recommender, users: DataFrame, catalog: DataFrame, query: str) -> DataFrame:
-    """Preference of users for the products named in ``query``: ids or words. Every user is scored
-    for every such product, which is what is asked for; the best few of each user are returned."""
-    from cartwheel.functions.text import split_ids
-
+def named_products(catalog: DataFrame, query: str) -> DataFrame:
+    """product_id and product_name of what ``query`` names: ids, or words that occur in name, aisle or department."""
     words = split_ids(query)
     if words and all(w.isdigit() for w in words):
-        wanted = catalog.filter(F.col("product_id").isin([int(w) for w in words]))
-        products = wanted.select("product_id", "product_name")
-    else:
-        products = search.word_matches(catalog, words)
-    # The named products of the catalog are attached to each user, not joined.
-    listed = products.agg(F.collect_list(F.struct("product_id", "product_name"))).scalar()
-    pairs = users.select("user_id").distinct().select("user_id", F.explode(listed).alias("p"))
-    scored = score_pairs(model, pairs.select("user_id", "p.product_id"))
-    named = scored.withColumn("product_id", F.col("product_id").cast("long")).join(products, "product_id")
-    return preference(named)
+        return catalog.filter(F.col("product_id").isin([int(w) for w in words])).select("product_id", "product_name")
+    return search.word_matches(catalog, words).select("product_id", "product_name")
+
+
+def preferred(
+    users: DataFrame, items: DataFrame, names: DataFrame, n: int = PREFERENCE_SHOWN, bounds: tuple[float, float] = scores.MODEL_BOUNDS
+) -> DataFrame:
+    """The ``n`` best of the named products for each user, with score, normalised score, rank and bands.
+
+    ``users`` and ``items`` are (id, vector), ``names`` (product_id, product_name) of the products to score. Factors
+    meet in blocks and each pair of blocks leaves ``n`` rows per user; neither a list of products nor the pairs are
+    ever held. Rows are ranked by the normalised score of three places, then by product.
+    """
+    low, high = bounds
+
+    def normalised(score):
+        return np.round((np.clip(score, low, high) - low) / (high - low), 3)
+
+    wanted = items.join(names.select(F.col("product_id").cast("long").alias("id")).distinct(), "id", "left_semi")
+    top = vectors.largest_products(wanted, users, n, normalised).found.select(
+        F.col("query_id").alias("user_id"), F.col("id").alias("product_id"), F.round("score", 3).alias("score"),
+        F.col("key").alias("normalized_score"), "rank",
+    )
+    band = F.col("normalized_score")
+    return top.join(names.withColumn("product_id", F.col("product_id").cast("long")), "product_id").withColumns(
+        {"confidence": scores.confidence_band(band), "description": scores.band_description(band)}
+    )
+
+
+def user_product_preference(model: Recommender, users: DataFrame, catalog: DataFrame, query: str) -> DataFrame:
+    """Preference of users for the products named in ``query`` (``named_products``): the best few of each user.
+
+    A user or a product that the model does not know scores 0.
+    """
+    names = named_products(catalog, query)
+    zeros = F.array_repeat(F.lit(0.0), model.model.rank)
+    user_factors, item_factors = _factors(model)
+
+    def filled(wanted: DataFrame, known: DataFrame, number: str, factors: DataFrame) -> DataFrame:
+        named = known.join(factors.withColumnRenamed("id", number), number).select(known.columns[0], "vector")
+        vector = F.coalesce(F.col("vector").cast("array<double>"), zeros)
+        return wanted.join(named, known.columns[0], "left").select(F.col(known.columns[0]).alias("id"), vector.alias("vector"))
+
+    asked = users.select(F.col("user_id").cast("long").alias("user_id")).distinct()
+    products = names.select(F.col("product_id").cast("long").alias("product_id")).distinct()
+    return preferred(
+        filled(asked, model.users.select("user_id", "u"), "u", user_factors),
+        filled(products, model.products.select("product_id", "i"), "i", item_factors),
+        names,
+    )
 
 
 # -- run history -------------------------------------------------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions import scores
 from cartwheel.functions.text import clean_id
-from cartwheel.operators import evaluate, features, impute, joins, quality, ranking, recommend, search, segment
+from cartwheel.operators import evaluate, features, impute, joins, quality, ranking, recommend, search, segment, vectors
 from cartwheel.plans.inputs import CANDIDATES_SQL, RFM_SQL, SEGPOP_SQL, candidate_rows, rounded, segments
 from cartwheel.plans.queries_quality import CATALOG_SQL, catalog
 from cartwheel.plans.registry import query
@@ -557,8 +557,70 @@ def score_pairs(spark, sf_dir):
 )
 def similar_users(spark, sf_dir):
     """Every fiftieth vector is asked for."""
-    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    return recommend.similar_users(vectors, vectors.where("id % 50 = 0").select(F.col("id").alias("user_id")), 5)
+    known = embeddings(spark, sf_dir)
+    return recommend.similar_users(known, known.where("id % 50 = 0").select(F.col("id").alias("user_id")), 5)
+
+
+def embeddings(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+
+
+@query(
+    "similar_vectors_indexed",
+    """, e AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+    s AS (SELECT a.vec_id AS query_id, b.vec_id, b.label, ROUND(list_dot_product(a.v, b.v)
+      / (SQRT(list_dot_product(a.v, a.v)) * SQRT(list_dot_product(b.v, b.v)) + 1e-10), 6) AS similarity
+      FROM e a JOIN e b ON a.vec_id % 20 = 0),
+    r AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS INT) AS rank FROM s)
+    SELECT query_id, vec_id, similarity, rank, label FROM r WHERE rank <= 10""",
+)
+def similar_vectors_indexed(spark, sf_dir):
+    """The ten vectors closest to every twentieth one, through an index of all."""
+    base, known = spark.read.parquet(f"{sf_dir}/embeddings.parquet"), embeddings(spark, sf_dir)
+    return search.similar_vectors(base, known.where("id % 20 = 0"), 10, index=vectors.build_index(known))
+
+
+@query(
+    "vector_index_clusters",
+    """SELECT COUNT(*) AS n_vectors, CAST(CEIL(COUNT(*) / 50.0) AS BIGINT) AS n_queries, TRUE AS few_vectors_compared,
+      TRUE AS within_radius FROM embeddings""",
+)
+def vector_index_clusters(spark, sf_dir):
+    """What holds of any index: every vector is in one cluster, and under 30 % of the pairs are compared as vectors."""
+    known = embeddings(spark, sf_dir)
+    index = vectors.build_index(known)
+    shares = vectors.search(index, known.where("id % 50 = 0"), 5).shares()
+    bad = index.clusters.agg(F.count_if(F.col("low") > F.col("high"))).scalar()
+    return shares.select("n_vectors", "n_queries", (F.col("vectors_share") < 0.3).alias("few_vectors_compared"), (bad == 0).alias("within_radius"))
+
+
+def stretched(spark, sf_dir):
+    """Products of very different length: embeddings times a power of their number's remainder."""
+    length = F.pow(F.lit(1.2), F.col("id") % 40)
+    return embeddings(spark, sf_dir).withColumn("vector", F.transform("vector", lambda x: x.cast("double") * length))
+
+
+STRETCHED_SQL = """e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v,
+      list_transform(embedding, lambda x: CAST(x AS DOUBLE) * POW(1.2::DOUBLE, vec_id % 40)) AS w FROM embeddings)"""
+
+
+@query(
+    "largest_products",
+    f""", {STRETCHED_SQL}, s AS (SELECT a.vec_id AS user_id, b.vec_id AS product_id, ROUND(list_dot_product(a.v, b.w), 6) AS score FROM e a, e b),
+    r AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS INT) AS rank FROM s)
+    SELECT user_id, product_id, score, rank FROM r WHERE rank <= 10""",
+)
+def largest_products(spark, sf_dir):
+    """The ten products with the largest inner product for every user, on fixed factors."""
+    found = vectors.largest_products(stretched(spark, sf_dir), embeddings(spark, sf_dir), 10, block=64).found
+    return found.select(F.col("query_id").alias("user_id"), F.col("id").alias("product_id"), "score", "rank")
+
+
+@query("largest_products_share", "SELECT COUNT(*) * COUNT(*) AS pairs, TRUE AS pruned FROM embeddings")
+def largest_products_share(spark, sf_dir):
+    """Bounds by norm leave out over two fifths of the pairs on these factors."""
+    shares = vectors.largest_products(stretched(spark, sf_dir), embeddings(spark, sf_dir), 10, block=64).shares
+    return shares.select("pairs", (F.col("share") < 0.6).alias("pruned"))
 
 
 @query(
@@ -886,6 +948,25 @@ def preference_bands(spark, sf_dir):
     return rounded(recommend.preference(rows), "normalized_score")
 
 
+@query(
+    "preferred_products",
+    f""", {CATALOG_SQL}, {STRETCHED_SQL}, m AS (SELECT product_id, product_name FROM cat WHERE
+      contains(lower(product_name), 'red') OR contains(lower(product_name), 'ring') OR contains(lower(product_name), 'gizmo')
+      OR contains(lower(aisle), 'red') OR contains(lower(aisle), 'ring') OR contains(lower(aisle), 'gizmo')
+      OR contains(lower(department), 'red') OR contains(lower(department), 'ring') OR contains(lower(department), 'gizmo')),
+    s AS (SELECT a.vec_id AS user_id, product_id, product_name, ROUND(list_dot_product(a.v, b.w), 6) AS raw
+      FROM e a, e b JOIN m ON product_id = b.vec_id),
+    z AS (SELECT *, ROUND(LEAST(GREATEST(raw, 0.0::DOUBLE), 2.0::DOUBLE) / 2, 3) AS normalized_score FROM s),
+    r AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY normalized_score DESC, product_id) AS INT) AS rank FROM z)
+    SELECT user_id, product_id, product_name, ROUND(r.raw, 3) AS score, normalized_score, rank, {bands_sql(1)} AS confidence,
+      {bands_sql(2)} AS description FROM r WHERE rank <= 5""",
+)
+def preferred_products(spark, sf_dir):
+    """Preference for named products on fixed factors."""
+    names = recommend.named_products(catalog(load_star(spark, sf_dir)), "red ring, gizmo")
+    return recommend.preferred(embeddings(spark, sf_dir), stretched(spark, sf_dir), names)
+
+
 @query("user_product_preference")
 def user_product_preference(spark, sf_dir):
     star = load_star(spark, sf_dir)
