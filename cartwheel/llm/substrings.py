@@ -6,7 +6,6 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,14 +23,18 @@ PLACE_BITS = 31
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def refine(bucket, later, factor=M1):
+def refine(bucket, later):
     """Bucket identifier of a longer string from the identifiers at its start and at a later offset."""
-    x = (bucket ^ (later * M2 + (later >> np.uint64(29)))) * factor
+    x = (bucket ^ (later * M2 + (later >> np.uint64(29)))) * M1
     x ^= x >> np.uint64(32)
     x *= M3
     return x ^ (x >> np.uint64(29))
 
 
+def digest(raw, salt: bytes = b"") -> bytes:
+    return hashlib.blake2b(raw, digest_size=16, salt=salt).digest()
+
+
 def gram_buckets(raw: np.ndarray) -> np.ndarray:
     """Identifier of the 25-byte string at each place that has one."""
     n = len(raw) - Q + 1
@@ -92,11 +95,16 @@ class Slice:
         for name in ("place", "low", "high", "doc"):
             setattr(self, name, getattr(self, name)[chosen])
 
-    def windows(self, at, factor):
-        """Identifier of the 100 bytes at each place: 25 bytes to 50 to 100."""
-        half = refine(self.buckets[at], self.buckets[at + Q], factor)
-        other = refine(self.buckets[at + 2 * Q], self.buckets[at + 3 * Q], factor)
-        return refine(half, other, factor)
+    def names(self) -> np.ndarray:
+        """128 bits of each anchor: a digest of the bytes of all its windows, salted with where they lie around it.
+
+        Buckets are mixes that can be inverted, so texts can be made that share one; they only pick what is looked at.
+        What counts as equal is decided by this digest or by the bytes.
+        """
+        view, salt = memoryview(self.raw), (self.place - self.low) << 8 | (self.high - self.low)
+        spans = zip(self.low.tolist(), self.high.tolist(), salt.astype("<i8").tolist())
+        made = (digest(view[low : high + LENGTH], at.to_bytes(8, "little")) for low, high, at in spans)
+        return np.frombuffer(b"".join(made), np.uint64).reshape(-1, 2)
 
     def ids(self, at):
         return self.doc_id.take(pa.array(at, pa.int64()))
@@ -129,7 +137,7 @@ LOCAL = -1
 
 
 def _find_spans(repeated):
-    """Anchors whose bucket occurs again, with 128 bits that stand for the bytes of all their windows together.
+    """Anchors whose bucket occurs again, with a digest of the bytes of all their windows together.
 
     lk and rk are the buckets refined by those further left and right, as far as a window reaches on one side at
     least. Where the slice itself has the span before, all its windows are repeats: such spans are merged to intervals
@@ -140,8 +148,7 @@ def _find_spans(repeated):
         for batch in slices(batches):
             part = Slice(batch)
             part.keep(in_bitmap(repeated.value, part.buckets[part.place]) if len(part.place) else slice(0))
-            shape = ((part.place - part.low) << 8 | (part.high - part.low)).astype(np.uint64)
-            s1, s2 = (refine(refine(part.windows(part.low, m), part.windows(part.high, m), m), shape, m) for m in (M1, M2))
+            s1, s2 = part.names().T
             first = _repeats(part, s1, s2, part.doc, part.place)
             base = part.starts[part.doc]
             low, stop, doc = (part.low - base)[~first], (part.high - base)[~first] + LENGTH, part.doc[~first]
@@ -220,7 +227,7 @@ def _resolve(batches):
                     open_ = None
                 seen.add(window)
                 if salts > 1:
-                    mark = np.frombuffer(xxhash.xxh3_128_digest(window[1]), np.int64).tolist()
+                    mark = np.frombuffer(digest(window[1]), np.int64).tolist()
                     found.append((doc_id, row, start + i, start + i + LENGTH, side, k, window[0], *mark))
             if open_ is not None:
                 found.append((doc_id, row, open_, start + len(body), None, None, None, None, None))
@@ -315,13 +322,13 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     place of a text is one. Buckets start as those 25-byte strings and are refined by the buckets at later offsets:
 
     1. Buckets of anchors are counted; an anchor alone in its bucket has no repeated window. Only buckets move.
-    2. For the others, the buckets of all bytes that their windows reach are combined to 128 bits. Of anchors with all
-       of these equal, the first stays in question and the others' windows are repeats at once. Each slice of a task
-       combines its own first, so that a passage in very many documents sends one row per slice.
+    2. For the others, the bytes that their windows reach get a digest (blake2b, 128 bits). Of anchors with equal ones
+       the first stays in question and the others' windows are repeats at once. Each slice of a task combines its own
+       first, so that a passage in very many documents sends one row per slice.
     3. Buckets of the first ones are refined to 63 bytes on either side; only sides that share them with other bytes
        go on. Their bytes, 138 at most, meet by bucket, and the windows in them are refined to all their 100 bytes, the
        first of equal ones being the original. A bucket of more than ``GROUP`` sides is salted, and the salts' first
-       windows are merged once more by 128 bits.
+       windows are merged once more by digests of their bytes.
     """
     python_ready(docs.sparkSession)
     source = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")), "substr-docs", "row")

@@ -99,3 +99,39 @@ def test_gram_buckets_name_equal_strings(n):
     assert len(buckets) == n - 24
     strings = [raw[i : i + 25].tobytes() for i in range(n - 24)]
     assert len(set(zip(strings, buckets.tolist()))) == len(set(strings)) == len(set(buckets.tolist()))
+
+
+def undo(mixed, later):
+    """First argument of ``refine`` from its result and the second one."""
+    x, every = int(mixed), (1 << 64) - 1
+    x ^= x >> 29 ^ x >> 58
+    x = x * pow(int(substrings.M3), -1, 1 << 64) & every
+    x ^= x >> 32
+    x = x * pow(int(substrings.M1), -1, 1 << 64) & every
+    return x ^ ((int(later) * int(substrings.M2) & every) + (int(later) >> 29) & every)
+
+
+def test_texts_made_to_share_buckets_are_different(stored):
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n)).encode()
+
+    def other(gram):
+        """Another 25 ASCII bytes with the same bucket."""
+        want = int(substrings.gram_buckets(np.frombuffer(gram + bytes(20), np.uint8))[0])
+        while True:
+            tail = text(17)
+            e8, e16, e17 = (int.from_bytes(tail[i : i + 8], "little") for i in (0, 8, 9))
+            both = undo(want, e17)
+            one = int(substrings.refine(np.array([e8], np.uint64), np.array([e16], np.uint64))[0])
+            head = undo(undo(both, one), e8).to_bytes(8, "little")
+            if max(head) < 128 and min(head) > 31:
+                made = head + tail
+                assert int(substrings.gram_buckets(np.frombuffer(made + bytes(20), np.uint8))[0]) == want
+                return made
+
+    pairs = []
+    for i in range(0, 40, 2):
+        base = text(100)
+        pairs += [(i, base.decode()), (i + 1, (base[:75] + other(base[75:])).decode())]
+    got = substrings.drop_repeats(stored(pairs)).collect()
+    assert all(r.n_removed == 0 for r in got) and len({t for _, t in pairs}) == 40
