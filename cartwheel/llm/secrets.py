@@ -102,6 +102,10 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
     return sorted((c for c in clauses if not any(o < c for o in clauses)), key=sorted)
 
 
+#: Matches of a text whose places are counted together.
+CHUNK = 128
+
+
 def spans_of(text: Column, rule: Rule, number: int) -> Column:
     """Leftmost matches without overlaps, those too short dropped: structs (start, kind number, end) in code points."""
     pattern = F.lit(rule.pattern)
@@ -109,16 +113,40 @@ def spans_of(text: Column, rule: Rule, number: int) -> Column:
     asked = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else matches
     pieces = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), matches.alias("match"), asked.alias("asked"))
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
-    begin = F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans"))
+
+    def width(piece):
+        return F.length(piece["gap"]) + F.coalesce(F.length(piece["match"]), F.lit(0))
 
     def step(state, piece):
         start = state["at"] + F.length(piece["gap"])
-        end = start + F.length(F.coalesce(piece["match"], F.lit("")))
+        end = state["at"] + width(piece)
         span = F.array(F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end")))
         good = piece["match"].isNotNull() & (F.length(piece["asked"]) >= rule.least)
         return F.struct(end.alias("at"), F.when(good, F.concat(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
 
-    return F.when(F.size(matches) > 0, F.aggregate(pieces, begin, step, lambda s: s["spans"])).otherwise(none)
+    def begin(at):
+        return F.struct(at.cast("long").alias("at"), none.alias("spans"))
+
+    def ahead(state, chunk):
+        """Where the next chunk starts, and the list of where they all do."""
+        total = F.aggregate(chunk, F.lit(0).cast("long"), lambda s, p: s + width(p))
+        return F.struct((state["at"] + total).alias("at"), F.concat(state["starts"], F.array(state["at"])).alias("starts"))
+
+    def placed(chunks):
+        starts = F.aggregate(
+            chunks, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("starts")), ahead, lambda s: s["starts"]
+        )
+        return F.flatten(F.zip_with(chunks, starts, lambda chunk, at: F.aggregate(chunk, begin(at), step, lambda s: s["spans"])))
+
+    def cut(every):
+        last = F.floor((F.size(every) - 1) / CHUNK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(every, i * CHUNK + 1, F.lit(CHUNK)))
+
+    # An array that grows inside an aggregate is copied for each item; in chunks, the copies stay short. Arrays of one
+    # item bind what a lambda would evaluate again for each chunk.
+    chunks = F.transform(F.array(pieces), cut)
+    spans = F.element_at(F.transform(chunks, placed), 1)
+    return F.when(F.size(matches) > 0, spans).otherwise(none)
 
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

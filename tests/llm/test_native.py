@@ -272,3 +272,21 @@ def test_shards_on_table(spark, sf_dir):
 
 def test_brute_fingerprint_of_nothing():
     assert brute.fingerprint(" ") == 0
+
+
+def test_many_secrets_in_one_text_are_quick(docs_of):
+    import time
+
+    text = "x AKIA0123456789ABCD\n" * 100_000
+    begun = time.time()
+    row = secrets.find_secrets(docs_of([(1, text)])).collect()[0]
+    assert time.time() - begun < 30
+    found = [s for s in row.spans if s["kind"] == 1]
+    assert len(found) == 100_000 and all(s["start"] == 21 * i + 2 and s["end"] == s["start"] + 18 for i, s in enumerate(found))
+
+
+def test_repeated_rows_are_spread_over_shards(docs_of):
+    rows = [(7, "same")] * 600 + [(i, f"t{i}") for i in range(1000, 3400)]
+    got = shards.shuffle_into_shards(docs_of(rows)).where("doc_id = 7").groupBy("shard").count().collect()
+    # 37.5 of the 600 are expected in each of 16 shards, with a deviation of 6.
+    assert len(got) == 16 and all(10 < r["count"] < 70 for r in got)
