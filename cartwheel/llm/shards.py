@@ -73,15 +73,17 @@ def shuffle_into_shards(
        and a cell's slots begin behind those of the cells before it.
     """
     spark = docs.sparkSession
-    mark = F.xxhash64("doc_id", "text_crc32", F.lit(seed))
+    # Rows equal in all columns are rows of their own, so the number of a row decides, not what it holds.
+    mark = F.xxhash64("number", F.lit(seed))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(whole_text()).cast("long") + 1).alias("size"),
         F.crc32(whole_text().cast("binary")).alias("text_crc32"),
         (F.spark_partition_id() * SPREAD).alias("part"),
+        F.monotonically_increasing_id().alias("number"),
     ).withColumn("mark", mark)
     placed = written(
-        rows.withColumn("block", F.pmod(F.col("part") + F.pmod("mark", F.lit(SPREAD)), F.lit(blocks)).cast("int")).drop("part"),
+        rows.withColumn("block", F.pmod(F.col("part") + F.pmod("mark", F.lit(SPREAD)), F.lit(blocks)).cast("int")).drop("part", "number"),
         "shards-blocks",
     )
     counts = {r.block: r.n for r in placed.groupBy("block").agg(F.count("*").alias("n")).collect()}
