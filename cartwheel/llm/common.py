@@ -29,6 +29,14 @@ def row_key() -> Column:
     return F.unhex(F.md5(F.concat(number, F.lit(":"), whole_text())))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or the like, that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def python_ready(spark: SparkSession) -> None:
     """Make the package importable in Python workers and keep Arrow batches of long texts small."""
     ship_package(spark)

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import bitmap, in_bitmap, python_ready, row_key, slices, texts, written
+from cartwheel.llm.common import bitmap, in_bitmap, python_ready, row_key, slices, texts, unused, written
 
 WINDOW, SHINGLE = 13, 5
 #: Bytes that separate words become blanks, A-Z become a-z; digits, a-z and bytes of other characters stay.
@@ -257,5 +257,6 @@ def is_contaminated():
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without contaminated rows, all columns kept."""
-    bad = contamination(docs, items).where(is_contaminated()).select(F.col("doc").alias("__doc")).distinct()
-    return docs.withColumn("__doc", row_key()).join(bad, "__doc", "left_anti").drop("__doc")
+    key = unused(docs, "__doc")
+    bad = contamination(docs, items).where(is_contaminated()).select(F.col("doc").alias(key)).distinct()
+    return docs.withColumn(key, row_key()).join(bad, key, "left_anti").drop(key)

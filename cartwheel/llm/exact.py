@@ -7,10 +7,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import bitmap, in_bitmap, numbered, python_ready, slices, whole_text, written
+from cartwheel.llm.common import bitmap, in_bitmap, numbered, python_ready, slices, unused, whole_text, written
 
 SALTS = 16
 HELD_BYTES = 64 << 20
+#: What a member of a group takes in a task's memory, however short its text.
+MEMBER_BYTES = 400
 LOCAL = "row long, doc_id long, digest string, rep long, n long, text string"
 
 
@@ -57,10 +59,11 @@ def _local_winners(repeated, held_bytes: int):
                         if _better(ids[i], rows[i], entry[1], entry[2]):
                             entry[1:3] = ids[i], rows[i]
                         entry[3].append((rows[i], ids[i]))
+                        held += MEMBER_BYTES
                         break
                 else:
                     found.append([text, ids[i], rows[i], [(rows[i], ids[i])]])
-                    held += len(text) + 200
+                    held += len(text) + 200 + MEMBER_BYTES
             if held > held_bytes:
                 yield flush(classes)
                 classes, held = {}, 0
@@ -78,8 +81,9 @@ def exact_groups(docs: DataFrame, digest=None, salts: int = SALTS, key: str | No
     ``row`` is the long column ``key``, or else a number that holds within this result only: it is given in one scan.
 
     1. Digests are counted, which moves digests only. Texts whose digest is certainly alone never move.
-    2. Each task compares the other texts of its partition and keeps one winner per text.
-    3. Winners are merged within salted digest groups, at most one row per partition and text, by whole text.
+    2. Each task compares the other texts of its partition and keeps one winner per text, and starts anew when texts
+       and members fill ``HELD_BYTES``, so that a partition of equal short rows is never held whole.
+    3. Winners are merged within salted digest groups, a few rows per partition and text, by whole text.
     4. Salt winners are merged within digest groups, at most ``salts`` rows per text, by whole text.
     ``digest`` names another digest, a function from the text column to a string column; a weak one costs time only.
     """
@@ -137,6 +141,7 @@ def exact_groups(docs: DataFrame, digest=None, salts: int = SALTS, key: str | No
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns kept; see ``exact_groups``."""
-    placed = numbered(docs, "exact-docs")
-    losers = exact_groups(placed, key="__row").where("not kept").select(F.col("row").alias("__row"))
-    return placed.join(losers, "__row", "left_anti").drop("__row")
+    key = unused(docs, "__row")
+    placed = numbered(docs, "exact-docs", key)
+    losers = exact_groups(placed, key=key).where("not kept").select(F.col("row").alias(key))
+    return placed.join(losers, key, "left_anti").drop(key)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import python_ready, row_key, slices, texts, whole_text
+from cartwheel.llm.common import python_ready, row_key, slices, texts, unused, whole_text
 
 THRESHOLD = 0.3
 FOLDS = 5
@@ -272,13 +272,14 @@ def drop_low_quality(docs: DataFrame, labels: DataFrame, settings: Settings = Se
 
     Verdicts are joined back on ``row_key``: rows that share id and text share their score.
     """
-    placed = docs.withColumn("__row", row_key())
+    key = unused(docs, "__row")
+    placed = docs.withColumn(key, row_key())
     score = scorer(docs, labels, settings, "__row")
     low = (
-        placed.select("__row", whole_text().alias("text"))
+        placed.select(F.col(key).alias("__row"), whole_text().alias("text"))
         .mapInArrow(score, "__row binary, score double")
         .where(F.col("score") < threshold)
-        .select("__row")
+        .select(F.col("__row").alias(key))
         .distinct()
     )
-    return placed.join(low, "__row", "left_anti").drop("__row")
+    return placed.join(low, key, "left_anti").drop(key)

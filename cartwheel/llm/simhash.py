@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import numbered, python_ready, slices, whole_text, written
+from cartwheel.llm.common import numbered, python_ready, slices, unused, whole_text, written
 from cartwheel.llm.components import components
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -241,14 +241,15 @@ def simhash_groups(docs: DataFrame, radius: int = RADIUS, key: str = "doc_id") -
 def drop_near_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each component, the one with the least doc_id (the first of repeated rows; no doc_id
     counts as largest), all columns kept."""
-    placed = numbered(docs, "simhash-docs")
-    ranked = placed.select("__row", F.col("doc_id").cast("long").alias("doc_id"), "text")
+    key = unused(docs, "__row")
+    placed = numbered(docs, "simhash-docs", key)
+    ranked = placed.select(F.col(key).alias("__row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     groups = simhash_groups(ranked, radius, key="__row")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("first")
     keep = (
         groups.join(ranked.select("__row", "doc_id"), "__row")
         .groupBy("component")
         .agg(first)
-        .select(F.col("first.__row").alias("__row"))
+        .select(F.col("first.__row").alias(key))
     )
-    return placed.join(keep, "__row", "left_semi").drop("__row")
+    return placed.join(keep, key, "left_semi").drop(key)

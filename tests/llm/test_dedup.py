@@ -157,3 +157,22 @@ def test_drop_near_copies(stored):
     assert left.columns == docs.columns
     assert sorted(r.doc_id for r in left.collect()) == [3, 4]
     assert simhash.drop_near_copies(stored([])).count() == 0
+
+
+def test_equal_short_rows_are_not_held_whole():
+    import pyarrow as pa
+
+    class Everything:
+        value = np.full(1 << 10, ~np.uint64(0), np.uint64)
+
+    n, sizes = 200_000, []
+    batches = (
+        pa.RecordBatch.from_pydict({
+            "row": pa.array(range(at, at + 1000), pa.int64()), "doc_id": pa.array(range(at, at + 1000), pa.int64()),
+            "text": [""] * 1000, "digest": ["d"] * 1000, "key": pa.array([1] * 1000, pa.int64()),
+        })
+        for at in range(0, n, 1000)
+    )
+    for out in exact._local_winners(Everything(), 4 << 20)(batches):
+        sizes.append(out.num_rows)
+    assert sum(sizes) == n and max(sizes) < 20_000

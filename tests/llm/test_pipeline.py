@@ -34,7 +34,7 @@ def test_run_against_plain_stages(spark, sf_dir):
 
 
 def test_stages_keep_columns(spark, sf_dir):
-    docs = queries.table(spark, sf_dir, "documents").limit(20).withColumn("__extra", F.lit(1))
+    docs = queries.table(spark, sf_dir, "documents").limit(20).withColumns({c: F.lit(1) for c in ("__extra", "__row", "__doc", "row", "key")})
     path = f"{spark.conf.get('spark.checkpoint.dir')}/stage-input"
     docs.write.mode("overwrite").parquet(path)
     docs = spark.read.parquet(path)
@@ -43,6 +43,20 @@ def test_stages_keep_columns(spark, sf_dir):
         assert stage(spark, docs.limit(0), sf_dir).count() == 0
 
 
+def test_run_on_bare_tables(spark, tmp_path):
+    def tables(docs, labels):
+        root = str(tmp_path / f"t{len(list(tmp_path.iterdir()))}")
+        spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{root}/documents.parquet")
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{root}/labels.parquet")
+        spark.createDataFrame([(1, "one two three")], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
+        return root
+
+    assert corpus_pipeline.run(spark, tables([], [])).count() == 0
+    docs = [(None, None, None, None, None), (1, None, "en", "s", 0), (2, "a b c d", None, "s", 7), (3, "a b c d", "en", None, 7), (4, "x one two three", "en", "s", 15)]
+    left = {(r.doc_id, r.decoded) for r in corpus_pipeline.run(spark, tables(docs, [])).collect()}
+    assert (3, "a b c d") in left and (2, "a b c d") not in left and 4 not in {i for i, _ in left}
+
+
 def test_simhash_query_on_table(spark, sf_dir):
     pairs = [tuple(r) for r in queries.table(spark, sf_dir, "documents").select("doc_id", "text").collect()]
     got = queries.QUERIES["op6_simhash_near_dedup"](spark, sf_dir).select("doc_id", "fingerprint", "component_id").collect()
