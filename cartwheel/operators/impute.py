@@ -64,13 +64,41 @@ def _draw_models(users: DataFrame, chains: int, iters: int, seed: int) -> tuple[
     return rows, models
 
 
+def nearest_donors(predicted: DataFrame, donors: int = DONORS) -> DataFrame:
+    """user_id, chain and donors of every row without ``days_imp``: an array of (user_id, days_imp), nearest first.
+
+    ``predicted`` is (user_id, days_imp, chain, predicted), written or checkpointed. Donors are the ``donors`` rows
+    with ``days_imp`` of the same chain with the smallest difference of predictions; of equal ones that with the
+    smaller prediction, then the smaller user. Rows without a prediction neither take nor give; a chain with fewer
+    complete rows gives what it has, one with none leaves its rows out.
+
+    All chains lie in one order by prediction, in range partitions. In it, the nearest complete rows of a row are among
+    the ``donors`` before and the ``donors`` behind its place, so each row meets 2 x ``donors`` places, wherever
+    partitions begin and end, and keeps the nearest of them.
+    """
+    known = predicted.where("predicted is not null")
+    observed = F.col("days_imp").isNotNull()
+    ranked = global_running_count(known, ["chain", "predicted", "user_id"], observed, "place")
+    # Places count the complete rows of all chains, so a place names a donor; its chain is compared.
+    pool = ranked.where(observed).select(
+        "place", F.col("chain").alias("of"), F.col("user_id").alias("donor"), F.col("days_imp").alias("given"), F.col("predicted").alias("at")
+    )
+    around = F.sequence(F.col("place") - (donors - 1), F.col("place") + donors)
+    asked = ranked.where(~observed).select("user_id", "chain", "predicted", F.explode(around).alias("place"))
+    met = asked.join(pool, "place").where("of = chain")
+    near = F.struct(F.abs(F.col("at") - F.col("predicted")).alias("gap"), "at", F.col("donor").alias("user_id"), F.col("given").alias("days_imp"))
+    chosen = met.groupBy("user_id", "chain").agg(F.slice(F.array_sort(F.collect_list(near)), 1, donors).alias("near"))
+    pair = F.transform("near", lambda d: F.struct(d["user_id"].alias("user_id"), d["days_imp"].alias("days_imp")))
+    return chosen.select("user_id", "chain", pair.alias("donors"))
+
+
 def impute_pmm(
     users: DataFrame, chains: int = CHAINS, iters: int = ITERATIONS, seed: int = SEED, donors: int = DONORS
 ) -> DataFrame:
     """Predictive mean matching of ``days_imp`` on user id and frequency.
 
-    All chains are ranked by prediction in one distributed sort. A row with a missing gap takes the gap of one of the
-    ``donors`` complete rows around its place, drawn by hash; the chain results are averaged and rounded half-even.
+    A row with a missing gap takes the gap of one of the ``donors`` complete rows whose predictions are nearest to its
+    own in the same chain (``nearest_donors``), drawn by hash; the chain results are averaged and rounded half-even.
     """
     shared_dir(users.sparkSession)
     users = users.select("user_id", "days_imp", "frequency").checkpoint()
@@ -93,22 +121,10 @@ def impute_pmm(
     predicted = users.select("user_id", "days_imp", F.explode(coefficients).alias("m")).select(
         "user_id", "days_imp", "m.chain", "m.predicted"
     )
-    observed = F.col("days_imp").isNotNull()
-    ranked = global_running_count(predicted, ["chain", "predicted", "user_id"], observed, "running")
-    # Chains follow each other in the order, each with the same number of complete rows.
-    ranked = ranked.withColumn("place", F.col("running") - F.col("chain") * rows)
-    width = min(donors, rows)
-    start = F.greatest(
-        F.lit(1), F.least(F.col("place") - width // 2 + 1, F.lit(rows - width + 1))
-    )
-    draw = F.pmod(F.xxhash64("user_id", "chain", F.lit(seed)), F.lit(width))
-    wanted = ranked.filter(~observed).select("user_id", "chain", (start + draw).alias("place"))
-    pool = ranked.filter(observed).select("chain", "place", F.col("days_imp").alias("donated"))
-    estimates = (
-        wanted.join(pool, ["chain", "place"])
-        .groupBy("user_id")
-        .agg(F.bround(F.avg("donated")).cast("int").alias("estimate"))
-    )
+    pools = nearest_donors(predicted, donors)
+    draw = F.pmod(F.xxhash64("user_id", "chain", F.lit(seed)), F.size("donors")) + 1
+    drawn = pools.withColumn("donated", F.element_at("donors", draw.cast("int"))["days_imp"])
+    estimates = drawn.groupBy("user_id").agg(F.bround(F.avg("donated")).cast("int").alias("estimate"))
     return users.join(estimates, "user_id", "left").select(
         "user_id", F.coalesce(F.col("days_imp").cast("int"), "estimate").alias("days_imp_imputed")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions import scores
 from cartwheel.functions.text import clean_id
-from cartwheel.operators import evaluate, features, impute, joins, quality, ranking, recommend, search, segment, vectors
+from cartwheel.operators import evaluate, features, impute, joins, postings, quality, ranking, recommend, search, segment, vectors
 from cartwheel.plans.inputs import CANDIDATES_SQL, RFM_SQL, SEGPOP_SQL, candidate_rows, rounded, segments
 from cartwheel.plans.queries_quality import CATALOG_SQL, catalog
 from cartwheel.plans.registry import query
@@ -55,6 +55,26 @@ def imputation_users(spark, sf_dir):
     return impute.imputation_users(load_star(spark, sf_dir).orders)
 
 
+@query(
+    "nearest_donors",
+    f""", {USERS_SQL}, p AS (SELECT user_id, days_imp, c.chain, (user_id * (37 + c.chain)) % 1009 + frequency / 8.0::DOUBLE AS predicted
+      FROM i_users, (SELECT unnest([0, 1]) AS chain) c),
+    r AS (SELECT m.user_id, m.chain, d.user_id AS donor, d.days_imp, CAST(ROW_NUMBER() OVER (PARTITION BY m.user_id, m.chain
+        ORDER BY abs(d.predicted - m.predicted), d.predicted, d.user_id) AS INT) AS rank
+      FROM p m JOIN p d ON m.chain = d.chain AND m.days_imp IS NULL AND d.days_imp IS NOT NULL)
+    SELECT user_id, CAST(chain AS INT) AS chain, rank, donor, CAST(days_imp AS INT) AS days_imp FROM r WHERE rank <= 5""",
+)
+def nearest_donors(spark, sf_dir):
+    """Donor sets of the imputation for predictions that don't hang on drawn coefficients."""
+    users = impute.imputation_users(load_star(spark, sf_dir).orders)
+    chains = users.withColumn("chain", F.explode(F.array(F.lit(0), F.lit(1))))
+    at = (F.col("user_id") * (37 + F.col("chain"))) % 1009 + F.col("frequency") / 8.0
+    predicted = chains.select("user_id", F.col("days_imp").cast("int").alias("days_imp"), "chain", at.alias("predicted"))
+    found = impute.nearest_donors(predicted, 5)
+    listed = found.select("user_id", "chain", F.posexplode("donors").alias("at", "d"))
+    return listed.select("user_id", "chain", (F.col("at") + 1).alias("rank"), F.col("d.user_id").alias("donor"), F.col("d.days_imp").alias("days_imp"))
+
+
 @query("impute_pmm")
 def impute_pmm(spark, sf_dir):
     return impute.impute_pmm(impute.imputation_users(load_star(spark, sf_dir).orders))
@@ -1051,3 +1071,47 @@ def similar_vectors(spark, sf_dir):
     base = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     queries = search.group_centroids(base, "label", "embedding")
     return search.similar_vectors(base, queries, 5)
+
+
+def product_queries(star):
+    """A query for every seventh product: a word of its name and its aisle, or part of one."""
+    cat, pid = catalog(star), F.col("product_id")
+    name = F.element_at(F.split("product_name", " "), 1)
+    text = (
+        F.when(pid % 3 == 0, F.concat(F.lit(' "'), F.upper(name), F.lit(" "), F.col("aisle"), F.lit(' "')))
+        .when(pid % 3 == 1, F.substring("product_name", 2, 5))
+        .otherwise(F.concat(F.substring(name, 1, 2), F.lit(" "), F.lower("department")))
+    )
+    return cat.where(pid % 7 == 0).select(pid.alias("query_id"), text.alias("query"))
+
+
+PRODUCT_QUERIES_SQL = """pq AS (SELECT product_id AS query_id, CASE
+      WHEN product_id % 3 = 0 THEN ' "' || upper(string_split(product_name, ' ')[1]) || ' ' || aisle || ' "'
+      WHEN product_id % 3 = 1 THEN substr(product_name, 2, 5)
+      ELSE substr(string_split(product_name, ' ')[1], 1, 2) || ' ' || lower(department) END AS query FROM cat WHERE product_id % 7 = 0)"""
+
+
+@query(
+    "search_products_many",
+    f""", {CATALOG_SQL}, {PRODUCT_QUERIES_SQL} SELECT query_id, product_id, product_name, aisle, department, 1.0::DOUBLE AS score
+    FROM pq JOIN cat ON contains(lower(product_name), lower(query)) OR contains(lower(aisle), lower(query)) OR contains(lower(department), lower(query))""",
+)
+def search_products_many(spark, sf_dir):
+    star = load_star(spark, sf_dir)
+    return postings.search_products(postings.build_postings(catalog(star)), product_queries(star))
+
+
+@query(
+    "fuzzy_products_many",
+    f""", {CATALOG_SQL}, {PRODUCT_QUERIES_SQL},
+    w AS (SELECT query_id, unnest(regexp_split_to_array(trim(regexp_replace(trim(lower(query)), '^[\\x22\\x27]+|[\\x22\\x27]+$', '', 'g')), '\\s+')) AS term FROM pq),
+    h AS (SELECT query_id, product_id, CAST(SUM(1 + CASE WHEN lower(product_name) = term OR list_contains(string_split(lower(product_name), ' '), term)
+        THEN 2 ELSE 0 END) AS INT) AS score
+      FROM w JOIN cat ON term <> '' AND (contains(lower(product_name), term) OR contains(lower(aisle), term) OR contains(lower(department), term))
+      GROUP BY 1, 2),
+    r AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, product_id) AS INT) AS rank FROM h)
+    SELECT query_id, product_id, product_name, aisle, department, score, rank FROM r JOIN cat USING (product_id) WHERE rank <= 10""",
+)
+def fuzzy_products_many(spark, sf_dir):
+    star = load_star(spark, sf_dir)
+    return postings.fuzzy_products(postings.build_postings(catalog(star)), product_queries(star))

@@ -17,7 +17,7 @@ from cartwheel.plans.registry import query
 from cartwheel.plans.star import load_star
 from cartwheel.schemas import pick_column, resolve_columns
 from cartwheel.session import scratch
-from cartwheel.sources import files, sinks, views
+from cartwheel.sources import batches, files, folders, sinks, views
 from cartwheel.streaming import orders as stream
 
 # The test tables have 64-bit ids.
@@ -412,3 +412,45 @@ def publish_imputed(spark, sf_dir):
     estimates = impute.impute_pmm(impute.imputation_users(star.orders))
     sinks.publish(impute.backfill_orders(star.orders, estimates), root, RUNS[0], "orders_imputed")
     return sinks.read_latest(spark, root, "orders_imputed")
+
+
+@query(
+    "skipped_files",
+    """SELECT 'broken.parquet' AS file, 'no parquet footer' AS reason, (SELECT COUNT(*) FROM b_orders) AS rows_read""",
+)
+def skipped_files(spark, sf_dir):
+    """A folder with a file that is none, an empty table and good files."""
+    root, orders = scratch(spark, "skipped"), load_star(spark, sf_dir).orders
+    orders.write.parquet(f"{root}/good")
+    orders.limit(0).coalesce(1).write.parquet(f"{root}/none")
+    orders.limit(1).select(F.lit("no table, but some text").alias("value")).coalesce(1).write.text(f"{root}/text")
+    text = next(f for f in folders.children(spark, f"{root}/text") if f.endswith(".txt"))
+    folders.move(spark, text, f"{root}/good/broken.parquet")
+    n = files.read_parquet(spark, root, recursive=True, skip_bad=True).agg(F.count(F.lit(1))).scalar()
+    found = files.skipped_files(spark, root)
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), "reason", n.alias("rows_read"))
+
+
+@query(
+    "append_in_batches",
+    "SELECT *, (SELECT CAST(CEIL(COUNT(*) / 50.0) AS BIGINT) FROM b_products) AS n_batches FROM b_products",
+)
+def append_in_batches(spark, sf_dir):
+    """A run that breaks off in its second call and goes on behind its last batch."""
+    run, products, calls = scratch(spark, "run"), load_star(spark, sf_dir).products, []
+    target = batches.to_folder(f"{run}/target")
+
+    def fails_once(rows, call):
+        calls.append(call)
+        target(rows, call)
+        if len(calls) == 2:
+            raise OSError("gone")
+
+    try:
+        batches.append_in_batches(products, ["product_id"], fails_once, run, 50, 10)
+    except OSError:
+        pass
+    batches.append_in_batches(products, ["product_id"], fails_once, run, 50, 10)
+    n = batches.committed(spark, run).agg(F.count_distinct("batch")).scalar()
+    rows = spark.read.schema(products.schema).option("recursiveFileLookup", True).parquet(f"{run}/target")
+    return rows.withColumn("n_batches", n)

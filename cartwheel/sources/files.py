@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.schemas import LANDING_PARTITIONS, PARTITION_KEYS
+from cartwheel.session import ship_package
+from cartwheel.sources import folders
 
 STAMP_FORMAT = "yyyy-MM-dd-HHmm"
 
@@ -29,13 +31,83 @@ def read_csv_gz(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_parquet(spark: SparkSession, path: str, recursive: bool = False, skip_bad: bool = False) -> DataFrame:
-    """Parquet folder; optionally with all folders below it and without unreadable files. No readable file is an error."""
+    """Parquet folder; optionally with all folders below it and without unreadable files (``skipped_files`` lists them).
+
+    No readable file is an error. Where bad files are skipped, the columns come from the footers of all files, since
+    any single one may be a bad one.
+    """
     reader = spark.read.option("recursiveFileLookup", recursive).option("ignoreCorruptFiles", skip_bad)
+    if skip_bad:
+        reader = reader.option("mergeSchema", True)
     if recursive:
         reader = reader.option("pathGlobFilter", "*.parquet")
     return reader.parquet(path)
 
 
+def skipped_files(spark: SparkSession, path: str) -> DataFrame:
+    """path and reason of every file below ``path`` that ``read_parquet`` with ``skip_bad`` leaves out.
+
+    Files that gave a row are done with. Of the others the last bytes decide: ``no parquet footer`` or
+    ``unreadable footer``; a file whose footer says that it holds no rows is not skipped. A file that breaks before its
+    footer is ``unreadable data``. Files of no bytes are never opened by Spark's readers and don't count as skipped. If
+    no file at all could be read, that is an error.
+    """
+    ship_package(spark)
+    pattern = "*.parquet"
+    listed = folders.listing(spark, [path], pattern)
+    known = read_parquet(spark, path, recursive=True, skip_bad=True)
+    # Counting each column reads the data behind the footers too; only the number of rows decides.
+    values = [F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(known.columns)]
+    read = known.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("rows"), *values)
+    seen = F.greatest("rows", *[f"_{i}" for i in range(len(values))])
+    read = read.select(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path"), seen.alias("rows"))
+    plain = F.regexp_replace("path", "^file:/+", "file:/")
+    left = listed.withColumn("path", plain).join(read.withColumn("path", plain), "path", "left")
+    bodies = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+        .select(plain.alias("path"), "length", F.substring("content", -FOOTER_BYTES, FOOTER_BYTES).alias("tail"))
+    )
+    checked = bodies.mapInArrow(_footers, "path string, footer string, footer_rows long")
+    reason = (
+        F.when(F.coalesce("footer", F.lit("unreadable footer")) != "good", F.coalesce("footer", F.lit("unreadable footer")))
+        .when(F.coalesce("rows", F.lit(0)) < F.coalesce("footer_rows", F.lit(0)), "unreadable data")
+    )
+    return left.join(checked, "path", "left").select("path", reason.alias("reason")).where("reason is not null")
+
+
+#: Bytes at the end of a file in which its footer is looked for; a larger footer is read with the whole file.
+FOOTER_BYTES = 1 << 20
+
+
+def _footers(batches):
+    """What the last bytes of each file say of it."""
+    import io
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for batch in batches:
+        found = []
+        for length, tail in zip(batch.column("length").to_pylist(), batch.column("tail").to_pylist()):
+            if len(tail) < 12 or tail[-4:] != b"PAR1":
+                found.append(("no parquet footer", None))
+            else:
+                size = int.from_bytes(tail[-8:-4], "little") + 8
+                if size > min(len(tail), length):
+                    found.append(("unreadable footer", None) if size > length else ("good", None))
+                    continue
+                try:
+                    # A footer is read on its own when four bytes of a beginning stand before it.
+                    found.append(("good", pq.read_metadata(io.BytesIO(b"PAR1" + tail[-size:])).num_rows))
+                except Exception:  # noqa: BLE001 - whatever is wrong with it
+                    found.append(("unreadable footer", None))
+        columns = list(zip(*found)) if found else [[], []]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("path"), pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64())],
+            names=["path", "footer", "footer_rows"],
+        )
+
+
 def stamp() -> Column:
     """Time of a landing partition; NULL where the keys do not form one."""
     return F.try_to_timestamp(F.concat_ws("-", *PARTITION_KEYS), F.lit(STAMP_FORMAT))

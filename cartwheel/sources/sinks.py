@@ -6,11 +6,12 @@ from collections.abc import Iterable
 from datetime import datetime, timezone
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.operators.quality import normalize_na
 from cartwheel.schemas import PARTITION_KEYS
+from cartwheel.sources import folders
 
 # Time zone of landing stamps, rows per landed file, stamp formats.
 LANDING_ZONE = "Australia/Sydney"
@@ -19,13 +20,35 @@ STAMP_PARTS = {"year": "%Y", "month": "%m", "day": "%d", "hhmm": "%H%M"}
 RUN_FORMAT = "%Y%m%d-%H%M%S"
 
 
-def write_parquet(df: DataFrame, path: str, coalesce: int | None = None) -> None:
-    """Replace the folder. ``coalesce`` is for small results; large ones keep their partitions."""
-    (df.coalesce(coalesce) if coalesce else df).write.mode("overwrite").parquet(path)
+def _staged(df: DataFrame, path: str, columns: Iterable[str] = ()) -> int:
+    """Write to a folder beside ``path``, compare the rows there with those that went in, then swap the folders."""
+    spark, work = df.sparkSession, folders.beside(path, "work")
+    seen = Observation()
+    try:
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
+        (writer.partitionBy(*columns) if columns else writer).parquet(work)
+        # Counted from the files' own row counts.
+        rows = spark.read.schema(df.schema).parquet(work).count()
+        if rows != seen.get["rows"]:
+            raise OSError(f"{rows} of {seen.get['rows']} rows arrived in {work}")
+        folders.swap(spark, work, path)
+    except Exception:
+        folders.remove(spark, work)
+        raise
+    return rows
+
+
+def write_parquet(df: DataFrame, path: str, coalesce: int | None = None) -> int:
+    """Replace the folder, or leave it as it was when anything fails; ``df`` may read from it. Returns the rows.
+
+    ``coalesce`` is for small results; large ones keep their partitions.
+    """
+    return _staged(df.coalesce(coalesce) if coalesce else df, path)
 
 
-def write_partitioned(df: DataFrame, path: str, columns: Iterable[str] = ("eval_set",)) -> None:
-    df.write.mode("overwrite").partitionBy(*columns).parquet(path)
+def write_partitioned(df: DataFrame, path: str, columns: Iterable[str] = ("eval_set",)) -> int:
+    """As ``write_parquet``, with a folder for each value of ``columns``."""
+    return _staged(df, path, tuple(columns))
 
 
 def landing_stamp(run_ts: datetime, zone: str = LANDING_ZONE) -> dict[str, str]:

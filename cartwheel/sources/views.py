@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import time
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.session import shared_dir
+from cartwheel.sources import folders
 
 DATABASE = "cartwheel_views"
 # Names of the dashboard tables, rows read from one, lifetime of a cached result.
@@ -27,14 +29,44 @@ def qualified(spark: SparkSession, name: str) -> str:
     return f"{DATABASE}.{name}"
 
 
+def _version(spark: SparkSession, name: str) -> str:
+    """A new folder for a version of the table."""
+    root = spark.sql(f"DESCRIBE DATABASE {DATABASE}").where("info_name = 'Location'").first()["info_value"]
+    return f"{root}/{name}/version-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    return spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
+
+
 def materialize(name: str, df: DataFrame, refresh: bool = False) -> DataFrame:
-    """Create the table if it is missing, or anew when asked."""
+    """Create the table if it is missing, or anew when asked.
+
+    Every version is written in full to a folder of its own; then one step in the catalog points the table to it. Until
+    then readers have the version before, also when writing fails. The last version is kept for readers that still
+    use it, older ones are removed. A version with other columns needs the table to be made anew behind the write.
+    """
     spark = df.sparkSession
     table = qualified(spark, name)
-    if refresh:
-        drop_view(spark, name)
-    if not spark.catalog.tableExists(table):
-        df.write.mode("overwrite").saveAsTable(table)
+    there = spark.catalog.tableExists(table)
+    if there and not refresh:
+        return spark.table(table)
+    folder = _version(spark, name)
+    df.write.parquet(folder)
+    if not there:
+        spark.catalog.createTable(table, path=folder, source="parquet", schema=df.schema)
+        return spark.table(table)
+    shape = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    last = _location(spark, table)
+    if [(f.name, f.dataType.simpleString()) for f in spark.table(table).schema.fields] == shape:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.sql(f"DROP TABLE {table}")
+        spark.catalog.createTable(table, path=folder, source="parquet", schema=df.schema)
+    for old in folders.children(spark, folder.rsplit("/", 1)[0]):
+        if old.rsplit("/", 1)[1] not in (folder.rsplit("/", 1)[1], last.rstrip("/").rsplit("/", 1)[1]):
+            folders.remove(spark, old)
     return spark.table(table)
 
 
@@ -46,7 +78,12 @@ def query_view(spark: SparkSession, name: str, where: str | None = None, max_row
 
 
 def drop_view(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {qualified(spark, name)}")
+    """Drop the table with all of its versions."""
+    table = qualified(spark, name)
+    if spark.catalog.tableExists(table):
+        folder = _location(spark, table).rstrip("/").rsplit("/", 1)[0]
+        spark.sql(f"DROP TABLE {table}")
+        folders.remove(spark, folder)
 
 
 def view_status(spark: SparkSession, names: tuple[str, ...] = VIEW_NAMES) -> DataFrame:
@@ -68,7 +105,7 @@ def refresh_all(builders: Mapping[str, Callable[[], DataFrame]]) -> dict[str, bo
 
 def _cache_path(df: DataFrame, name: str, params: Mapping | None, root: str | None) -> str:
     spark = df.sparkSession
-    text = f"{name}|{sorted((params or {}).items())}|{df.semanticHash()}"
+    text = f"{name}|{sorted((params or {}).items())}|{df.semanticHash()}|{folders.fingerprint(df)}"
     folder = root or f"{shared_dir(spark)}/cartwheel/{spark.sparkContext.applicationId}/cache"
     return f"{folder}/{name}-{hashlib.md5(text.encode()).hexdigest()}"
 
@@ -76,8 +113,9 @@ def _cache_path(df: DataFrame, name: str, params: Mapping | None, root: str | No
 def cached_query(
     name: str, df: DataFrame, ttl: float = TTL_SECONDS, params: Mapping | None = None, root: str | None = None
 ) -> DataFrame:
-    """The stored result of the same plan and parameters when it is fresh enough, else run and store it.
+    """The stored result of the same plan, parameters and input files when it is fresh enough, else run and store it.
 
+    Files are known by path, size and time: a result of input that was changed, added to or removed doesn't answer.
     Every run is its own ``created_at`` folder; the newest fresh one answers. Empty results are not reused.
     """
     spark = df.sparkSession

@@ -358,3 +358,41 @@ def test_same_segment_users_leave_out_the_asked_user(spark):
     out = segment.same_segment_users(users, [0, 9], 3)
     got = rows(out.select("user_id", "similar_user_id", "user_id_count"), "user_id", "similar_user_id")
     assert got == [(0, 2, 5), (0, 4, 5), (0, 6, 5), (9, 1, 5), (9, 3, 5), (9, 5, 5)]
+
+
+def test_nearest_donors_against_loops(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    data = [(i, int(i % 9) if rng.random() < 0.5 else None, c, float(rng.integers(0, 40))) for c in (0, 1) for i in range(200)]
+    data += [(900, None, 2, 1.0), (901, None, 0, None), (902, 4, 0, None), (903, None, 3, 5.0), (904, 7, 3, 5.0)]
+    frame = spark.createDataFrame(data, "user_id long, days_imp int, chain int, predicted double").repartition(7)
+    got = {(r.user_id, r.chain): [tuple(d) for d in r.donors] for r in impute.nearest_donors(frame, 3).collect()}
+    want = {}
+    for user, days, chain, at in data:
+        if days is None and at is not None:
+            pool = sorted((abs(p - at), p, u, d) for u, d, c, p in data if c == chain and d is not None and p is not None)[:3]
+            if pool:
+                want[user, chain] = [x[2:] for x in pool]
+    assert got == want and (900, 2) not in got and got[903, 3] == [(904, 7)]
+
+
+def test_postings_find_what_a_scan_finds(spark):
+    from cartwheel.operators import postings
+
+    names = ["Red Ring", "ring", "RINGO star", None, "a", "é clair", "red", "it's 50% off"]
+    data = [(i, n, f"Brand#{i % 3}", None if i == 2 else "toys") for i, n in enumerate(names)]
+    catalog = spark.createDataFrame(data, "product_id long, product_name string, aisle string, department string")
+    index = postings.build_postings(catalog)
+    asked = ["ring", "RED", "a", "é", "50%", "brand#1", "", None, "nowhere", "red ring", "' red red ring'", "toys", "zz a", "it's"]
+    queries = spark.createDataFrame(list(enumerate(asked)), "query_id long, query string")
+    exact = {(r.query_id, r.product_id) for r in postings.search_products(index, queries).collect()}
+    fuzzy = {}
+    for r in postings.fuzzy_products(index, queries, 4).collect():
+        fuzzy.setdefault(r.query_id, []).append((r["rank"], r.product_id, r.score))
+    for i, q in enumerate(asked):
+        whole = {r.product_id for r in search.search_products(catalog, q).collect()} if q else set()
+        assert {p for j, p in exact if j == i} == whole, q
+        want = [(r.product_id, r.score) for r in search.fuzzy_product_id(catalog, q, 4).collect()] if q and q.strip("' ") else []
+        assert [x[1:] for x in sorted(fuzzy.get(i, []))] == want, q
+    assert len(postings.search_products(index, queries, 1).where("query_id = 11").collect()) == 1

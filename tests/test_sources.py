@@ -2,15 +2,17 @@ from __future__ import annotations
 
 import gzip
 import json
+import time
 from datetime import datetime, timezone
 
 import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cartwheel import schemas
 from cartwheel.operators import recommend
-from cartwheel.sources import files, jdbc, sinks, views
+from cartwheel.sources import batches, files, folders, jdbc, sinks, views
 
 
 def test_unreadable_parquet_is_skipped_only_when_asked(spark, tmp_path):
@@ -159,11 +161,16 @@ def test_cache_answers_until_it_expires(spark, tmp_path):
     def ask(ttl, **params):
         return views.cached_query("q", spark.read.parquet(source), ttl=ttl, params=params, root=root).count()
 
-    assert ask(3600) == 3
+    def stored():
+        return len(list((tmp_path / "cache").glob("*/created_at=*")))
+
+    assert ask(3600) == 3 and ask(3600) == 3 and stored() == 1
+    assert ask(3600, limit=1) == 3 and stored() == 2
+    time.sleep(1.1)
+    assert ask(-1) == 3 and stored() == 3
+    # Changed input is another question.
     spark.range(7).write.mode("overwrite").parquet(source)
-    assert ask(3600) == 3
-    assert ask(3600, limit=1) == 7
-    assert ask(-1) == 7
+    assert ask(3600) == 7 and stored() == 4
 
 
 def test_empty_results_are_not_cached(spark, tmp_path):
@@ -212,3 +219,112 @@ def test_jdbc_paging_and_new_rows(spark):
     assert jdbc.range_predicates("id", [5, 5, 9]) == ["id < 5 OR id IS NULL", "id >= 5 AND id < 9", "id >= 9"]
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     assert rows(jdbc.new_rows(df, df.limit(1), ["id"])) == [(2, "b")]
+
+
+def test_write_parquet_leaves_the_old_folder_when_it_fails(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    assert sinks.write_parquet(spark.range(5), path) == 5
+    broken = spark.range(100).select(F.when(F.col("id") == 97, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        sinks.write_parquet(broken, path)
+    assert files.read_parquet(spark, path).count() == 5
+    # A frame that reads from the folder it replaces.
+    assert sinks.write_parquet(files.read_parquet(spark, path).where("id > 1"), path) == 3
+    assert files.read_parquet(spark, path).count() == 3
+    assert sinks.write_parquet(spark.range(0), path) == 0
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    sinks.write_partitioned(spark.range(4).withColumn("eval_set", F.lit("a/b c")), path)
+    assert spark.read.parquet(path).columns == ["id", "eval_set"] and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_readers_keep_the_old_version_while_a_table_is_refreshed(spark):
+    views.drop_view(spark, "v_swap")
+    before = views.materialize("v_swap", spark.range(10))
+    seen = []
+    slow = spark.range(3)
+
+    class Watching:
+        """Looks at the table when the new version is being written."""
+
+        sparkSession, schema = spark, slow.schema
+
+        @property
+        def write(self):
+            seen.append(views.query_view(spark, "v_swap").count())
+            return slow.write
+
+    assert views.materialize("v_swap", Watching(), refresh=True).count() == 3
+    assert seen == [10] and before.count() in (3, 10)
+    broken = spark.range(5).select(F.when(F.col("id") == 4, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        views.materialize("v_swap", broken, refresh=True)
+    assert views.query_view(spark, "v_swap").count() == 3
+    # Other columns.
+    assert views.materialize("v_swap", spark.range(2).withColumn("x", F.lit("y")), refresh=True).columns == ["id", "x"]
+    for n in (4, 5, 6):
+        assert views.materialize("v_swap", spark.range(n).withColumn("x", F.lit("y")), refresh=True).count() == n
+    root = views._location(spark, views.qualified(spark, "v_swap")).rsplit("/", 1)[0]
+    assert len(folders.children(spark, root)) == 2
+    views.drop_view(spark, "v_swap")
+    assert not folders.exists(spark, root)
+
+
+def test_cached_result_of_changed_files_does_not_answer(spark, tmp_path):
+    source, root = f"{tmp_path}/in put", f"{tmp_path}/cache"
+
+    def ask():
+        return views.cached_query("q", spark.read.parquet(source).where("id >= 0"), root=root).count()
+
+    spark.range(3).write.parquet(source)
+    assert ask() == 3 and ask() == 3
+    spark.range(7).write.mode("overwrite").parquet(source)
+    assert ask() == 7
+    spark.range(2).write.mode("append").parquet(source)
+    assert ask() == 9
+    assert len(list((tmp_path / "cache").iterdir())) == 3
+
+
+def test_skipped_files_by_reason(spark, tmp_path):
+    root = tmp_path / "a b+c"
+    spark.range(100).coalesce(1).write.parquet(str(root / "good"))
+    spark.range(0).coalesce(1).write.parquet(str(root / "none"))
+    good = next((root / "good").glob("*.parquet")).read_bytes()
+    (root / "aaa.parquet").write_bytes(b"")
+    (root / "bbb.parquet").write_bytes(b"no table at all, only text")
+    (root / "ccc.parquet").write_bytes(good[: len(good) // 2])
+    (root / "ddd.parquet").write_bytes(b"PAR1" + b"\0" * 40 + (30).to_bytes(4, "little") + b"PAR1")
+    (root / "eee.txt").write_bytes(b"left alone")
+    got = {r.path.rsplit("/", 1)[1]: r.reason for r in files.skipped_files(spark, str(root)).collect()}
+    assert got == {
+        "bbb.parquet": "no parquet footer", "ccc.parquet": "no parquet footer", "ddd.parquet": "unreadable footer",
+    }
+    assert files.read_parquet(spark, str(root), recursive=True, skip_bad=True).count() == 100
+    with pytest.raises(AnalysisException):
+        (tmp_path / "bad").mkdir()
+        (tmp_path / "bad" / "x.parquet").write_bytes(b"nothing")
+        files.skipped_files(spark, str(tmp_path / "bad")).count()
+
+
+def test_batches_resume_behind_the_ledger(spark, tmp_path):
+    run, log = f"{tmp_path}/run", []
+    df = spark.range(95).select((F.col("id") * 7 % 95).alias("k"), F.col("id").cast("string").alias("v"))
+    target = batches.to_folder(f"{tmp_path}/out")
+
+    def write(rows, call):
+        log.append((call, rows.count()))
+        target(rows, call)
+        if len(log) == 2:
+            raise OSError("gone")
+
+    with pytest.raises(OSError):
+        batches.append_in_batches(df, ["k"], write, run, 10, 3)
+    assert batches.committed(spark, run).count() == 3
+    # The source has changed since; the run keeps to the rows it began with.
+    assert batches.append_in_batches(df.limit(1), ["k"], write, run, 10, 3) == 7
+    assert batches.append_in_batches(df, ["k"], write, run, 10, 3) == 0
+    assert [n for _, n in log] == [30, 30, 30, 30, 5] and log[1][0] == log[2][0]
+    out = spark.read.option("recursiveFileLookup", True).parquet(f"{tmp_path}/out")
+    assert sorted(r.k for r in out.collect()) == list(range(95))
+    ledger = {r.batch: r.rows for r in batches.committed(spark, run).collect()}
+    assert ledger == {**{b: 10 for b in range(9)}, 9: 5}
+    assert batches.append_in_batches(df.limit(0), ["k"], write, f"{tmp_path}/none") == 0
