@@ -64,12 +64,16 @@ def _draw_models(users: DataFrame, chains: int, iters: int, seed: int) -> tuple[
     return rows, models
 
 
+#: Places to which predictions and their differences count, so that the order of a sum decides nothing.
+PLACES = 9
+
+
 def nearest_donors(predicted: DataFrame, donors: int = DONORS) -> DataFrame:
     """user_id, chain and donors of every row without ``days_imp``: an array of (user_id, days_imp), nearest first.
 
     ``predicted`` is (user_id, days_imp, chain, predicted), written or checkpointed. Donors are the ``donors`` rows
-    with ``days_imp`` of the same chain with the smallest difference of predictions; of equal ones that with the
-    smaller prediction, then the smaller user. Rows without a prediction neither take nor give; a chain with fewer
+    with ``days_imp`` of the same chain with the smallest difference of predictions; of equal ones those before the row
+    in the order of prediction and user come first, and on either side those that stand nearer to it. Rows without a prediction neither take nor give; a chain with fewer
     complete rows gives what it has, one with none leaves its rows out.
 
     All chains lie in one order by prediction, in range partitions. In it, the nearest complete rows of a row are among
@@ -86,7 +90,14 @@ def nearest_donors(predicted: DataFrame, donors: int = DONORS) -> DataFrame:
     around = F.sequence(F.col("place") - (donors - 1), F.col("place") + donors)
     asked = ranked.where(~observed).select("user_id", "chain", "predicted", F.explode(around).alias("place"))
     met = asked.join(pool, "place").where("of = chain")
-    near = F.struct(F.abs(F.col("at") - F.col("predicted")).alias("gap"), "at", F.col("donor").alias("user_id"), F.col("given").alias("days_imp"))
+    behind = F.struct("at", "donor") > F.struct("predicted", "user_id")
+    near = F.struct(
+        F.round(F.abs(F.col("at") - F.col("predicted")), PLACES).alias("gap"),
+        behind.alias("behind"),
+        F.when(behind, F.col("donor")).otherwise(-F.col("donor")).alias("away"),
+        F.col("donor").alias("user_id"),
+        F.col("given").alias("days_imp"),
+    )
     chosen = met.groupBy("user_id", "chain").agg(F.slice(F.array_sort(F.collect_list(near)), 1, donors).alias("near"))
     pair = F.transform("near", lambda d: F.struct(d["user_id"].alias("user_id"), d["days_imp"].alias("days_imp")))
     return chosen.select("user_id", "chain", pair.alias("donors"))
@@ -119,7 +130,7 @@ def impute_pmm(
         ]
     )
     predicted = users.select("user_id", "days_imp", F.explode(coefficients).alias("m")).select(
-        "user_id", "days_imp", "m.chain", "m.predicted"
+        "user_id", "days_imp", "m.chain", F.round("m.predicted", PLACES).alias("predicted")
     )
     pools = nearest_donors(predicted, donors)
     draw = F.pmod(F.xxhash64("user_id", "chain", F.lit(seed)), F.size("donors")) + 1

@@ -60,7 +60,8 @@ def imputation_users(spark, sf_dir):
     f""", {USERS_SQL}, p AS (SELECT user_id, days_imp, c.chain, (user_id * (37 + c.chain)) % 1009 + frequency / 8.0::DOUBLE AS predicted
       FROM i_users, (SELECT unnest([0, 1]) AS chain) c),
     r AS (SELECT m.user_id, m.chain, d.user_id AS donor, d.days_imp, CAST(ROW_NUMBER() OVER (PARTITION BY m.user_id, m.chain
-        ORDER BY abs(d.predicted - m.predicted), d.predicted, d.user_id) AS INT) AS rank
+        ORDER BY abs(d.predicted - m.predicted), d.predicted > m.predicted OR (d.predicted = m.predicted AND d.user_id > m.user_id),
+        CASE WHEN d.predicted > m.predicted OR (d.predicted = m.predicted AND d.user_id > m.user_id) THEN d.user_id ELSE -d.user_id END) AS INT) AS rank
       FROM p m JOIN p d ON m.chain = d.chain AND m.days_imp IS NULL AND d.days_imp IS NOT NULL)
     SELECT user_id, CAST(chain AS INT) AS chain, rank, donor, CAST(days_imp AS INT) AS days_imp FROM r WHERE rank <= 5""",
 )

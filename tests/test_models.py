@@ -371,9 +371,10 @@ def test_nearest_donors_against_loops(spark):
     want = {}
     for user, days, chain, at in data:
         if days is None and at is not None:
-            pool = sorted((abs(p - at), p, u, d) for u, d, c, p in data if c == chain and d is not None and p is not None)[:3]
+            given = [(u, d, p) for u, d, c, p in data if c == chain and d is not None and p is not None]
+            pool = sorted((abs(p - at), (p, u) > (at, user), u if (p, u) > (at, user) else -u, u, d) for u, d, p in given)[:3]
             if pool:
-                want[user, chain] = [x[2:] for x in pool]
+                want[user, chain] = [x[3:] for x in pool]
     assert got == want and (900, 2) not in got and got[903, 3] == [(904, 7)]
 
 
