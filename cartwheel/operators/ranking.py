@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.plans.skew import number_in_group
+
 
 def last_order(orders: DataFrame) -> DataFrame:
     """Per user the row with the largest order number (order id where there is no number); an aggregate, no window."""
@@ -36,10 +38,15 @@ def dense_top_n(segment_popularity: DataFrame, n: int = 10, key: str = "segment"
 
 
 def rank_if_missing(df: DataFrame, key: str = "segment") -> DataFrame:
-    """Running number by score within the segment where there is no rank yet."""
+    """Running number by score, the highest first, then product, within the segment where there is no rank yet.
+
+    A missing score comes last. Rows are numbered in range partitions of segment and score, which cut a large segment.
+    """
     if "rank" in df.columns or "score" not in df.columns:
         return df
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "product_id")))
+    ordered = df.withColumns({"_none": F.col("score").isNull(), "_down": -F.col("score")})
+    numbered = number_in_group(ordered, [key], ["_none", "_down", "product_id"])
+    return numbered.select(*df.columns, F.col("rn").cast("int").alias("rank"))
 
 
 def first_k(df: DataFrame, k: int, key: str = "segment") -> DataFrame:

@@ -1116,3 +1116,13 @@ def search_products_many(spark, sf_dir):
 def fuzzy_products_many(spark, sf_dir):
     star = load_star(spark, sf_dir)
     return postings.fuzzy_products(postings.build_postings(catalog(star)), product_queries(star))
+
+
+@query(
+    "cluster_recommendations",
+    f""", {SEGPOP_SQL} SELECT segment, product_id, ROUND(s_pop.score, 6) AS score, rank FROM s_pop WHERE segment = 3 AND rank <= 10""",
+)
+def cluster_recommendations(spark, sf_dir):
+    """The ten best products of one segment."""
+    found = segment.cluster_recommendations(popularity_of(load_star(spark, sf_dir)), 3, 10)
+    return rounded(found.select("segment", "product_id", "score", "rank"), "score")

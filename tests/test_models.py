@@ -397,3 +397,17 @@ def test_postings_find_what_a_scan_finds(spark):
         want = [(r.product_id, r.score) for r in search.fuzzy_product_id(catalog, q, 4).collect()] if q and q.strip("' ") else []
         assert [x[1:] for x in sorted(fuzzy.get(i, []))] == want, q
     assert len(postings.search_products(index, queries, 1).where("query_id = 11").collect()) == 1
+
+
+def test_rank_if_missing_numbers_by_score(spark):
+    from cartwheel.operators import ranking
+
+    data = [(1, i, float(i % 4) if i % 5 else None) for i in range(60)] + [(None, 7, 2.0), (2, 1, None)]
+    df = spark.createDataFrame(data, "segment int, product_id long, score double").repartition(5)
+    got = {(r.segment, r.product_id): r["rank"] for r in ranking.rank_if_missing(df).collect()}
+    want = {}
+    for s in (1, 2, None):
+        part = sorted((r for r in data if r[0] == s), key=lambda r: (r[2] is None, -(r[2] or 0), r[1]))
+        want.update({(s, r[1]): i + 1 for i, r in enumerate(part)})
+    assert got == want
+    assert ranking.rank_if_missing(df.drop("score")).columns == ["segment", "product_id"]
