@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import written
 from cartwheel.plans.skew import number_in_group
 
 NARRATORS = ("system",)
 TURNS = 256
+BLOCK = 1024
 
 
 def perspectives(turns: DataFrame, narrators: tuple[str, ...] = NARRATORS) -> DataFrame:
@@ -43,9 +43,9 @@ def perspectives(turns: DataFrame, narrators: tuple[str, ...] = NARRATORS) -> Da
     )
 
 
-def _offsets(pieces: Column) -> Column:
-    """Spans (start, end) of the trained bodies in the joined text, in code points, in order."""
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"))
+def _offsets(pieces: Column, first: Column) -> Column:
+    """Spans (start, end) of the trained bodies in order, in code points; the pieces begin at ``first``."""
+    begin = F.struct(first.cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"))
 
     def step(state, piece):
         start = state["at"] + F.length(piece["header"])
@@ -56,18 +56,42 @@ def _offsets(pieces: Column) -> Column:
     return F.aggregate(pieces, begin, step, lambda state: state["spans"])
 
 
+def _part_starts(lengths: DataFrame) -> DataFrame:
+    """conv_id, speaker, part and ``start``, the characters of the dialogue before the part, from rows with ``n_chars``.
+
+    Lengths are summed within blocks of ``BLOCK`` parts, and those sums over the blocks, so that the window over a whole
+    dialogue has one small row for each ``BLOCK * TURNS`` turns.
+    """
+    keys = ["conv_id", "speaker"]
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    lengths = lengths.withColumn("block", F.floor(F.col("part") / BLOCK))
+    inside = lengths.withColumn("inside", F.coalesce(F.sum("n_chars").over(before.partitionBy(*keys, "block")), F.lit(0)))
+    blocks = lengths.groupBy(*keys, "block").agg(F.sum("n_chars").alias("n_chars"))
+    ahead = F.coalesce(F.sum("n_chars").over(before.partitionBy(*keys).orderBy("block")), F.lit(0))
+    blocks = blocks.select(*[F.col(c).alias(f"_{c}") for c in (*keys, "block")], ahead.alias("ahead"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*keys, "block")]
+    return inside.join(blocks, same).select(*keys, "part", (F.col("ahead") + F.col("inside")).alias("start"))
+
+
 def render(turns: DataFrame, narrators: tuple[str, ...] = NARRATORS, part_turns: int = TURNS) -> DataFrame:
-    """conv_id, speaker, part, n_turns, text and spans (start, end of what is trained on, code points, end exclusive).
+    """conv_id, speaker, part, n_turns, start, text and spans (start, end of what is trained on, end exclusive).
 
-    A dialogue is rendered in parts of ``part_turns`` turns, so that one of any length stays out of a single task; up
-    to that length it is one part. Parts are numbered from 0; their texts joined in order are the dialogue.
+    The text of a dialogue is stored in parts of ``part_turns`` turns, numbered from 0, so that one of any length stays
+    out of a single task; joined in order they are the dialogue. ``start`` is the part's place in the dialogue. All
+    offsets are code points of the whole dialogue, whatever the parts: a span's text is at ``span.start - start`` of
+    its part.
     """
     rows = perspectives(turns, narrators).withColumn("part", F.floor((F.col("place") - 1) / part_turns).cast("int"))
-    gathered = rows.groupBy("conv_id", "speaker", "part").agg(
+    keys = ["conv_id", "speaker", "part"]
+    size = F.length("header") + F.length("body")
+    starts = _part_starts(rows.groupBy(*keys).agg(F.sum(size).alias("n_chars"))).select(
+        *[F.col(c).alias(f"_{c}") for c in keys], "start"
+    )
+    gathered = rows.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("place", "header", "body", "trained"))).alias("pieces")
     )
     whole = F.array_join(F.transform("pieces", lambda p: F.concat(p["header"], p["body"])), "")
-    return gathered.select(
-        "conv_id", "speaker", "part", F.size("pieces").cast("long").alias("n_turns"), whole.alias("text"),
-        _offsets(F.col("pieces")).alias("spans"),
+    return gathered.join(starts, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]).select(
+        *keys, F.size("pieces").cast("long").alias("n_turns"), "start", whole.alias("text"),
+        _offsets(F.col("pieces"), F.col("start")).alias("spans"),
     )

@@ -104,11 +104,11 @@ def op1_secret_scan(spark, sf_dir):
         FROM t JOIN (SELECT DISTINCT conv_id AS c, role AS speaker FROM t WHERE role <> 'system') ON conv_id IS NOT DISTINCT FROM c
     ), a AS (
         SELECT *, (place - 1) // {chat.TURNS} AS part,
-               sum(length(header) + length(body)) OVER (PARTITION BY conv_id, speaker, (place - 1) // {chat.TURNS} ORDER BY place) AS e
+               sum(length(header) + length(body)) OVER (PARTITION BY conv_id, speaker ORDER BY place) AS e
         FROM p
     )
     SELECT conv_id, speaker, CAST(part AS INT) AS part, count(*) AS n_turns,
-           CAST(sum(length(header) + length(body)) AS BIGINT) AS n_chars,
+           CAST(min(e - length(header) - length(body)) AS BIGINT) AS start, CAST(sum(length(header) + length(body)) AS BIGINT) AS n_chars,
            sha256(string_agg(header || body, '' ORDER BY place)) AS text_sha256,
            coalesce(string_agg((e - length(body))::VARCHAR || ':' || e::VARCHAR, ',' ORDER BY place) FILTER (trained), '') AS trained_spans
     FROM a GROUP BY ALL
@@ -118,7 +118,7 @@ def op2_chat_perspectives(spark, sf_dir):
     done = chat.render(table(spark, sf_dir, "conversations"))
     spans = F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
     return done.select(
-        "conv_id", "speaker", "part", "n_turns", F.length("text").cast("long").alias("n_chars"),
+        "conv_id", "speaker", "part", "n_turns", "start", F.length("text").cast("long").alias("n_chars"),
         F.sha2("text", 256).alias("text_sha256"), F.array_join(spans, ",").alias("trained_spans"),
     )
 

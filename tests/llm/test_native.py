@@ -109,12 +109,23 @@ def test_perspectives_of_three_speakers(spark):
     assert chat.render(turns.limit(0)).count() == 0
 
 
-def test_long_dialogue_comes_in_parts(spark):
-    turns = spark.range(1000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("role"), F.col("id").cast("string").alias("text"))
-    whole = chat.render(turns, part_turns=10_000).orderBy("speaker").collect()
-    for speaker in whole:
-        parts = chat.render(turns, part_turns=64).where(F.col("speaker") == speaker.speaker).orderBy("part").collect()
-        assert "".join(p.text for p in parts) == speaker.text and len(parts) == 16 and sum(len(p.spans) for p in parts) == 500
+def test_masks_of_a_long_dialogue_mean_the_same_in_any_parts(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK", 3)
+    turns = spark.range(1000).select(
+        F.when(F.col("id") % 100 > 0, 1).alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == 0, "a").when(F.col("id") % 7 == 0, "system").otherwise("b").alias("role"),
+        F.concat(F.repeat(F.lit("é"), (F.col("id") % 5).cast("int")), F.col("id").cast("string")).alias("text"),
+    )
+    whole = {(r.conv_id, r.speaker): r for r in chat.render(turns, part_turns=10_000).collect()}
+    assert set(whole) == {(1, "a"), (1, "b"), (None, "a")}
+    for part_turns in (1, 64, 999):
+        parts = chat.render(turns, part_turns=part_turns).collect()
+        for key, one in whole.items():
+            mine = sorted((p for p in parts if (p.conv_id, p.speaker) == key), key=lambda p: p.part)
+            assert "".join(p.text for p in mine) == one.text and sum(p.n_turns for p in mine) == one.n_turns
+            assert [s for p in mine for s in p.spans] == one.spans
+            assert [p.start for p in mine] == [sum(len(q.text) for q in mine[:n]) for n in range(len(mine))]
+            assert all(one.text[s.start : s.end] == p.text[s.start - p.start : s.end - p.start] for p in mine for s in p.spans)
 
 
 def test_license_rules(stored):
