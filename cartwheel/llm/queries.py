@@ -139,25 +139,53 @@ def op3_exact_dedup(spark, sf_dir):
 
 
 def _licenses_sql() -> str:
-    known = " ".join(f"WHEN '{text}' THEN '{n}'" for n, text in licenses.SENTENCES.items())
-    rules = ", ".join(
-        f"{{'name': '{name}', 'n': len(regexp_extract_all(line, '\\b{licenses.rule_pattern(steps, licenses.GAP)}'))}}"
-        for name, steps in sorted(licenses.RULES.items())
-    )
+    """Marks as in ``licenses.marked``; each is doubled, so that neighbouring sentences do not share one."""
+    x = licenses
+    marks, tag = x.MARKS, x.SPDX_TAG.rstrip(":")
+    rules = x.rules_pattern(x.RULES, x.GAP)
+    named = "doubled"
+    for number, words in sorted(x.SENTENCES.items(), key=lambda s: (-len(s[1]), s[0])):
+        pattern = f"[{marks}]" + words.replace(" ", f"(?: |[{marks}]{{2}})") + f"[{marks}]"
+        named = f"regexp_replace({named}, '{pattern}', '{x.CUT}={number}{x.CUT}', 'g')"
+    names = " ".join(f"WHEN '{''.join(f'{n};' for n in steps)}' THEN '{name}'" for name, steps in x.RULES.items())
+
+    def ids(line):
+        return (f"list_transform(list_filter(string_split({line}, '{x.CUT}'), lambda s: s <> ''), "
+                "lambda s: CASE WHEN starts_with(s, '=') THEN s[2:] ELSE '-' END)")
+
     return f"""
-    WITH s AS (
-        SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(
-                   regexp_replace(coalesce(text, ''), '{licenses.AFTER_STOP}', '\\1' || chr(1), 'g'),
-                   '{licenses.LINE_END}', chr(1) || '\\1', 'g'), chr(1)),
-                   lambda x: trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> '') AS every
+    WITH t AS (
+        SELECT doc_id, regexp_replace(regexp_replace(coalesce(text, ''), '{x.SPDX_LINE}', '{x.CUT}{tag} \\1{x.CUT}', 'g'),
+                                      '({tag} [A-Za-z0-9.-]+)[+]{x.CUT}', '\\1-or-later{x.CUT}', 'g') AS text
         FROM documents
+    ), c AS (
+        SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(replace(replace(text, '{x.BLANK}', ' '), '{x.LINE}', ' '),
+                           '{x.AFTER_STOP}', '\\1{x.CUT}', 'g'), '{x.BLANK_LINES}', '{x.BLANK}\\0', 'g'),
+                           '{x.LINE_END}', '{x.LINE}\\1', 'g') AS text
+        FROM t
+    ), p AS (
+        SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(
+                           regexp_replace(lower('{x.CUT}' || text || '{x.CUT}'), '[^a-z0-9{marks}]+', ' ', 'g'),
+                           ' ?([{marks}]) ?', '\\1', 'g'), '{x.BLANK}+', '{x.BLANK}', 'g'), '[{marks}]{{2,}}', '{x.CUT}', 'g') AS text
+        FROM c
+    ), d AS (
+        SELECT doc_id, regexp_replace(text, '[{marks}]', '\\0\\0', 'g') AS doubled FROM p
+    ), m AS (
+        SELECT doc_id, replace(regexp_replace(regexp_replace(regexp_replace(named, '[{marks}]*{x.CUT}[{marks}]*', '{x.CUT}', 'g'),
+                           '{x.BLANK}+', '{x.BLANK}', 'g'), '{x.LINE}+', '{x.LINE}', 'g'), '{x.BLANK}', ' ') AS line
+        FROM (SELECT doc_id, {named} AS named FROM d)
     ), l AS (
-        SELECT doc_id, ids, array_to_string(ids, ';') || ';' AS line
-        FROM (SELECT doc_id, list_transform(every, lambda x: CASE x {known} ELSE '-' END) AS ids FROM s)
+        SELECT doc_id, {ids(f"replace(line, '{x.LINE}', '{x.CUT}')")} AS ids,
+               array_to_string({ids(f"replace(line, '{x.LINE}', ' ')")}, ';') || ';' AS line
+        FROM m
+    ), r AS (
+        SELECT doc_id, ids, list_transform(regexp_extract_all(line, '\\b(?:{rules})'), lambda s: CASE replace(s, '-;', '') {names} END) AS held
+        FROM l
     )
-    SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences, array_to_string(list_filter(ids, lambda x: x <> '-'), ',') AS known,
-           array_to_string(list_transform(list_filter([{rules}], lambda r: r.n > 0), lambda r: r.name || ':' || r.n), ',') AS licences
-    FROM l
+    SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences, array_to_string(list_filter(ids, lambda s: s <> '-'), ',') AS known,
+           array_to_string(list_transform(list_sort(list_distinct(held)),
+                           lambda n: n || ':' || len(list_filter(held, lambda h: h = n))), ',') AS licences
+    FROM r
     """
 
 
