@@ -60,7 +60,7 @@ def product_catalog(products: DataFrame, aisles: DataFrame, departments: DataFra
 def fk_filter_small(child: DataFrame, parent: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Drop children with an unknown key when they are rare, else keep them; returns the report as well."""
     flagged, rule, flag = quality.foreign_key_rule(child, parent, key)
-    kept, report = quality.prune_if_rare(flagged, [rule])
+    kept, report = quality.prune_once(flagged, [rule])
     return kept.drop(flag).select(*child.columns), report
 
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.session import stored
+
 # Fixed values of the order domain.
 EVAL_SETS = ("prior", "train", "test")
 MAX_RARE_SHARE = 0.05
@@ -156,12 +160,38 @@ def prune_if_rare(df: DataFrame, rules: Sequence[Rule], max_share: float = MAX_R
     return df.where(kept), report
 
 
+def prune_once(df: DataFrame, rules: Sequence[Rule], max_share: float = MAX_RARE_SHARE) -> tuple[DataFrame, DataFrame]:
+    """The rows and report of ``prune_if_rare``, for an input that costs shuffles or joins.
+
+    The input is worked out once, into a stored copy with the outcomes of the rules as the bits of one number. One job
+    counts its rows per number, at most 4 ** rules rows; what the rules decide on these counts becomes a plain filter
+    over the copy. ``prune_if_rare`` starts no job but plans its input twice.
+    """
+    spark, outcome = df.sparkSession, "_outcome"
+    while outcome in df.columns:
+        outcome += "_"
+    bits = [F.when(c, F.lit(1 << n)).otherwise(F.lit(0)) for n, c in enumerate(c for r in rules for c in (r.bad, r.kept))]
+    judged = stored(df.withColumn(outcome, reduce(add, bits, F.lit(0))), "judged")
+    left = {r[0]: r[1] for r in judged.groupBy(outcome).count().collect()}
+
+    found, needed = [], 0
+    for i, rule in enumerate(rules):
+        bad, kept = 1 << 2 * i, 2 << 2 * i
+        total, failing = sum(left.values()), sum(n for seen, n in left.items() if seen & bad)
+        dropped = total > 0 and failing / total < max_share
+        if dropped:
+            left, needed = {seen: n for seen, n in left.items() if seen & kept}, needed | kept
+        found.append((rule.name, total, failing, dropped))
+    report = spark.createDataFrame(found, "rule string, total long, bad long, dropped boolean")
+    return judged.where(F.col(outcome).bitwiseAND(needed) == needed).select(*df.columns), report
+
+
 # -- cleaning pipelines ------------------------------------------------------------------------------------------
 
 
 def clean_dimension(df: DataFrame, key: str, name: str) -> DataFrame:
     rules = [Rule(f"{key} not an integer", not_int(key)), Rule(f"{name} blank", is_blank(name))]
-    return prune_if_rare(drop_duplicates(df, [key]), rules)[0]
+    return prune_once(drop_duplicates(df, [key]), rules)[0]
 
 
 def clean_aisles(aisles: DataFrame) -> DataFrame:
@@ -199,7 +229,7 @@ def clean_products_report(
         aisle_rule,
         department_rule,
     ]
-    kept, report = prune_if_rare(df, rules)
+    kept, report = prune_once(df, rules)
     return kept.drop(aisle_flag, department_flag).select(*products.columns), report
 
 
@@ -233,8 +263,8 @@ def clean_orders(orders: DataFrame) -> DataFrame:
 def clean_order_products(lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Lines of known orders and products with valid cart position and reorder flag; NULL keys go."""
     valid = apply_rules(lines, line_rules())
-    known_product = valid.join(products.select("product_id").distinct(), "product_id", "left_semi")
-    known = known_product.join(orders.select("order_id").distinct(), "order_id", "left_semi")
+    known_product = valid.join(products.select("product_id"), "product_id", "left_semi")
+    known = known_product.join(orders.select("order_id"), "order_id", "left_semi")
     return known.select(*lines.columns)
 
 

@@ -41,6 +41,25 @@ def test_prune_takes_shares_of_what_earlier_rules_left(spark):
     assert out.count() == 960
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_stored_pruning_decides_like_the_lazy_one(spark, seed):
+    def chance(n, per_mille):
+        return F.abs(F.xxhash64("id", F.lit(seed), F.lit(n))) % 1000 < per_mille
+
+    df = spark.range(3000).select("id", chance(1, 45).alias("a"), chance(2, 51).alias("b"), chance(3, 48).alias("c"), F.lit("x").alias("_outcome"))
+    rules = [Rule("a", F.col("a")), Rule("b", F.col("b"), keep=~F.col("b") & ~chance(4, 20)), Rule("c", F.col("c"), keep=~chance(5, 60)), Rule("all", F.col("id") >= 0)]
+    for frame in (df, df.limit(0)):
+        (kept, report), (want, wanted) = quality.prune_once(frame, rules), quality.prune_if_rare(frame, rules)
+        assert kept.columns == df.columns and rows(kept, "id") == rows(want, "id")
+        assert rows(report, "rule") == rows(wanted, "rule")
+
+
+def test_stored_pruning_plans_its_input_once(spark):
+    df = spark.createDataFrame([(i, i % 3) for i in range(30)], "id int, k int").groupBy("k").agg(F.max("id").alias("id"))
+    kept, _ = quality.prune_once(df, [Rule("blank", F.col("id") < 0)])
+    assert "Aggregate" not in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_empty_tables_stay_empty(spark):
     empty = spark.createDataFrame([], "aisle_id int, aisle string")
     assert quality.clean_aisles(empty).count() == 0
