@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from cartwheel.operators import analytics, evaluate, impute, recommend, segment
+from cartwheel.operators import analytics, evaluate, impute, quality, recommend, segment
 from cartwheel.plans.inputs import rounded
 from cartwheel.plans.queries_analytics import CHURN_COLUMNS, CHURN_SQL, JOURNEY_SQL, lines_of
 from cartwheel.plans.queries_models import COHORT_SQL, cohorts, popularity_of, scored_users, truth_of
@@ -81,6 +81,27 @@ def read_landing(spark, sf_dir):
     return files.read_landing(spark, root, ORDERS, start_ts="2025-01-01-1330", end_ts="2025-07-01-0845")
 
 
+@query(
+    "landing_keys",
+    """SELECT order_id, CASE WHEN order_id % 11 > 0 THEN CAST(days_since_prior_order AS VARCHAR) END AS days_since_prior,
+    CASE eval_set WHEN 'test' THEN '' ELSE eval_set END AS kind, '2025' AS year,
+    CASE WHEN eval_set = 'test' THEN '07' ELSE '01' END AS month, '01' AS day,
+    CASE eval_set WHEN 'prior' THEN '0005' WHEN 'train' THEN '1330' ELSE '0845' END AS hhmm FROM b_orders""",
+)
+def landing_keys(spark, sf_dir):
+    star = load_star(spark, sf_dir)
+    root = scratch(spark, "landed")
+    days = F.when(F.col("order_id") % 11 > 0, F.col("days_since_prior_order").cast("string"))
+    for part, run in zip(("prior", "train", "test"), RUNS, strict=True):
+        kind = F.when(F.col("eval_set") != "test", F.col("eval_set"))
+        rows = star.orders.filter(F.col("eval_set") == part).select("order_id", days.alias("days_since_prior"), kind.alias("kind"))
+        sinks.land_table(rows, root, run)
+    # The files alone, as a loader lists them: their folders say when they landed, blanks are empty texts.
+    schema = "order_id long, days_since_prior string, kind string"
+    lines = files.read_csv(spark, root, schema).withColumns(files.landing_keys(F.col("_metadata.file_path"))).na.fill("")
+    return quality.blank_to_null(lines)
+
+
 @query(
     "land_batch",
     """SELECT CASE eval_set WHEN 'prior' THEN '0005' WHEN 'train' THEN '1330' ELSE '0845' END AS hhmm, eval_set, COUNT(*) AS n,
@@ -226,21 +247,11 @@ def export_cohorts(spark, sf_dir):
 def _write_run(spark, star, root, run_id, k, finished, covered, summaries):
     """Metrics of the popularity lists of length k against those of length 10, as one run folder."""
     model, base = (spark.createDataFrame([summaries[length]]) for length in (k, 10))
-    both = evaluate.metrics_lift(model, base)
-    document = both.select(
-        F.lit(k).alias("top_k"),
-        *([F.lit(finished).alias("finished_at_utc")] if finished else []),
-        "users_evaluated",
-        *[
-            F.struct(*[F.col(f"{side}_{m}").alias(m) for m in evaluate.METRICS]).alias(name)
-            for side, name in (("model", "als"), ("baseline", "baseline"), ("lift", "lift"))
-        ],
-    )
-    document.coalesce(1).write.json(f"{root}/{run_id}/metrics.json")
+    coverage = None
     if covered:
         truth = truth_of(star)
-        lists = evaluate.popularity_baseline(star.train, truth, k)
-        evaluate.coverage(lists, truth, star.train).coalesce(1).write.json(f"{root}/{run_id}/coverage.json")
+        coverage = evaluate.coverage(evaluate.popularity_baseline(star.train, truth, k), truth, star.train)
+    sinks.write_run(root, run_id, evaluate.metrics_lift(model, base), k, finished, coverage)
 
 
 RUN_LIST = (

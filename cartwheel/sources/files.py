@@ -113,6 +113,16 @@ def stamp() -> Column:
     return F.try_to_timestamp(F.concat_ws("-", *PARTITION_KEYS), F.lit(STAMP_FORMAT))
 
 
+def landing_keys(path: Column | str) -> dict[str, Column]:
+    """Partition keys (year, month, day, hhmm) of a landed file as text columns, empty where its folders lack one.
+
+    Given a path, they are literals for all rows of that file; given a column such as ``_metadata.file_path``, each
+    row has those of its own file, so that many files are read in one scan.
+    """
+    path = F.lit(path) if isinstance(path, str) else path
+    return {key: F.regexp_extract(path, f"/{key}=([^/]*)/", 1) for key in PARTITION_KEYS}
+
+
 def read_landing(
     spark: SparkSession, path: str, schema: str, start_ts: str | None = None, end_ts: str | None = None
 ) -> DataFrame:

@@ -94,6 +94,27 @@ def land_batch(spark: SparkSession, tables: dict[str, DataFrame], root: str, run
     )
 
 
+def write_run(
+    root: str, run_id: str, lifted: DataFrame, top_k: int, finished_at: str | None = None, coverage: DataFrame | None = None
+) -> str:
+    """Write the documents of an evaluation run, ``<run_id>/metrics.json`` and ``coverage.json``; returns the run folder.
+
+    ``lifted`` is the row of ``evaluate.metrics_lift``, ``coverage`` that of ``evaluate.coverage``. Without
+    ``finished_at`` readers go by the file time. Metrics come last, since a run counts from then on; a run that is
+    there already is an error.
+    """
+    if coverage is not None:
+        coverage.withColumn("top_k", F.lit(top_k)).coalesce(1).write.json(f"{root}/{run_id}/coverage.json")
+    sides = [
+        F.struct(*[F.col(c).alias(c.removeprefix(f"{side}_")) for c in lifted.columns if c.startswith(f"{side}_")]).alias(name)
+        for side, name in (("model", "als"), ("baseline", "baseline"), ("lift", "lift"))
+    ]
+    finished = [] if finished_at is None else [F.lit(finished_at).alias("finished_at_utc")]
+    document = lifted.select(F.lit(top_k).alias("top_k"), *finished, "users_evaluated", *sides)
+    document.coalesce(1).write.json(f"{root}/{run_id}/metrics.json")
+    return f"{root}/{run_id}"
+
+
 def publish(df: DataFrame, root: str, run_ts: datetime, name: str = "data") -> str:
     """Write ``run-<stamp>/`` once, then add a line to the pointer table ``latest/``. Returns the run folder.
 

@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cartwheel import schemas
-from cartwheel.operators import recommend
+from cartwheel.operators import evaluate, recommend
 from cartwheel.sources import batches, files, folders, jdbc, sinks, views
 
 
@@ -328,3 +328,26 @@ def test_batches_resume_behind_the_ledger(spark, tmp_path):
     ledger = {r.batch: r.rows for r in batches.committed(spark, run).collect()}
     assert ledger == {**{b: 10 for b in range(9)}, 9: 5}
     assert batches.append_in_batches(df.limit(0), ["k"], write, f"{tmp_path}/none") == 0
+
+
+def test_landing_keys_of_one_file_and_of_each(spark):
+    path = "s3://b/orders/year=2025/month=07/day=01/hhmm=0845/part-0.csv"
+    df = spark.createDataFrame([(path,), ("/orders/year=2024/part-1.csv",), (None,)], "p string")
+    assert df.select(*files.landing_keys(path).values()).first() == ("2025", "07", "01", "0845")
+    got = [tuple(r) for r in df.select(*files.landing_keys(F.col("p")).values()).collect()]
+    assert got == [("2025", "07", "01", "0845"), ("2024", "", "", ""), (None,) * 4]
+
+
+def test_run_documents_are_read_back(spark, tmp_path):
+    side = "precision double, recall double, map double, ndcg double"
+    model, base = (spark.createDataFrame([(7, *v)], f"users_evaluated long, {side}") for v in ((0.5, 0.25, 0.2, 0.1), (0.25, 0.0, 0.1, 0.1)))
+    lifted = evaluate.metrics_lift(model, base)
+    covered = spark.createDataFrame([(0.5, 1.0)], "coverage_item double, coverage_user_eval double")
+    sinks.write_run(str(tmp_path), "als-1", lifted, 5, "2025-01-01T00:00:00", covered)
+    sinks.write_run(str(tmp_path), "als-2", lifted, 10)
+    got = {r.run_id: r for r in files.read_run_metrics(spark, str(tmp_path)).collect()}
+    assert (got["als-1"].top_k, got["als-1"].coverage_item, got["als-1"].users_evaluated) == (5, 0.5, 7)
+    assert (got["als-2"].top_k, got["als-2"].coverage_item, got["als-2"].finished_at_utc) == (10, None, None)
+    assert tuple(got["als-1"].lift) == (1.0, None, 1.0, 0.0) and tuple(got["als-1"].als) == (0.5, 0.25, 0.2, 0.1)
+    with pytest.raises(AnalysisException):
+        sinks.write_run(str(tmp_path), "als-1", lifted, 5)
