@@ -551,6 +551,19 @@ def train_als_counts(spark, sf_dir):
     return rounded(vectors.select("product_id", scores.norm(F.col("vector")).alias("norm")), "norm", digits=3)
 
 
+@query(
+    "train_als_counts_keys",
+    """SELECT DISTINCT product_id, TRUE AS finite, TRUE AS in_range FROM b_prior JOIN b_orders USING (order_id)""",
+)
+def train_als_counts_keys(spark, sf_dir):
+    """What holds whatever the factors are: every bought product has one vector, of finite numbers and finite length."""
+    star = load_star(spark, sf_dir)
+    model, _ = recommend.train_als_counts(features.purchase_counts(star.prior, star.orders))
+    vectors = recommend.item_vectors(model).withColumn("norm", scores.norm(F.col("vector")))
+    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return vectors.select("product_id", finite.alias("finite"), ((F.col("norm") >= 0) & (F.col("norm") < float("inf"))).alias("in_range"))
+
+
 @query("recommend_all")
 def recommend_all(spark, sf_dir):
     return joined_items(recommend.recommend_all(trained(spark, sf_dir)[0], 10))
