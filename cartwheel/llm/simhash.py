@@ -56,10 +56,11 @@ def fingerprints(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def bit_planes(marks: np.ndarray) -> np.ndarray:
-    """64 rows, one per bit: that bit of all fingerprints, packed into words of 64 lanes."""
+    """A row for each bit: that bit of all fingerprints (one or several words each), packed into words of 64 lanes."""
     lanes = -(-len(marks) // 64) * 64
-    bits = np.zeros((lanes, 64), np.uint8)
-    bits[: len(marks)] = np.unpackbits(marks.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    every = np.unpackbits(np.ascontiguousarray(marks).view(np.uint8).reshape(len(marks), -1), axis=1, bitorder="little")
+    bits = np.zeros((lanes, every.shape[1]), np.uint8)
+    bits[: len(marks)] = every
     return np.ascontiguousarray(np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little")).view(np.uint64)
 
 
@@ -68,9 +69,10 @@ def neighbours(marks: np.ndarray, radius: int = RADIUS, chunk: int = 256) -> np.
 
     Distances of one fingerprint to all lanes are counted plane by plane in carry-save counters: one word per binary
     digit of the count, and one that stays set once the count exceeds the radius. Queries all of whose lanes exceed it
-    leave before the remaining planes are read.
+    leave before the remaining planes are read. A fingerprint is a word of 64 bits or a row of several.
     """
     planes = bit_planes(marks)
+    marks = marks.reshape(len(marks), -1)
     width = planes.shape[1]
     digits = radius.bit_length()
     out = np.zeros((len(marks), width), np.uint64)
@@ -82,13 +84,13 @@ def neighbours(marks: np.ndarray, radius: int = RADIUS, chunk: int = 256) -> np.
         asked = marks[mine]
         counter = np.zeros((digits, len(mine), width), np.uint64)
         over = np.broadcast_to(~valid, (len(mine), width)).copy()
-        for bit in range(64):
-            flip = np.where(asked >> np.uint64(bit) & np.uint64(1), ~np.uint64(0), np.uint64(0))
+        for bit in range(len(planes)):
+            flip = np.where(asked[:, bit >> 6] >> np.uint64(bit & 63) & np.uint64(1), ~np.uint64(0), np.uint64(0))
             carry = planes[bit][None, :] ^ flip[:, None]
             for d in range(digits):
                 counter[d], carry = counter[d] ^ carry, counter[d] & carry
             over |= carry
-            if bit % 8 == 7 and bit > 7:
+            if bit % 8 == 7 and bit > max(7, radius):
                 over |= _exceeds(counter, radius)
                 # A fingerprint always matches itself; one that matches nothing else is through.
                 own = np.zeros_like(over)
@@ -116,8 +118,12 @@ def _exceeds(counter: np.ndarray, radius: int) -> np.ndarray:
     return more
 
 
-def spanning_links(marks: np.ndarray, group: np.ndarray, radius: int = RADIUS):
-    """Links (a, b) that connect the fingerprints of each group as their pairs within ``radius`` do; fewer than rows."""
+def spanning_links(marks: np.ndarray, group: np.ndarray, radius: int = RADIUS, names: np.ndarray | None = None):
+    """Links (a, b) that connect the fingerprints of each group as their pairs within ``radius`` do; fewer than rows.
+
+    They are told by ``names``, or by the fingerprints themselves.
+    """
+    names = marks if names is None else names
     close = neighbours(marks, radius)
     width = close.shape[1]
     lane_group = np.r_[group, np.full(width * 64 - len(group), -1)]
@@ -140,39 +146,43 @@ def spanning_links(marks: np.ndarray, group: np.ndarray, radius: int = RADIUS):
             front = np.flatnonzero(np.unpackbits(fresh.view(np.uint8), bitorder="little"))
         members = np.flatnonzero(np.unpackbits(reached.view(np.uint8), bitorder="little"))
         seen |= reached
-        a += marks[members[1:]].tolist()
-        b += [marks[members[0]]] * (len(members) - 1)
+        a += names[members[1:]].tolist()
+        b += [names[members[0]]] * (len(members) - 1)
     return np.array(a, np.uint64).view(np.int64), np.array(b, np.uint64).view(np.int64)
 
 
-def _compare(radius: int, most: int):
-    """Rows come sorted by bucket; whole buckets are compared together in blocks of about ``most`` lanes."""
+def compare(radius: int, most: int, words: tuple[str, ...] = ("fp",), name: str = "fp"):
+    """Rows come sorted by bucket; whole buckets are compared together in blocks of about ``most`` lanes.
+
+    A fingerprint lies in the columns ``words``; links are told by the column ``name``.
+    """
 
     def run(batches):
         held, total = [], 0
         for batch in batches:
-            fp = batch.column("fp").to_numpy().view(np.uint64)
+            fp = np.stack([batch.column(c).to_numpy() for c in words], 1).view(np.uint64)
+            node = batch.column(name).to_numpy().view(np.uint64)
             bucket = np.stack([batch.column(c).to_numpy() for c in ("bucket", "i", "j")], 1)
-            held.append((fp, bucket))
+            held.append((fp, node, bucket))
             total += len(fp)
             if total < 8 * most:
                 continue
-            fp, bucket = (np.concatenate(x) for x in zip(*held))
+            fp, node, bucket = (np.concatenate(x) for x in zip(*held))
             last = np.flatnonzero((bucket != bucket[-1]).any(1))
             cut = last[-1] + 1 if len(last) else 0
-            yield from blocks(fp[:cut], bucket[:cut])
-            held, total = [(fp[cut:], bucket[cut:])], len(fp) - cut
+            yield from blocks(fp[:cut], node[:cut], bucket[:cut])
+            held, total = [(fp[cut:], node[cut:], bucket[cut:])], len(fp) - cut
         if held:
             yield from blocks(*(np.concatenate(x) for x in zip(*held)))
 
-    def blocks(fp, bucket):
+    def blocks(fp, node, bucket):
         if not len(fp):
             return
         change = np.r_[True, (bucket[1:] != bucket[:-1]).any(1)]
         group = np.cumsum(change) - 1
         size = np.bincount(group)
         several = size[group] > 1
-        fp, group = fp[several], group[several]
+        fp, node, group = fp[several], node[several], group[several]
         if not len(fp):
             return
         _, group, sizes = np.unique(group, return_inverse=True, return_counts=True)
@@ -181,7 +191,7 @@ def _compare(radius: int, most: int):
         while at < len(fp):
             first = group[at]
             stop = int(ends[max(first, np.searchsorted(ends, at + 256, side="right") - 1)])
-            a, b = spanning_links(fp[at:stop], group[at:stop], radius)
+            a, b = spanning_links(fp[at:stop], group[at:stop], radius, node[at:stop])
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
             at = stop
@@ -216,7 +226,7 @@ def close_links(marks: DataFrame, radius: int = RADIUS, tile: int = TILE) -> Dat
         .select("fp", "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
     dealt = paired.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "fp")
-    return dealt.mapInArrow(_compare(radius, 2 * tile), "a long, b long").distinct()
+    return dealt.mapInArrow(compare(radius, 2 * tile), "a long, b long").distinct()
 
 
 def simhash_groups(docs: DataFrame, radius: int = RADIUS, key: str = "doc_id") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import decontam, exact, pieces, quality, queries, simhash
+from cartwheel.llm import decontam, exact, near, pieces, quality, queries
 from cartwheel.session import scratch
 
 
@@ -14,14 +14,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts, the one with the largest doc_id; null counts as empty."""
     return exact.drop_exact_copies(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.drop_near_copies(docs)
+    """One row of each group of near copies, the one with the least doc_id: texts whose wide SimHash fingerprints over
+    five-word shingles are as close as a similarity of 0.8 makes them."""
+    return near.drop_near_copies(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark passages cover less than a twentieth of the words."""
     return decontam.drop_contaminated(docs, queries.table(spark, sf_dir, "benchmark"))
 
 

@@ -6,8 +6,12 @@ import hashlib
 import re
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import xxhash
 
+from cartwheel.llm import near
+
 
 def sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
@@ -83,3 +87,19 @@ def near_components(pairs):
         if doc_id is not None:
             least[top(m)] = min(least.get(top(m), doc_id), doc_id)
     return [(i, f"{m:016x}", least.get(top(m))) for (i, _), m in zip(pairs, marks)]
+
+
+def near_left(pairs, radius=52):
+    """doc_ids left: the least of each group of wide fingerprints linked through any chain."""
+    marks = near.text_marks(pa.array([t or "" for _, t in pairs]))
+    bits = np.unpackbits(marks.view(np.uint8), axis=1).astype(np.int32)
+    left, todo = [], np.arange(len(pairs))
+    while len(todo):
+        group, front, todo = [todo[0]], [todo[0]], todo[1:]
+        while front:
+            close = (bits[todo] != bits[front.pop()]).sum(1) <= radius
+            group += todo[close].tolist()
+            front += todo[close].tolist()
+            todo = todo[~close]
+        left.append(min(pairs[i][0] for i in group))
+    return sorted(left)

@@ -24,8 +24,8 @@ def test_run_against_plain_stages(spark, sf_dir):
     left = [(r.doc_id, r.text) for r in docs.collect() if r.doc_id in good]
     newest = {t or "": max(i for i, u in left if (u or "") == (t or "")) for _, t in left}
     left = [(i, t) for i, t in left if newest[t or ""] == i]
-    first = {row[0]: row[2] for row in brute.near_components(left)}
-    left = [(i, t) for i, t in left if first[i] == i]
+    stay = set(brute.near_left(left))
+    left = [(i, t) for i, t in left if i in stay]
     clean = {row[0] for row in brute.contamination(left, items) if not row[5]}
     model = sentencepiece.SentencePieceProcessor(model_file=queries.model_path())
     want = [(i, model.encode(t or "", add_eos=True), t or "") for i, t in left if i in clean]
