@@ -86,3 +86,30 @@ def test_preferred_ranks_by_the_clamped_score(spark):
         (0, 11, 1.0), (0, 12, 1.0), (0, 14, 1.0), (1, 13, 0.5), (1, 10, 0.0), (1, 11, 0.0),
     ]
     assert got[0].confidence == "VERY_HIGH" and got[3].description == "High preference/popularity"
+
+
+def test_products_meet_without_shuffling_vectors(spark):
+    rng = np.random.default_rng(3)
+    base, users = rng.normal(size=(700, 6)) * 1.5 ** rng.integers(0, 12, size=(700, 1)), rng.normal(size=(90, 6))
+    base[:300] = base[300:600]
+    done = vectors.largest_products(frame(spark, base), frame(spark, users), 7, block=16)
+    plan = done.found._jdf.queryExecution().executedPlan().toString()
+    # Only the best rows of each query are shuffled, and no side is sent to the driver.
+    assert plan.count("Exchange ") == 1 and "BroadcastExchange" not in plan
+    got = {(r.query_id, r["rank"]): (r.id, r.score) for r in done.found.collect()}
+    score = np.round(users @ base.T, 6)
+    for u in range(90):
+        want = np.lexsort((np.arange(700), -score[u]))[:7]
+        assert [got[u, i + 1] for i in range(7)] == [(int(x), float(score[u, x])) for x in want]
+    shares = done.shares.first()
+    assert shares.pairs == 63_000 and shares.share < 0.7
+
+
+def test_products_by_a_key_with_many_ties(spark):
+    rng = np.random.default_rng(4)
+    base, users = rng.normal(size=(5000, 3)), rng.normal(size=(30, 3))
+    found = vectors.largest_products(frame(spark, base), frame(spark, users), 4, lambda x: np.clip(np.round(x), 0, 1), block=50).found
+    got = {(r.query_id, r["rank"]): r.id for r in found.collect()}
+    key = np.clip(np.round(np.round(users @ base.T, 6)), 0, 1)
+    for u in range(30):
+        assert [got[u, i + 1] for i in range(4)] == np.lexsort((np.arange(5000), -key[u]))[:4].tolist()
