@@ -351,3 +351,21 @@ def test_run_documents_are_read_back(spark, tmp_path):
     assert tuple(got["als-1"].lift) == (1.0, None, 1.0, 0.0) and tuple(got["als-1"].als) == (0.5, 0.25, 0.2, 0.1)
     with pytest.raises(AnalysisException):
         sinks.write_run(str(tmp_path), "als-1", lifted, 5)
+
+
+def test_each_call_of_a_batched_append_is_one_job(spark, tmp_path):
+    df, jobs = spark.range(400).withColumnRenamed("id", "k"), []
+    tracker = spark.sparkContext.statusTracker()
+
+    def write(rows, call):
+        jobs.append(len(tracker.getJobIdsForGroup("batches")))
+        rows.write.parquet(f"{tmp_path}/out/{call}")
+
+    spark.sparkContext.setJobGroup("batches", "batches")
+    try:
+        assert batches.append_in_batches(df, ["k"], write, f"{tmp_path}/run", 5, 2) == 80
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 40 and jobs[-1] - jobs[0] == 39
+    ledger = batches.committed(spark, f"{tmp_path}/run").groupBy("call").count()
+    assert ledger.count() == 40 and ledger.where("count = 2").count() == 40
