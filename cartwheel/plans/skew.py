@@ -6,13 +6,44 @@ into pieces of bounded size, number each piece on its own and add the rows of th
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.session import scratch, shared_dir
 
+#: Keys are counted in buckets by hash; those of a bucket with more rows than this are cut into ranges.
+BUCKETS, LIGHT_ROWS = 65_536, 500_000
+
+
+def number_by_size(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    lag: str | None = None,
+    fold: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    most: int = LIGHT_ROWS,
+) -> DataFrame:
+    """As ``number_in_group`` of ``fold(df)``, where most keys have few rows: those are shuffled once, by ``keys``.
+
+    ``fold`` may aggregate rows by ``keys`` and further columns. Only keys in a bucket of more than ``most`` rows,
+    before folding, take the way over ranges and written pieces.
+    """
+    keys, order, bucket = list(keys), list(order), F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    # At most BUCKETS numbers.
+    counted = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > most)
+    heavy = [r["bucket"] for r in counted.collect()]
+    if len(heavy) > BUCKETS // 64:
+        return number_in_group(fold(df), keys, order, lag)
+    light = fold((df.where(~bucket.isin(heavy)) if heavy else df).repartition(*[F.col(k) for k in keys]))
+    group = Window.partitionBy(*keys)
+    added = {"rn": F.row_number().over(group.orderBy(*order)), "group_rows": F.count(F.lit(1)).over(group)}
+    numbered = light.withColumns({**added, "prev": F.lag(lag).over(group.orderBy(*order))} if lag else added)
+    if not heavy:
+        return numbered
+    return numbered.unionByName(number_in_group(fold(df.where(bucket.isin(heavy))), keys, order, lag))
+
 
 def number_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], lag: str | None = None) -> DataFrame:
     """Add ``rn`` (1..n within ``keys`` by ``order``), ``group_rows`` (n) and, if asked, ``prev`` (lag of a column).

@@ -11,8 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwheel.plans.skew import number_in_group
-from cartwheel.session import scratch
+from cartwheel.plans.skew import number_by_size
+from cartwheel.session import scratch, stored
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,7 @@ def derive_orders(orders: DataFrame) -> DataFrame:
         F.col("o_custkey").alias("user_id"),
         F.to_date("o_orderdate").alias("order_date"),
     )
-    seq = number_in_group(raw, ["user_id"], ["order_date", "order_id"], lag="order_date")
+    seq = number_by_size(raw, ["user_id"], ["order_date", "order_id"], lag="order_date")
     gap = F.floor(F.datediff("order_date", "prev") / 10)
     return seq.select(
         "order_id",
@@ -57,23 +57,29 @@ def derive_orders(orders: DataFrame) -> DataFrame:
 
 def derive_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per order and product with its cart position and whether the user bought the product before."""
-    picked = lineitem.groupBy(
-        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")
-    ).agg(F.min("l_linenumber").alias("ln"))
-    carts = number_in_group(picked, ["order_id"], ["ln", "product_id"])
+    raw = lineitem.select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), F.col("l_linenumber").alias("ln")
+    )
+
+    def picked(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("order_id", "product_id").agg(F.min("ln").alias("ln"))
+
+    carts = number_by_size(raw, ["order_id"], ["ln", "product_id"], fold=picked)
     joined = carts.select("order_id", "product_id", F.col("rn").cast("int").alias("add_to_cart_order")).join(
         orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id"
     )
     # Written, as both the first purchases and the lines that are compared with them read it.
-    path = scratch(joined.sparkSession, "joined-lines")
-    joined.write.parquet(path)
-    joined = joined.sparkSession.read.schema(joined.schema).parquet(path)
-    first = joined.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"))
-    return joined.join(first, ["user_id", "product_id"]).select(
+    joined = stored(joined.where("user_id is not null and product_id is not null"), "joined-lines")
+    # Only products that a user bought in several orders have lines behind the first; by their measured size the
+    # planner sends these to the lines, or shuffles both.
+    again = joined.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"), F.max("order_number").alias("last"))
+    again = stored(again.where("first_number < last").drop("last"), "bought-again")
+    later = F.coalesce(F.col("order_number") > F.col("first_number"), F.lit(False))
+    return joined.join(again, ["user_id", "product_id"], "left").select(
         "order_id",
         "product_id",
         "add_to_cart_order",
-        (F.col("order_number") > F.col("first_number")).cast("int").alias("reordered"),
+        F.when(F.col("order_number").isNotNull(), later).cast("int").alias("reordered"),
         "eval_set",
     )
 
@@ -113,15 +119,15 @@ def load_star(spark: SparkSession, sf_dir: str) -> Star:
 
 
 def write_star(spark: SparkSession, sf_dir: str, root: str) -> Star:
-    def stored(name: str, df: DataFrame, *partitions: str) -> DataFrame:
+    def kept(name: str, df: DataFrame, *partitions: str) -> DataFrame:
         df.write.partitionBy(*partitions).parquet(f"{root}/{name}")
         return spark.read.parquet(f"{root}/{name}")
 
-    orders = stored("orders", derive_orders(spark.read.parquet(f"{sf_dir}/orders.parquet")))
+    orders = kept("orders", derive_orders(spark.read.parquet(f"{sf_dir}/orders.parquet")))
     lines = derive_lines(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), orders)
-    lines = stored("lines", lines, "eval_set")
+    lines = kept("lines", lines, "eval_set")
     dimensions = zip(("products", "aisles", "departments"), derive_dimensions(spark.read.parquet(f"{sf_dir}/part.parquet")))
-    return Star(orders, lines, *(stored(name, df) for name, df in dimensions))
+    return Star(orders, lines, *(kept(name, df) for name, df in dimensions))
 
 
 # The same mapping for the SQL check.

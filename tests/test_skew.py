@@ -63,3 +63,24 @@ def test_global_running_count(spark):
     for day, row_id, user, n in got:
         total += user == 0
         assert n == total, (day, row_id)
+
+
+def test_numbering_by_size_takes_one_shuffle_and_agrees_with_ranges(spark):
+    df = skewed(spark).select("user", "day", "id")
+    light = skew.number_by_size(df, ["user"], ["day", "id"], lag="day")
+    assert light._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    names, by = ["user", "day", "id", "rn", "group_rows", "prev"], ("user", "day", "id")
+    want = rows(skew.number_in_group(df, ["user"], ["day", "id"], lag="day").select(*names), *by)
+    assert rows(light.select(*names), *by) == want
+    # Some keys are in heavy buckets.
+    both = skew.number_by_size(df, ["user"], ["day", "id"], lag="day", most=100)
+    assert rows(both.select(*names), *by) == want
+
+
+def test_reordered_of_repeated_and_unknown_keys(spark):
+    lines = spark.createDataFrame([(1, 5, 1), (2, 5, 1), (2, 5, 2), (3, None, 1), (4, 5, 1), (1, 6, 2)], "l_orderkey long, l_partkey long, l_linenumber int")
+    orders = spark.createDataFrame(
+        [(1, 9, 1, "prior"), (2, 9, 2, "prior"), (3, 9, 3, "train"), (4, None, 1, "prior")], "order_id long, user_id long, order_number int, eval_set string"
+    )
+    got = rows(derive_lines(lines, orders), "order_id", "product_id")
+    assert got == [(1, 5, 1, 0, "prior"), (1, 6, 2, 0, "prior"), (2, 5, 1, 1, "prior")]
