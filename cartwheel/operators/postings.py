@@ -44,9 +44,14 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Over all shuffle partitions: postings shrink so much in a shuffle that by bytes they would end up in one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def build_postings(catalog: DataFrame) -> Postings:
     """Postings of the lower-case name, aisle and department of every product; a missing field has no grams."""
-    products = _stored(catalog.select("product_id", *FIELDS), "postings-products")
+    products = _stored(_spread(catalog.select("product_id", *FIELDS), "product_id"), "postings-products")
     fields = [F.lower(F.coalesce(F.col(c), F.lit(""))) for c in FIELDS]
     every = F.array_distinct(F.flatten(F.array(*[_grams(f, size) for f in fields for size in range(1, GRAM + 1)])))
     grams = _stored(products.select(F.explode(every).alias("gram"), "product_id"), "postings-grams")
@@ -66,8 +71,7 @@ def _holding(postings: Postings, terms: DataFrame) -> DataFrame:
     rare = ranking.top_n_per(known, ["term"], [F.col("n"), F.col("gram")], INTERSECTED)
     chosen = rare.groupBy("term").agg(F.count(F.lit(1)).alias("wanted"), F.min("n").alias("least")).where("least > 0")
     found = (
-        rare.join(chosen, "term")
-        .join(postings.grams, "gram")
+        _spread(rare.join(chosen, "term").join(postings.grams, "gram"), "term", "product_id")
         .groupBy("term", "product_id")
         .agg(F.count(F.lit(1)).alias("have"), F.first("wanted").alias("wanted"))
         .where("have = wanted")
@@ -96,15 +100,21 @@ def fuzzy_products(postings: Postings, queries: DataFrame, limit: int = FUZZY_RE
     are dropped, and a word that stands twice counts twice. A query without words finds nothing.
     """
     bare = F.lower(F.btrim(F.trim(F.coalesce(F.col("query"), F.lit(""))), F.lit("'\"")))
-    terms = queries.select("query_id", F.explode(F.split(F.trim(bare), r"\s+")).alias("term")).where("term <> ''")
-    terms = terms.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times"))
+    words = queries.select("query_id", F.explode(F.split(F.trim(bare), r"\s+")).alias("term")).where("term <> ''")
+    # Queries of the same words, in whatever order, have the same answer, which is worked out once.
+    words = words.groupBy("query_id").agg(F.array_sort(F.collect_list("term")).alias("words"))
+    sets = words.select("words").distinct()
+    terms = sets.select("words", F.explode("words").alias("term")).groupBy("words", "term").agg(F.count(F.lit(1)).alias("times"))
+    terms = terms.withColumn("only", F.size(F.array_distinct("words")) == 1)
     name = F.lower(F.coalesce(F.col("product_name"), F.lit("")))
     exact = (name == F.col("term")) | F.array_contains(F.split(F.trim(name), r"\s+"), F.col("term"))
-    held = _holding(postings, terms.select("term")).select(
-        "term", "product_id", F.when(exact, 3).otherwise(1).alias("points")
-    )
-    summed = (
-        terms.join(held, "term").groupBy("query_id", "product_id").agg(F.sum(F.col("points") * F.col("times")).cast("int").alias("score"))
-    )
-    best = ranking.top_n_per(summed, ["query_id"], [F.desc("score"), F.col("product_id")], limit)
-    return best.join(postings.products, "product_id").select("query_id", "product_id", *FIELDS, "score", "rank")
+    held = _holding(postings, terms.select("term")).select("term", "product_id", F.when(exact, 3).otherwise(1).alias("points"))
+    held = _stored(held.groupBy("term", "product_id").agg(F.sum("points").alias("points")), "postings-held")
+    # A single word needs no sums: its own best products are the answer.
+    first = ranking.top_n_per(held, ["term"], [F.desc("points"), F.col("product_id")], limit).drop("rank")
+    score = F.sum(F.col("points") * F.col("times")).cast("int").alias("score")
+    points = terms.where("only").join(first, "term").unionByName(terms.where("not only").join(held, "term"))
+    summed = _spread(points, "words", "product_id").groupBy("words", "product_id").agg(score)
+    best = ranking.top_n_per(summed, ["words"], [F.desc("score"), F.col("product_id")], limit)
+    answers = words.join(best.select("words", "product_id", "score", "rank"), "words")
+    return answers.join(postings.products, "product_id").select("query_id", "product_id", *FIELDS, "score", "rank")

@@ -411,3 +411,30 @@ def test_rank_if_missing_numbers_by_score(spark):
         want.update({(s, r[1]): i + 1 for i, r in enumerate(part)})
     assert got == want
     assert ranking.rank_if_missing(df.drop("score")).columns == ["segment", "product_id"]
+
+
+def test_queries_of_the_same_words_are_answered_once(spark):
+    from cartwheel.operators import postings
+
+    products = spark.createDataFrame(
+        [(i, f"{('red', 'blue', 'dark red')[i % 3]} ring {i % 5}", f"aisle{i % 4}", None if i % 7 == 0 else "dep") for i in range(60)],
+        "product_id long, product_name string, aisle string, department string",
+    )
+    asked = spark.createDataFrame(
+        [(1, "red ring"), (2, "' RING  red'"), (3, "red red"), (4, "red"), (8, "red"), (8, "red"), (5, " "), (6, None), (7, "aisle1 blue dep")], "query_id long, query string"
+    )
+    found = postings.fuzzy_products(postings.build_postings(products), asked, 5)
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.product_id, r.score))
+    # Rows of one query_id are one query.
+    assert got[1] == got[2] and got[3] == got[8] == [(n, i, 2 * s) for n, i, s in got[4]] and set(got) == {1, 2, 3, 4, 7, 8}
+    want = []
+    for i in range(60):
+        name, fields = f"{('red', 'blue', 'dark red')[i % 3]} ring {i % 5}", (f"aisle{i % 4}", "" if i % 7 == 0 else "dep")
+        score = sum((w in name or any(w in f for f in fields)) + 2 * (w in name.split()) for w in ("aisle1", "blue", "dep"))
+        want += [(-score, i)] if score else []
+    assert [(i, s) for _, i, s in got[7]] == [(i, -s) for s, i in sorted(want)[:5]]
+    # Sums are taken by set of words, over a fixed number of partitions.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [words" in plan
