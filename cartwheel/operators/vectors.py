@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions import scores
@@ -359,7 +359,7 @@ def _bodies(batches):
 
 _BASE = "n int, top double, groups array<struct<top: double, n: bigint>>, ids binary, payload binary"
 _ASKED = "id long, payload binary, threshold double, least_top double, compared long"
-_ASKED_BLOCK = "number long, m int, least_top double, compared long, query_ids binary, asked binary"
+_ASKED_BLOCK = "number long, m int, own int, least_top double, compared long, query_ids binary, asked binary"
 
 
 def _by_norm(per_group: int, size: int):
@@ -430,13 +430,13 @@ def _asked_blocks(size: int):
             ids = np.array([h[0] for h in held], np.int64).tobytes()
             body = b"".join(np.float64(h[2]).tobytes() + h[1] for h in held)
             columns = [
-                pa.array([number], pa.int64()), pa.array([len(held)], pa.int32()), pa.array([min(h[3] for h in held)], pa.float64()),
+                pa.array([number], pa.int64()), pa.array([len(held)], pa.int32()), pa.array([sum(h[5] for h in held)], pa.int32()), pa.array([min(h[3] for h in held)], pa.float64()),
                 pa.array([sum(h[4] for h in held)], pa.int64()), pa.array([ids]), pa.array([body]),
             ]
-            return pa.RecordBatch.from_arrays(columns, names=["number", "m", "least_top", "compared", "query_ids", "asked"])
+            return pa.RecordBatch.from_arrays(columns, names=["number", "m", "own", "least_top", "compared", "query_ids", "asked"])
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("id", "payload", "threshold", "least_top", "compared"))):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("id", "payload", "threshold", "least_top", "compared", "own"))):
                 held.append(row)
                 if len(held) == size:
                     yield flush()
@@ -556,6 +556,11 @@ def largest_products(
     sent = [spark.sparkContext.broadcast(x) for x in (first, [listed.column(c).to_numpy() for c in ("top", "n")])]
     # Every partition has queries of all reaches, as those that reach far take longer.
     spread = asked.mapInArrow(_reached(*sent, k, key), _ASKED).repartition(2 * spark.sparkContext.defaultParallelism, "id")
+    # Rows of one query id are one query that holds each of them as often as there are rows; more than k change nothing.
+    times = F.least(F.count(F.lit(1)).over(Window.partitionBy("id")), F.lit(k)).cast("int")
+    copied = spread.withColumn("_times", times).select("*", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)).alias("_copy"))
+    own = F.col("_copy") == 0
+    spread = copied.withColumns({"own": own, "compared": F.when(own, F.col("compared")).otherwise(F.lit(0))})
     packed = spread.sortWithinPartitions("least_top", "id").mapInArrow(_asked_blocks(min(QUERIES_MET, size)), _ASKED_BLOCK)
     wanted = _written(packed.withColumn("part", F.spark_partition_id()), "product-queries")
     held = blocks.select("n", "ids", "payload", "top").coalesce(parts).hint("shuffle_replicate_nl")
@@ -564,5 +569,5 @@ def largest_products(
         _best_products(k, key), "query_id long, id long, score double, key double"
     )
     found = ranking.top_n_per(best, ["query_id"], [F.desc("key"), F.col("id")], k)
-    compared = wanted.agg(F.coalesce(F.sum("compared"), F.lit(0)).alias("compared"), (F.coalesce(F.sum("m"), F.lit(0)) * n).alias("pairs"))
+    compared = wanted.agg(F.coalesce(F.sum("compared"), F.lit(0)).alias("compared"), (F.coalesce(F.sum("own"), F.lit(0)) * n).alias("pairs"))
     return Products(found, compared.withColumn("share", F.try_divide("compared", "pairs")))

@@ -113,3 +113,13 @@ def test_products_by_a_key_with_many_ties(spark):
     key = np.clip(np.round(np.round(users @ base.T, 6)), 0, 1)
     for u in range(30):
         assert [got[u, i + 1] for i in range(4)] == np.lexsort((np.arange(5000), -key[u]))[:4].tolist()
+
+
+def test_rows_of_one_query_id_are_one_query(spark):
+    base = [[5.0], [4.0], [3.0], [2.0], [1.0]]
+    found = vectors.largest_products(frame(spark, base), frame(spark, [[1.0], [1.0], [2.0]], [7, 7, 8]), 5, block=1)
+    got = {}
+    for r in found.found.orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.id)
+    assert got == {7: [0, 0, 0, 0, 1], 8: [0, 1, 2, 3, 4]}
+    assert found.shares.first().pairs == 15
