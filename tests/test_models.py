@@ -378,6 +378,14 @@ def test_nearest_donors_against_loops(spark):
     assert got == want and (900, 2) not in got and got[903, 3] == [(904, 7)]
 
 
+def test_training_drops_shuffle_files_in_every_iteration(spark, monkeypatch):
+    seen, fit = [], recommend.ALS.fit
+    monkeypatch.setattr(recommend.ALS, "fit", lambda self, data: seen.append(self.getCheckpointInterval()) or fit(self, data))
+    ratings = spark.createDataFrame([(u, i, 1.0 + u % 2) for u in range(4) for i in range(3)], "user_id long, product_id long, rating double")
+    recommend.train_als(ratings, rank=2, iters=2, blocks=2)
+    assert seen == [1]
+
+
 def test_postings_find_what_a_scan_finds(spark):
     from cartwheel.operators import postings
 
