@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.plans.skew import number_by_size
-from cartwheel.session import scratch, stored
+from cartwheel.session import scratch, small_tasks, stored
 
 
 @dataclass(frozen=True)
@@ -112,6 +112,7 @@ _LOADED: dict[tuple[str, str], Star] = {}
 
 def load_star(spark: SparkSession, sf_dir: str) -> Star:
     """The star as Parquet tables in the shared folder, written on first use by this application."""
+    small_tasks(spark)
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _LOADED:
         _LOADED[key] = write_star(spark, key[1], scratch(spark, "star"))

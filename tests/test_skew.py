@@ -84,3 +84,19 @@ def test_reordered_of_repeated_and_unknown_keys(spark):
     )
     got = rows(derive_lines(lines, orders), "order_id", "product_id")
     assert got == [(1, 5, 1, 0, "prior"), (1, 6, 2, 0, "prior"), (2, 5, 1, 1, "prior")]
+
+
+def test_star_queries_have_small_tasks(spark, sf_dir):
+    from cartwheel.plans.star import load_star
+
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for given, left in (("128MB", 32 << 20), ("134217728b", 32 << 20), ("1g", 32 << 20), ("8m", "8m"), ("1048576", "1048576")):
+            for name in names:
+                spark.conf.set(name, given)
+            load_star(spark, sf_dir)
+            assert [spark.conf.get(n) for n in names] == [str(left)] * 2
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
