@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.operators import ranking
@@ -77,28 +77,40 @@ def nearest_donors(predicted: DataFrame, donors: int = DONORS) -> DataFrame:
     complete rows gives what it has, one with none leaves its rows out.
 
     All chains lie in one order by prediction, in range partitions. In it, the nearest complete rows of a row are among
-    the ``donors`` before and the ``donors`` behind its place, so each row meets 2 x ``donors`` places, wherever
-    partitions begin and end, and keeps the nearest of them.
+    the ``donors`` before and the ``donors`` behind its place, wherever partitions begin and end. Places are cut into
+    blocks; a row meets the list of the complete rows in its block and ``donors`` beyond either end, 4 x ``donors`` at
+    most, and keeps the nearest, so that one row is shuffled for it and not one for each place.
     """
     known = predicted.where("predicted is not null")
     observed = F.col("days_imp").isNotNull()
     ranked = global_running_count(known, ["chain", "predicted", "user_id"], observed, "place")
+    block = 2 * donors
     # Places count the complete rows of all chains, so a place names a donor; its chain is compared.
-    pool = ranked.where(observed).select(
-        "place", F.col("chain").alias("of"), F.col("user_id").alias("donor"), F.col("days_imp").alias("given"), F.col("predicted").alias("at")
+    given = F.struct("place", F.col("chain").alias("of"), F.col("user_id").alias("donor"), F.col("days_imp").alias("given"), F.col("predicted").alias("at"))
+    reached = F.sequence(F.floor((F.col("place") - donors) / block), F.floor((F.col("place") + donors - 1) / block))
+    pool = ranked.where(observed).select(given.alias("d"), F.explode(reached).alias("block")).groupBy("block").agg(F.collect_list("d").alias("pool"))
+    asked = ranked.where(~observed).select("user_id", "chain", "predicted", "place", F.floor(F.col("place") / block).alias("block"))
+
+    def around(d: Column) -> Column:
+        return d["place"].between(F.col("place") - (donors - 1), F.col("place") + donors) & (d["of"] == F.col("chain"))
+
+    def near(d: Column) -> Column:
+        behind = F.struct(d["at"].alias("at"), d["donor"].alias("donor")) > F.struct("predicted", "user_id")
+        return F.struct(
+            F.round(F.abs(d["at"] - F.col("predicted")), PLACES).alias("gap"),
+            behind.alias("behind"),
+            F.when(behind, d["donor"]).otherwise(-d["donor"]).alias("away"),
+            d["donor"].alias("user_id"),
+            d["given"].alias("days_imp"),
+        )
+
+    # The lists are short but many: they are met in a shuffle, never sent to every task.
+    met = asked.join(pool.hint("merge"), "block").select(
+        "user_id", "chain", F.slice(F.array_sort(F.transform(F.filter("pool", around), near)), 1, donors).alias("near")
     )
-    around = F.sequence(F.col("place") - (donors - 1), F.col("place") + donors)
-    asked = ranked.where(~observed).select("user_id", "chain", "predicted", F.explode(around).alias("place"))
-    met = asked.join(pool, "place").where("of = chain")
-    behind = F.struct("at", "donor") > F.struct("predicted", "user_id")
-    near = F.struct(
-        F.round(F.abs(F.col("at") - F.col("predicted")), PLACES).alias("gap"),
-        behind.alias("behind"),
-        F.when(behind, F.col("donor")).otherwise(-F.col("donor")).alias("away"),
-        F.col("donor").alias("user_id"),
-        F.col("given").alias("days_imp"),
-    )
-    chosen = met.groupBy("user_id", "chain").agg(F.slice(F.array_sort(F.collect_list(near)), 1, donors).alias("near"))
+    # Rows that share user and chain share their donors.
+    merged = F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, donors)
+    chosen = met.groupBy("user_id", "chain").agg(merged.alias("near")).where(F.size("near") > 0)
     pair = F.transform("near", lambda d: F.struct(d["user_id"].alias("user_id"), d["days_imp"].alias("days_imp")))
     return chosen.select("user_id", "chain", pair.alias("donors"))
 

@@ -378,6 +378,28 @@ def test_nearest_donors_against_loops(spark):
     assert got == want and (900, 2) not in got and got[903, 3] == [(904, 7)]
 
 
+def test_nearest_donors_meet_lists_and_not_places(spark):
+    # Few complete rows far apart, so that many rows ask in one block, at its edges and beyond the last one.
+    data = [(i, 1 + i % 5 if i % 13 == 4 else None, 0, float(i)) for i in range(300)]
+    frame = spark.createDataFrame(data, "user_id long, days_imp int, chain int, predicted double").repartition(5)
+    for n in (1, 4):
+        found = impute.nearest_donors(frame, n)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        joins_at = [line for line in plan.splitlines() if "Join" in line and "place" in line]
+        assert not joins_at and plan.count("Generate explode(") == 1
+        got = {r.user_id: [d.user_id for d in r.donors] for r in found.collect()}
+        given = [u for u, d, *_ in data if d is not None]
+        want = {u: sorted(given, key=lambda g: (abs(g - u), g > u))[:n] for u, d, *_ in data if d is None}
+        assert got == want
+
+
+def test_rows_that_share_user_and_chain_share_donors(spark):
+    data = [(1, None, 0, 1.0), (1, None, 0, 9.0), (2, 5, 0, 1.5), (3, 6, 0, 8.0), (4, 7, 0, 20.0), (None, None, 0, 19.0)]
+    frame = spark.createDataFrame(data, "user_id long, days_imp int, chain int, predicted double")
+    got = {r.user_id: [d.user_id for d in r.donors] for r in impute.nearest_donors(frame, 2).collect()}
+    assert got == {1: [2, 3], None: [4, 3]}
+
+
 def test_training_drops_shuffle_files_in_every_iteration(spark, monkeypatch):
     seen, fit = [], recommend.ALS.fit
     monkeypatch.setattr(recommend.ALS, "fit", lambda self, data: seen.append(self.getCheckpointInterval()) or fit(self, data))
