@@ -128,20 +128,21 @@ def descend(counted: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, se
     random = np.random.default_rng(settings.seed)
     vectors = random.uniform(-1, 1, (settings.buckets, settings.dim)) / settings.dim
     output, bias = np.zeros((settings.dim, 2)), np.zeros(2)
-    rows = [(feature, often / max(1, often.sum())) for feature, often in counted]
     target = np.eye(2)[labels]
     step = 0
     while step < settings.steps:
-        order = random.permutation(len(rows))
+        order = random.permutation(len(counted))
         for start in range(0, len(order), settings.batch):
             if step == settings.steps:
                 break
             chosen = order[start : start + settings.batch]
+            # Shares are worked out for a batch at a time: the sample's counts are all that stays on the driver.
+            rows = [(feature, often / max(1, often.sum())) for feature, often in (counted[i] for i in chosen)]
             rate = settings.rate * (1 - step / settings.steps)
             step += 1
-            feature = np.concatenate([rows[i][0] for i in chosen])
-            weight = np.concatenate([rows[i][1] for i in chosen])
-            sizes = np.array([len(rows[i][0]) for i in chosen])
+            feature = np.concatenate([r[0] for r in rows])
+            weight = np.concatenate([r[1] for r in rows])
+            sizes = np.array([len(r[0]) for r in rows])
             hidden = _sums(vectors[feature] * weight[:, None], sizes)
             error = _softmax(hidden @ output + bias) - target[chosen]
             back = error @ output.T
@@ -231,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()):
     if not picked.num_rows:
         return np.zeros((settings.buckets, settings.dim), np.float32), np.zeros((settings.dim, 2)), np.zeros(2)
     feature, often = (
-        [row.values.to_numpy().astype(np.int64) for row in picked.column(c)] for c in ("feature", "often")
+        [row.values.to_numpy() for row in picked.column(c)] for c in ("feature", "often")
     )
     return descend(list(zip(feature, often)), picked.column("label").to_numpy().astype(np.int64), settings)
 

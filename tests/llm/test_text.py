@@ -118,3 +118,23 @@ def test_labels_without_documents_use_up_no_sample(spark, stored):
     scores = {r.doc_id: r.score for r in quality.quality_scores(docs, labels, settings).collect()}
     assert all((s > 0.5) == (i % 2 == 1) for i, s in scores.items()) and len(scores) == 40
     assert {r.doc_id for r in quality.drop_low_quality(docs, labels, settings).collect()} == set(range(1, 40, 2))
+
+
+def test_training_keeps_counts_and_no_copies_of_them():
+    import tracemalloc
+
+    import numpy as np
+
+    from cartwheel.llm import quality
+
+    settings = quality.Settings(buckets=8192, dim=2, steps=8, batch=4)
+    rng = np.random.default_rng(3)
+    counted = [(np.sort(rng.permutation(8192)[:4000]).astype(np.int32), rng.integers(1, 5, 4000).astype(np.int32)) for _ in range(400)]
+    labels = np.arange(400) % 2
+    tracemalloc.start()
+    model = quality.descend(counted, labels, settings)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 * 4000 * 4
+    wide = quality.descend([(a.astype(np.int64), b.astype(np.int64)) for a, b in counted], labels, settings)
+    assert all(np.array_equal(a, b) for a, b in zip(model, wide))
