@@ -123,3 +123,69 @@ def test_rows_of_one_query_id_are_one_query(spark):
         got.setdefault(r.query_id, []).append(r.id)
     assert got == {7: [0, 0, 0, 0, 1], 8: [0, 1, 2, 3, 4]}
     assert found.shares.first().pairs == 15
+
+
+def plain_products(base, asked, k, key):
+    score = np.round(asked @ base.T, 6)
+    rank = key(score)
+    best = [np.lexsort((np.arange(len(base)), -r))[:k] for r in rank]
+    return [(q, int(i), float(score[q, i]) + 0.0) for q, places in enumerate(best) for i in places]
+
+
+def met_in_blocks(base, asked, k, key, size=300):
+    best = vectors._Best(k, key, np.arange(len(asked)), np.c_[np.full(len(asked), -np.inf), asked])
+    for at in range(0, len(base), size):
+        best.add(np.arange(at, min(at + size, len(base))), base[at : at + size])
+    rows = best.rows().to_pydict()
+    found = sorted(zip(rows["query_id"], -np.array(rows["key"]), rows["id"], rows["score"]))
+    return [(q, i, s + 0.0) for q, _, i, s in found]
+
+
+def steps(x):
+    return np.round((np.clip(x, 0, 2)) / 2, 3)
+
+
+@pytest.mark.parametrize("key", [vectors._same, steps, lambda x: np.floor(x), lambda x: np.zeros_like(x)])
+@pytest.mark.parametrize("scale", [1e-3, 1.0, 300.0])
+def test_products_of_32_bits_leave_the_best_of_64(key, scale):
+    rng = np.random.default_rng(4)
+    base, asked = rng.normal(size=(2000, 24)) * scale, rng.normal(size=(37, 24))
+    base[500:900] = base[100:500]
+    # Products that differ by less than 32 bits can tell.
+    base[1200:1300] = base[1100:1200] * (1 + 3e-8)
+    base[7] = asked[3] = 0
+    assert met_in_blocks(base, asked, 6, key) == plain_products(base, asked, 6, key)
+
+
+def test_vectors_beyond_32_bits():
+    rng = np.random.default_rng(5)
+    base, asked = np.round(rng.normal(size=(900, 8)), 2) * 2.0**140, np.round(rng.normal(size=(20, 8)), 2)
+    best = vectors._Best(4, vectors._same, np.arange(20), np.c_[np.full(20, -np.inf), asked])
+    for at in (0, 300, 600):
+        best.add(np.arange(at, at + 300), base[at : at + 300])
+    rows = best.rows().to_pydict()
+    top = np.sort(asked @ base.T, axis=1)[:, -4:]
+    assert all(np.isclose(sorted(s for q, s in zip(rows["query_id"], rows["score"]) if q == i), top[i]).all() for i in range(20))
+
+
+def test_a_row_that_is_no_number_hides_no_other():
+    rng = np.random.default_rng(6)
+    base, asked = rng.normal(size=(600, 8)), rng.normal(size=(20, 8))
+    base[450] = np.nan
+    kept = np.r_[np.arange(450), np.arange(451, 600)]
+    wanted = [(q, int(kept[i]), s) for q, i, s in plain_products(base[kept], asked, 3, vectors._same)]
+    assert met_in_blocks(base, asked, 3, vectors._same) == wanted
+
+
+def test_keys_are_taken_of_few_products():
+    """Behind the first blocks hardly any product is among the best; keys of all would cost more than the products."""
+    rng, taken = np.random.default_rng(7), []
+
+    def key(x):
+        taken.append(np.size(x))
+        return steps(x)
+
+    base, asked = rng.normal(size=(40_000, 16)), rng.normal(size=(256, 16))
+    found = met_in_blocks(base, asked, 5, key, 2000)
+    assert sum(taken) < base.shape[0] * asked.shape[0] / 4
+    assert found == plain_products(base, asked, 5, steps)
