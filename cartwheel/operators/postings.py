@@ -85,10 +85,16 @@ def _holding(postings: Postings, terms: DataFrame) -> DataFrame:
 def search_products(postings: Postings, queries: DataFrame, limit: int | None = None) -> DataFrame:
     """query_id and the products whose name, aisle or department contains the query; the first ``limit`` by id if given.
 
-    ``queries`` is (query_id, query). A null or empty query finds nothing; repeated queries are answered each.
+    ``queries`` is (query_id, query). A null or empty query finds nothing; repeated queries are answered each. What a text
+    hits is written once, each file in order, and then meets its queries, so that rows come text by text and in it product
+    by product: a file holds a product once for all queries of a text and a list of query ids that repeats, which
+    compresses. (A sort that isn't written would be dropped before a join.) Products are spread over the files by hash, as
+    a few texts may have most of the rows. Every text has a query, so a left join leaves the same rows; it keeps the
+    products on the side that is read in order and never broadcasts them.
     """
     asked = queries.select("query_id", F.lower(F.coalesce(F.col("query"), F.lit(""))).alias("term"))
-    hits = asked.join(_holding(postings, asked.select("term")), "term")
+    held = _stored(_holding(postings, asked.select("term")).sortWithinPartitions("term", "product_id"), "postings-hits")
+    hits = held.join(asked, "term", "left")
     rows = hits.select("query_id", "product_id", *FIELDS, F.lit(1.0).alias("score"))
     return rows if limit is None else ranking.top_n_per(rows, ["query_id"], [F.col("product_id")], limit).drop("rank")
 
