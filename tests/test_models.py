@@ -484,3 +484,19 @@ def test_queries_of_the_same_words_are_answered_once(spark):
     # Sums are taken by set of words, over a fixed number of partitions.
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [words" in plan
+
+
+def test_training_blocks_grow_with_the_ratings(spark, monkeypatch):
+    assert recommend.training_blocks(540_000, 15_000, 20_000, 64, 8) == (10, 10)
+    assert recommend.training_blocks(540_000, 15_000, 20_000, 64, 12) == (12, 12)
+    # Six times the largest input that went through with ten blocks.
+    users, products = recommend.training_blocks(194_000_000, 5_400_000, 7_200_000, 64, 6)
+    assert 100 < users < 250 and 100 < products < 250
+    # A task never gets more blocks than there are users or products.
+    assert recommend.training_blocks(10**9, 3, 10**8, 64, 4)[0] == 10
+    monkeypatch.setattr(recommend, "FACTOR_BYTES", 500)
+    ratings = spark.range(600).selectExpr("id % 60 AS user_id", "id * 7 % 50 AS product_id", "1.0 + id % 3 AS rating")
+    model = recommend.train_als(ratings, rank=2, iters=1)[0].model
+    parts = [f.rdd.getNumPartitions() for f in (model.userFactors, model.itemFactors)]
+    assert parts == list(recommend.training_blocks(300, 60, 50, 2, 8)) and min(parts) > 10
+    assert (model.userFactors.count(), model.itemFactors.count()) == (60, 50)
