@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cartwheel.operators import recommend, vectors
@@ -189,3 +190,54 @@ def test_keys_are_taken_of_few_products():
     found = met_in_blocks(base, asked, 5, key, 2000)
     assert sum(taken) < base.shape[0] * asked.shape[0] / 4
     assert found == plain_products(base, asked, 5, steps)
+
+
+def test_rows_between_bounds_are_left_out_only_where_no_query_reaches_them(monkeypatch):
+    rng = np.random.default_rng(11)
+    # Few directions, so that boxes are narrow, with rows of equal products, infinite ones and some that are no number.
+    base = np.zeros((4000, 12))
+    at = np.sort(rng.integers(0, 12, 4000))
+    base[np.arange(4000), at] = rng.choice([-1.0, 1.0], 4000) * np.round(rng.uniform(0.5, 1.0, 4000), 2)
+    base[:, 0] += 1e-3 * rng.normal(size=4000)
+    asked = np.abs(rng.normal(size=(50, 12))) * (rng.random((50, 12)) < 0.2)
+    asked[:5] = rng.normal(size=(5, 12))
+    met = []
+    add = vectors._Best.add
+    monkeypatch.setattr(vectors._Best, "add", lambda self, names, base, rows=None: met.append(len(base) * (50 if rows is None else len(rows))) or add(self, names, base, rows))
+    for k, key in ((3, vectors._same), (4, lambda x: np.clip(np.round(x, 1), 0, 0.8))):
+        met.clear()
+        best = vectors._Best(k, key, np.arange(50), np.c_[np.full(50, -np.inf), asked])
+        ids = rng.permutation(4000)
+        for i in range(0, 4000, 1000):
+            part = slice(i, i + 1000)
+            boxes = [f(base[part][j : j + vectors.BOXED], axis=0) for j in range(0, 1000, vectors.BOXED) for f in (np.min, np.max)]
+            best.add_block(ids[part], base[part], np.array(boxes).reshape(-1, 2, 12))
+        rows = best.rows().to_pylist()
+        score = np.round(asked @ base.T, 6)
+        rank = key(score)
+        for u in range(50):
+            want = np.lexsort((ids, -rank[u]))[:k]
+            mine = sorted((-r["key"], r["id"]) for r in rows if r["query_id"] == u)
+            assert mine == [(-float(rank[u, x]), int(ids[x])) for x in want]
+        assert sum(met) < 0.7 * 50 * 4000
+    best = vectors._Best(2, vectors._same, np.arange(1), np.array([[5.0, 1.0, 1.0]]))
+    odd = np.array([[np.nan, 9.0], [9.0, 0.0], [3.0, 1.0]])
+    best.add_block(np.arange(3), odd, np.array([[odd.min(0), odd.max(0)]]))
+    assert best.rows().to_pylist()[0]["id"] == 1
+
+
+def test_rows_of_like_norms_lie_by_direction():
+    rng = np.random.default_rng(12)
+    rows = np.zeros((900, 8))
+    rows[np.arange(900), rng.integers(0, 8, 900)] = rng.choice([-1.0, 1.0], 900)
+    rows *= np.repeat([4.0, 1.0, 0.5], 300)[:, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(900)), pa.array(np.linalg.norm(rows, axis=1)), pa.array([r.tobytes() for r in rows])], names=["id", "norm", "payload"])
+    blocks = [b for out in vectors._by_norm(50, 400, 1000)([batch]) for b in out.to_pylist()]
+    assert [b["n"] for b in blocks] == [400, 400, 100] and [b["top"] for b in blocks] == [4.0, 1.0, 0.5]
+    assert sorted(i for b in blocks for i in np.frombuffer(b["ids"], np.int64)) == list(range(900))
+    first = np.frombuffer(blocks[0]["ids"], np.int64)[:300]
+    assert set(first) == set(range(300))
+    places = [(int(np.abs(rows[i]).argmax()), rows[i].sum() > 0) for i in first]
+    assert sum(a != b for a, b in zip(places, places[1:])) == 15
+    bounds = np.frombuffer(blocks[0]["boxes"], np.float64).reshape(2, 2, 8)
+    assert (bounds[0, 0] == rows[first[:256]].min(0)).all() and (bounds[0, 1] == rows[first[:256]].max(0)).all()
