@@ -241,3 +241,14 @@ def test_rows_of_like_norms_lie_by_direction():
     assert sum(a != b for a, b in zip(places, places[1:])) == 15
     bounds = np.frombuffer(blocks[0]["boxes"], np.float64).reshape(2, 2, 8)
     assert (bounds[0, 0] == rows[first[:256]].min(0)).all() and (bounds[0, 1] == rows[first[:256]].max(0)).all()
+
+
+def test_products_meet_where_the_shared_folder_is_no_file_system(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    base, users = rng.normal(size=(500, 5)), rng.normal(size=(40, 5))
+    monkeypatch.setattr(vectors, "urlsplit", lambda file: type("Split", (), {"scheme": "other", "path": file}))
+    found = vectors.largest_products(frame(spark, base), frame(spark, users), 3, block=20).found
+    assert "CartesianProduct" in found._jdf.queryExecution().executedPlan().toString()
+    score, got = np.round(users @ base.T, 6), {(r.query_id, r["rank"]): r.id for r in found.collect()}
+    for u in range(40):
+        assert [got[u, i + 1] for i in range(3)] == np.lexsort((np.arange(500), -score[u]))[:3].tolist()
